@@ -5,7 +5,7 @@ document or per term and ``k`` numeric columns ``c0 .. c{k-1}``, so that product
 joins followed by ``k`` sums. Only k-by-k matrices ever reach the driver.
 """
 
-from functools import reduce
+from collections.abc import Sequence
 
 import numpy as np
 from pyspark import StorageLevel
@@ -33,14 +33,14 @@ def cached_entries(rows: DataFrame) -> DataFrame:
     return entries.persist(StorageLevel.MEMORY_AND_DISK)
 
 
-def hash_uniform(seed: int, *keys: Column) -> Column:
-    """A number in (0, 1] that depends on the keys and the seed only."""
-    bits = F.xxhash64(F.lit(seed), *keys).bitwiseAND(F.lit((1 << 52) - 1))
-    return (bits + 1) / F.lit(float(1 << 52))
+def hash_uniform(seed: int, key: str, column: int) -> str:
+    """SQL for a number in (0, 1] that depends on key, column and seed only."""
+    bits = (1 << 52) - 1
+    return f"((xxhash64({seed}, {key}, {column}) & {bits}L) + 1) / {float(1 << 52)!r}D"
 
 
 def _weighted_sums(k: int) -> list[Column]:
-    return [F.sum(F.col("x") * F.col(c)).alias(c) for c in columns(k)]
+    return [F.expr(f"sum(x * {c}) AS {c}") for c in columns(k)]
 
 
 def times_terms(entries: DataFrame, table: DataFrame, k: int, size: int) -> DataFrame:
@@ -62,24 +62,48 @@ def factor_bytes(n_rows: int, k: int) -> int:
     return n_rows * 8 * (k + 1)
 
 
-def right_multiply(matrix: np.ndarray, prefix: str = "c") -> list[Column]:
-    """The row of factor columns times a small matrix, as column expressions."""
+def right_multiply(matrix: np.ndarray, prefix: str = "c") -> list[str]:
+    """SQL for the row of factor columns times a small matrix, one expression per column.
+
+    Generated columns are SQL text, as building each of them from Column calls would cost
+    far more round trips to the JVM than the sums themselves take.
+    """
     rows, cols = matrix.shape
     names = columns(rows, prefix)
     return [
-        reduce(lambda a, b: a + b, [F.col(names[i]) * float(matrix[i, j]) for i in range(rows)])
+        "(" + " + ".join(f"{names[i]} * {float(matrix[i, j])!r}D" for i in range(rows)) + ")"
         for j in range(cols)
     ]
 
 
-def gram_sums(k: int, left: str = "c", right: str = "c") -> list[Column]:
-    """Sums whose values are the entries of the k-by-k matrix leftᵀ right."""
-    return [
-        F.coalesce(F.sum(F.col(a) * F.col(b)), F.lit(0.0))
-        for a in columns(k, left)
-        for b in columns(k, right)
-    ]
+def _sums(products: list[str]) -> Column:
+    return F.expr("array(" + ", ".join(f"coalesce(sum({p}), 0D)" for p in products) + ")")
+
+
+def gram_sums(k: int, prefix: str = "c") -> Column:
+    """The upper triangle of the symmetric matrix of column products, as one array of sums."""
+    names = columns(k, prefix)
+    return _sums([f"{names[i]} * {names[j]}" for i in range(k) for j in range(i, k)])
+
+
+def cross_sums(k: int, left: str, right: str) -> Column:
+    """The entries of leftᵀ right, row by row, as one array of sums."""
+    return _sums([f"{a} * {b}" for a in columns(k, left) for b in columns(k, right)])
+
+
+def symmetric(upper: Sequence[float], k: int) -> np.ndarray:
+    """The k-by-k matrix from its upper triangle."""
+    matrix = np.zeros((k, k))
+    matrix[np.triu_indices(k)] = upper
+    return matrix + np.triu(matrix, 1).T
+
+
+def gram(table: DataFrame, k: int, prefix: str = "c") -> np.ndarray:
+    return symmetric(table.agg(gram_sums(k, prefix)).first()[0], k)
 
 
-def gram(table: DataFrame, k: int, left: str = "c", right: str = "c") -> np.ndarray:
-    return np.array(table.agg(*gram_sums(k, left, right)).first(), dtype=float).reshape(k, k)
+def renamed(table: DataFrame, key: str, k: int, prefix: str) -> DataFrame:
+    """The factor table with another column prefix, to join two factors."""
+    return table.selectExpr(
+        key, *[f"{c} AS {b}" for c, b in zip(columns(k), columns(k, prefix), strict=True)]
+    )

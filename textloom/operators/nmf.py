@@ -5,8 +5,7 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pandas as pd
-from pyspark import StorageLevel
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from textloom.operators.factors import (
@@ -16,7 +15,9 @@ from textloom.operators.factors import (
     gram,
     gram_sums,
     hash_uniform,
+    renamed,
     right_multiply,
+    symmetric,
     times_documents,
     times_terms,
 )
@@ -38,44 +39,35 @@ class NmfModel:
     errors: list[float] = field(default_factory=list)
 
 
-def multiplicative(k: int, other_gram: np.ndarray) -> list[Column]:
+def multiplicative(k: int, other_gram: np.ndarray) -> list[str]:
     """New factor columns from the old ``c*``, the product ``b*`` and the other factor's Gram."""
     below = right_multiply(other_gram)
     return [
-        (F.col(c) * F.col(b) / F.greatest(d, F.lit(TINY))).alias(c)
+        f"{c} * {b} / greatest({d}, {TINY!r}D) AS {c}"
         for c, b, d in zip(columns(k), columns(k, "b"), below, strict=True)
     ]
 
 
-def _renamed(product: DataFrame, key: str, k: int) -> DataFrame:
-    return product.select(
-        key, *[F.col(c).alias(b) for c, b in zip(columns(k), columns(k, "b"), strict=True)]
-    )
-
-
 def update_documents(entries, w, h, k, h_gram, h_size) -> DataFrame:
     """W ← W ∘ (X Hᵀ) / (W H Hᵀ)."""
-    product = _renamed(times_terms(entries, h, k, h_size), "id", k)
+    product = renamed(times_terms(entries, h, k, h_size), "id", k, "b")
     joined = product.join(w.hint("shuffle_hash"), "id")
-    return joined.select("id", *multiplicative(k, h_gram))
+    return joined.selectExpr("id", *multiplicative(k, h_gram))
 
 
 def update_terms(entries, w, h, k, w_gram) -> DataFrame:
     """H ← H ∘ (Wᵀ X) / (Wᵀ W H); the products ``b*`` stay in the result for the error."""
-    product = _renamed(times_documents(entries, w, k), "term_id", k)
+    product = renamed(times_documents(entries, w, k), "term_id", k, "b")
     joined = product.join(h, "term_id")
-    return joined.select("term_id", *multiplicative(k, w_gram), *columns(k, "b"))
+    return joined.selectExpr("term_id", *multiplicative(k, w_gram), *columns(k, "b"))
 
 
 def start_factor(keys: DataFrame, key: str, k: int, scale: float, seed: int) -> DataFrame:
     """Positive start values from a hash of the key, the column and the seed."""
-    return keys.select(
-        key,
-        *[
-            (2 * scale * hash_uniform(seed, F.col(key), F.lit(i))).alias(c)
-            for i, c in enumerate(columns(k))
-        ],
-    )
+    starts = [
+        f"{2 * scale!r}D * {hash_uniform(seed, key, i)} AS {c}" for i, c in enumerate(columns(k))
+    ]
+    return keys.selectExpr(key, *starts)
 
 
 def fit_nmf(
@@ -86,13 +78,13 @@ def fit_nmf(
     tol: float = 1e-4,
     seed: int = 42,
     start_terms: DataFrame | None = None,
-    store_every: int = 5,
 ) -> NmfModel:
     """Factorize stored ``rows`` (id, indices, values) into ``k`` components.
 
     Iterates until the error falls by less than ``tol`` of the first error. ``start_terms``
-    continues from an earlier H. Every few iterations the factors are written to the shared
-    folder, which bounds the lineage and the work that a lost executor costs.
+    continues from an earlier H. Both factors are written to the shared folder in every
+    iteration: each is used twice in the next one, so that plans would otherwise double with
+    every step, and a lost executor costs no more than the current step.
     """
     x = cached_entries(rows)
     x_sum, x_squared = x.agg(
@@ -105,26 +97,19 @@ def fit_nmf(
     h = start_terms or start_factor(x.select("term_id").distinct(), "term_id", k, scale, seed + 1)
     h = materialize(h, "nmf-terms")
     h_gram = gram(h, k)
-    held: list[DataFrame] = []
     errors: list[float] = []
-    for step in range(1, max_iter + 1):
-        w = update_documents(x, w, h, k, h_gram, h_size).persist(StorageLevel.MEMORY_AND_DISK)
+    products = " + ".join(f"{c} * {b}" for c, b in zip(columns(k), columns(k, "b"), strict=True))
+    cross = F.expr(f"coalesce(sum({products}), 0D)")
+    for _ in range(max_iter):
+        w = materialize(update_documents(x, w, h, k, h_gram, h_size), "nmf-documents")
         w_gram = gram(w, k)
-        h_next = update_terms(x, w, h, k, w_gram).persist(StorageLevel.MEMORY_AND_DISK)
-        cross = sum(F.col(c) * F.col(b) for c, b in zip(columns(k), columns(k, "b"), strict=True))
-        values = h_next.agg(*gram_sums(k), F.coalesce(F.sum(cross), F.lit(0.0))).first()
-        h_gram = np.array(values[:-1], dtype=float).reshape(k, k)
-        squared = x_squared - 2 * values[-1] + float(np.sum(w_gram * h_gram))
+        h = materialize(update_terms(x, w, h, k, w_gram), "nmf-terms")
+        h_sums, shared = h.agg(gram_sums(k), cross).first()
+        h = h.select("term_id", *columns(k))
+        h_gram = symmetric(h_sums, k)
+        squared = x_squared - 2 * shared + float(np.sum(w_gram * h_gram))
         errors.append(float(np.sqrt(max(squared, 0.0))))
-        h = h_next.select("term_id", *columns(k))
-        held += [w, h_next]
-        done = len(errors) > 1 and errors[-2] - errors[-1] < tol * errors[0]
-        if step % store_every == 0 or done or step == max_iter:
-            w, h = materialize(w, "nmf-documents"), materialize(h, "nmf-terms")
-            for table in held:
-                table.unpersist()
-            held = []
-        if done:
+        if len(errors) > 1 and errors[-2] - errors[-1] < tol * errors[0]:
             break
     x.unpersist()
     # Documents without any known term take no part in the sums and have zero weights.

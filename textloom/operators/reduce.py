@@ -11,11 +11,14 @@ from pyspark.sql import functions as F
 from textloom.operators.factors import (
     cached_entries,
     columns,
+    cross_sums,
     factor_bytes,
     gram,
     gram_sums,
     hash_uniform,
+    renamed,
     right_multiply,
+    symmetric,
     times_documents,
     times_terms,
 )
@@ -59,40 +62,33 @@ def sparse_pca(
     size = factor_bytes(n_terms, p)
     x = cached_entries(rows)
     sums = materialize(x.groupBy("term_id").agg(F.sum("x").alias("s")), "column-sums")
-    v = sums.select(
-        "term_id",
-        "s",
-        *[
-            (hash_uniform(seed, F.col("term_id"), F.lit(i)) - 0.5).alias(c)
-            for i, c in enumerate(columns(p))
-        ],
-    )
+    starts = [f"{hash_uniform(seed, 'term_id', i)} - 0.5D AS {c}" for i, c in enumerate(columns(p))]
+    v = sums.selectExpr("term_id", "s", *starts)
     v = _rotated(materialize(v, "pca-start"), _orthonormal(gram(v, p)), p)
     before = None
     for _ in range(max_iter):
         along = _column_means(v, p, n_docs)
         product = times_documents(x, times_terms(x, v.drop("s"), p, size), p)
         centred = [
-            (F.col(z) - F.col("s") * float(m)).alias(z)
+            f"{z} - s * {float(m)!r}D AS {z}"
             for z, m in zip(columns(p, "z"), along, strict=True)
         ]
-        applied = (
-            product.select("term_id", *[F.col(c).alias(z) for c, z in _pairs(p)])
-            .join(v, "term_id")
-            .select("term_id", "s", *columns(p), *centred)
+        joined = renamed(product, "term_id", p, "z").join(v, "term_id")
+        applied = materialize(
+            joined.selectExpr("term_id", "s", *columns(p), *centred), "pca-terms"
         )
-        applied = materialize(applied, "pca-terms")
-        both = applied.agg(*gram_sums(p, "c", "z"), *gram_sums(p, "z", "z")).first()
-        cross = np.array(both[: p * p], dtype=float).reshape(p, p)
-        spread = np.array(both[p * p :], dtype=float).reshape(p, p)
+        cross_values, spread_values = applied.agg(
+            cross_sums(p, "c", "z"), gram_sums(p, "z")
+        ).first()
+        cross = np.array(cross_values).reshape(p, p)
+        spread = symmetric(spread_values, p)
         ritz, turn = np.linalg.eigh((cross + cross.T) / 2)
         ritz, turn = ritz[::-1], turn[:, ::-1]
         basis = _rotated(applied, turn[:, :k], p)
         if before is not None and np.all(np.abs(ritz[:k] - before) <= tol * ritz[0]):
             break
         before = ritz[:k]
-        moved = applied.select("term_id", "s", *[F.col(z).alias(c) for c, z in _pairs(p)])
-        v = _rotated(moved, _orthonormal(spread), p)
+        v = _rotated(applied, _orthonormal(spread), p, "z")
     loadings = _signed(materialize(basis, "pca-loadings"), k)
     means = _column_means(loadings, k, n_docs)
     scores = times_terms(x, loadings.drop("s"), k, factor_bytes(n_terms, k))
@@ -108,31 +104,25 @@ def sparse_pca(
     return SparsePca(points, loadings.drop("s"), ritz[:k] / max(1, n_docs - 1))
 
 
-def _pairs(p: int) -> list[tuple[str, str]]:
-    return list(zip(columns(p), columns(p, "z"), strict=True))
-
-
-def _rotated(table: DataFrame, matrix: np.ndarray, p: int) -> DataFrame:
-    turned = right_multiply(matrix)
+def _rotated(table: DataFrame, matrix: np.ndarray, p: int, prefix: str = "c") -> DataFrame:
     names = columns(matrix.shape[1])
-    return table.select(
-        "term_id", "s", *[t.alias(c) for t, c in zip(turned, names, strict=True)]
+    turned = right_multiply(matrix, prefix)
+    return table.selectExpr(
+        "term_id", "s", *[f"{t} AS {c}" for t, c in zip(turned, names, strict=True)]
     )
 
 
 def _column_means(table: DataFrame, p: int, n_docs: int) -> np.ndarray:
     """The mean document times the factor: sᵀV / n."""
-    sums = table.agg(*[F.sum(F.col("s") * F.col(c)) for c in columns(p)]).first()
-    return np.array(sums, dtype=float) / max(1, n_docs)
+    sums = F.expr("array(" + ", ".join(f"coalesce(sum(s * {c}), 0D)" for c in columns(p)) + ")")
+    return np.array(table.agg(sums).first()[0]) / max(1, n_docs)
 
 
 def _signed(loadings: DataFrame, k: int) -> DataFrame:
     """Turn every component so that its largest loading is positive."""
-    tops = loadings.agg(*[F.max_by(c, F.struct(F.abs(c), -F.col("term_id"))) for c in columns(k)])
-    signs = [-1.0 if top is not None and top < 0 else 1.0 for top in tops.first()]
-    return loadings.select(
-        "term_id", "s", *[(F.col(c) * s).alias(c) for c, s in zip(columns(k), signs, strict=True)]
-    )
+    tops = [F.expr(f"max_by({c}, struct(abs({c}), -term_id))") for c in columns(k)]
+    signs = [-1.0 if top is not None and top < 0 else 1.0 for top in loadings.agg(*tops).first()]
+    return _rotated(loadings, np.diag(signs), k)
 
 
 def dense_pca(df: DataFrame, vector: str = "vector", k: int = 2, key: str = "id") -> DataFrame:

@@ -19,7 +19,7 @@ from textloom.operators.vectors import (
 from textloom.plans.corpus import part, split_corpus
 from textloom.session import materialize
 
-NMF_ITERATIONS = 20
+NMF_ITERATIONS = 10
 
 
 @dataclass(frozen=True)

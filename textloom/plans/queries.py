@@ -363,10 +363,9 @@ def shard_assign(spark, sf_dir):
 # Topics and dimension reduction
 
 
-def _start(key: str, a: int, b: int) -> list:
+def _start(key: str, a: int, b: int) -> list[str]:
     return [
-        (F.lit(0.1) + ((F.col(key) * a + i * b) % 10) / 10).alias(c)
-        for i, c in enumerate(columns(8))
+        f"0.1D + (({key} * {a} + {i * b}) % 10) / 10 AS {c}" for i, c in enumerate(columns(8))
     ]
 
 
@@ -375,8 +374,8 @@ def nmf_one_step(spark, sf_dir):
     p = experiment.prepare(spark, sf_dir)
     rows = experiment.stored_rows(p)
     entries = cached_entries(rows)
-    w = entries.select("id").distinct().select("id", *_start("id", 7, 3))
-    h = p.vocabulary.table.select("term_id", *_start("term_id", 11, 5))
+    w = entries.select("id").distinct().selectExpr("id", *_start("id", 7, 3))
+    h = p.vocabulary.table.selectExpr("term_id", *_start("term_id", 11, 5))
     size = factor_bytes(p.vocabulary.n_terms, 8)
     w = materialize(nmf.update_documents(entries, w, h, 8, gram(h, 8), size), "nmf-step")
     h = nmf.update_terms(entries, w, h, 8, gram(w, 8)).select("term_id", *columns(8))
