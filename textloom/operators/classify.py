@@ -33,15 +33,19 @@ from textloom.session import shared_dir
 Factory = Callable[[int, int, int], object]
 
 
-def linear_svc(c: float = 1.0, max_iter: int = 100, parallelism: int = 4) -> Factory:
+def linear_svc(
+    c: float = 1.0, max_iter: int = 100, tol: float = 1e-4, parallelism: int = 4
+) -> Factory:
     """One-vs-rest linear SVM. ``c`` is the usual penalty on the summed loss.
 
     Spark averages the loss over rows, so the same trade-off is regParam = 1 / (c n). Spark
-    uses the plain hinge loss.
+    uses the plain hinge loss, and every iteration is at least one pass over all rows, so far
+    fewer of them are needed than coordinate steps in a single-machine solver.
     """
 
     def build(n_rows: int, n_features: int, n_classes: int) -> OneVsRest:
-        svc = LinearSVC(maxIter=max_iter, regParam=1.0 / (c * n_rows), standardization=False)
+        reg = 1.0 / (c * n_rows)
+        svc = LinearSVC(maxIter=max_iter, tol=tol, regParam=reg, standardization=False)
         return OneVsRest(classifier=svc, parallelism=parallelism, labelCol="label")
 
     return build

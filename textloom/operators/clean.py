@@ -4,6 +4,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 def project(df: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -18,7 +19,13 @@ def null_counts(df: DataFrame, columns: Sequence[str] | None = None) -> DataFram
 
 
 def drop_nulls(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
-    return df.na.drop("any", subset=list(columns) if columns else None)
+    """Keep complete rows. Plain IS NOT NULL filters are pushed down to the file scan."""
+    for field in df.schema:
+        if columns is None or field.name in columns:
+            df = df.filter(F.col(field.name).isNotNull())
+            if isinstance(field.dataType, T.DoubleType | T.FloatType):
+                df = df.filter(~F.isnan(field.name))
+    return df
 
 
 def merge_text(

@@ -12,16 +12,20 @@ BROADCAST_BYTES = 64 << 20
 HOT_SHARE = 0.001
 
 
-def table_bytes(table: DataFrame) -> int:
-    """Measured size of a table's values, from one aggregation over it."""
-    width = F.lit(8 * len(table.columns))
+def measured(table: DataFrame) -> tuple[int, int]:
+    """Rows and size in bytes of a table's values, from one aggregation over it."""
+    widths = [str(8 * len(table.columns))]
     for field in table.schema:
-        column = F.col(field.name)
         if isinstance(field.dataType, T.StringType):
-            width = width + F.coalesce(F.octet_length(column), F.lit(0))
+            widths.append(f"coalesce(octet_length(`{field.name}`), 0)")
         elif isinstance(field.dataType, T.ArrayType):
-            width = width + F.greatest(F.size(column), F.lit(0)) * 8
-    return table.agg(F.sum(width.cast("long"))).first()[0] or 0
+            widths.append(f"8 * greatest(size(`{field.name}`), 0)")
+    total = F.expr(f"coalesce(sum(cast({' + '.join(widths)} AS bigint)), 0)")
+    return table.agg(F.count("*"), total).first()
+
+
+def table_bytes(table: DataFrame) -> int:
+    return measured(table)[1]
 
 
 def lookup_join(

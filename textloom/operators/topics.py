@@ -1,8 +1,7 @@
 """Latent Dirichlet allocation on term counts and the words of topics."""
 
-from dataclasses import dataclass
-
 import math
+from dataclasses import dataclass
 
 from pyspark import StorageLevel
 from pyspark.ml.clustering import LDA, LDAModel
@@ -17,8 +16,19 @@ from textloom.operators.vectors import Vocabulary, with_terms
 @dataclass(frozen=True)
 class LdaFit:
     model: LDAModel
-    log_likelihood: float
-    perplexity: float
+
+    def quality(self, vectors: DataFrame) -> dict[str, float]:
+        """Log-likelihood bound of the vectors and their perplexity, from one pass of inference."""
+        log_likelihood = self.model.logLikelihood(vectors)
+        n_tokens = vectors.select(F.sum(_total("features"))).first()[0]
+        return {
+            "log_likelihood": log_likelihood,
+            "perplexity": math.exp(-log_likelihood / max(1.0, n_tokens)),
+        }
+
+
+def _total(vector: str):
+    return F.aggregate(vector_to_array(vector), F.lit(0.0), lambda total, v: total + v)
 
 
 def fit_lda(vectors: DataFrame, k: int = 8, max_iter: int = 20, seed: int = 42) -> LdaFit:
@@ -28,9 +38,8 @@ def fit_lda(vectors: DataFrame, k: int = 8, max_iter: int = 20, seed: int = 42)
     """
     cached = vectors.persist(StorageLevel.MEMORY_AND_DISK)
     model = LDA(k=k, maxIter=max_iter, optimizer="online", seed=seed).fit(cached)
-    fit = LdaFit(model, model.logLikelihood(cached), math.exp(model.logPerplexity(cached)))
     cached.unpersist()
-    return fit
+    return LdaFit(model)
 
 
 def document_topics(fit: LdaFit, vectors: DataFrame) -> DataFrame:

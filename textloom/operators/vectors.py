@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 
 from textloom.functions.arrays import l2_normalized, term_bag
 from textloom.functions.text import raw_tokens, tokenize
-from textloom.operators.lookup import lookup_join, table_bytes
+from textloom.operators.lookup import lookup_join, measured, table_bytes
 from textloom.operators.ordering import ordered_index
 from textloom.session import materialize
 
@@ -91,7 +91,8 @@ def fit_vocabulary(bag_table: DataFrame, min_df: int = 2) -> Vocabulary:
         ),
         "vocabulary",
     )
-    return Vocabulary(table, n_docs, table.count(), table_bytes(table))
+    n_terms, size = measured(table)
+    return Vocabulary(table, n_docs, n_terms, size)
 
 
 def term_counts(bag_table: DataFrame, vocabulary: Vocabulary) -> DataFrame:

@@ -206,9 +206,9 @@ _FINAL = {
     "stopword_filter": f"SELECT id, len(words) AS n_words, len({NO_STOPS}) AS n_kept FROM worded",
     "raw_token_list": "SELECT id, len(tokens) AS n_tokens, array_to_string(tokens, ' ') AS tokens FROM raw",
     "alphanumeric_words": "SELECT id, len(tokens) AS n_tokens, array_to_string(tokens, ' ') AS tokens FROM plain",
-    "url_tokens": f"""SELECT id, n AS n_url_words FROM (SELECT id,
-        len({NO_STOPS.replace("words", _words(LOW, True), 1)}) - len({NO_STOPS.replace("words", _words(LOW, False), 1)}) AS n
-        FROM complete) WHERE n > 0""",
+    "url_tokens": f"""SELECT page_id,
+        len({NO_STOPS.replace("words", _words(LOW, True), 1)}) - len({NO_STOPS.replace("words", _words(LOW, False), 1)}) AS n_url_words
+        FROM (SELECT page_id, url || ' ' || html AS text FROM pages)""",
     "lemma_lookup": """SELECT t.id, coalesce(any_value(j.tokens), '') AS tokens FROM toks t LEFT JOIN (
         SELECT id, string_agg(coalesce(l.lemma, u.word), ' ' ORDER BY u.pos) AS tokens
         FROM (SELECT id, unnest(tokens) AS word, unnest(range(len(tokens))) AS pos FROM toks) u

@@ -3,13 +3,11 @@
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from textloom.functions.arrays import term_bag
 from textloom.functions.text import plain_words, raw_tokens, surface_tokens, tokenize
 from textloom.operators import (
     classify,
     clean,
     labels,
-    lookup,
     metrics,
     nmf,
     ordering,
@@ -32,6 +30,7 @@ SEQUENCE_LENGTH = 100
 BATCH_SIZE = 32
 SAMPLE_FRACTION = 0.2
 SHARDS = 8
+SVC_ITERATIONS = 40
 
 
 def _joined(column: str, alias: str):
@@ -137,11 +136,12 @@ def alphanumeric_words(spark, sf_dir):
 
 
 def url_tokens(spark, sf_dir):
-    table = corpus.complete_articles(spark, sf_dir)
-    text = F.col("text")
+    """Words that dropping URL-like tokens removes from each web page, its address in front."""
+    text = F.concat_ws(" ", "url", "html")
     with_urls = F.size(surface_tokens(text, urls=True)).cast("long")
     without = F.size(surface_tokens(text)).cast("long")
-    return table.select("id", (with_urls - without).alias("n_url_words")).filter("n_url_words > 0")
+    pages = corpus.table(spark, sf_dir, "pages")
+    return pages.select("page_id", (with_urls - without).alias("n_url_words"))
 
 
 def lemma_table(token_table: DataFrame) -> DataFrame:
@@ -427,9 +427,9 @@ def lda_top_words(spark, sf_dir):
 
 
 def lda_quality(spark, sf_dir):
-    _, _, fit = _lda(spark, sf_dir)
-    values = [(fit.log_likelihood, fit.perplexity)]
-    return spark.createDataFrame(values, "log_likelihood double, perplexity double")
+    _, counts, fit = _lda(spark, sf_dir)
+    values = list(fit.quality(counts.train).items())
+    return spark.createDataFrame(values, "measure string, value double")
 
 
 def pca_points(spark, sf_dir):
@@ -460,28 +460,28 @@ def embedding_points(spark, sf_dir):
 def svc_tfidf(spark, sf_dir):
     p = experiment.prepare(spark, sf_dir)
     features = {"tfidf": experiment.weighted_features(p, "tfidf")}
-    return classify.sweep(features, {"svc": classify.linear_svc()})
+    return classify.sweep(features, {"svc": classify.linear_svc(max_iter=SVC_ITERATIONS)})
 
 
 def svc_counts(spark, sf_dir):
     p = experiment.prepare(spark, sf_dir)
     features = {"counts": experiment.weighted_features(p, "count")}
-    return classify.sweep(features, {"svc": classify.linear_svc()})
+    return classify.sweep(features, {"svc": classify.linear_svc(max_iter=SVC_ITERATIONS)})
 
 
 def svc_nmf(spark, sf_dir):
     features = {"nmf": experiment.nmf_features(experiment.prepare(spark, sf_dir))}
-    return classify.sweep(features, {"svc": classify.linear_svc()})
+    return classify.sweep(features, {"svc": classify.linear_svc(max_iter=SVC_ITERATIONS)})
 
 
 def svc_lda(spark, sf_dir):
     features = {"lda": experiment.lda_features(experiment.prepare(spark, sf_dir))}
-    return classify.sweep(features, {"svc": classify.linear_svc()})
+    return classify.sweep(features, {"svc": classify.linear_svc(max_iter=SVC_ITERATIONS)})
 
 
 def svc_docvec(spark, sf_dir):
     features = {"docvec": experiment.docvec_features(spark, sf_dir)}
-    return classify.sweep(features, {"svc": classify.linear_svc()})
+    return classify.sweep(features, {"svc": classify.linear_svc(max_iter=SVC_ITERATIONS)})
 
 
 def logreg_scores(spark, sf_dir):

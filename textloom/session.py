@@ -2,6 +2,7 @@
 
 import tempfile
 import uuid
+from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
@@ -23,6 +24,11 @@ def local_session(cores="*", shuffle_partitions=8, memory="16g") -> SparkSession
     return spark
 
 
+@cache
+def _local_dir() -> str:
+    return tempfile.mkdtemp(prefix="textloom-")
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder named by ``spark.checkpoint.dir``.
 
@@ -34,9 +40,7 @@ def shared_dir(spark: SparkSession) -> str:
         return path.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
-    path = tempfile.mkdtemp(prefix="textloom-")
-    spark.conf.set("spark.checkpoint.dir", path)
-    return path
+    return _local_dir()
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
