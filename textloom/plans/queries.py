@@ -433,21 +433,32 @@ def lda_quality(spark, sf_dir):
 
 
 def pca_points(spark, sf_dir):
-    """Two-dimensional points of all documents for every feature set."""
+    """Two-dimensional points of all training documents over the whole vocabulary."""
     p = experiment.prepare(spark, sf_dir)
-    n_terms = p.vocabulary.n_terms
     points = {
-        name: reduce.sparse_pca(experiment.stored_rows(p, "train", weighting), n_terms).points
+        name: reduce.sparse_pca(
+            experiment.stored_rows(p, "train", weighting), p.vocabulary.n_terms, tol=1e-4
+        ).points
         for name, weighting in (("counts", "count"), ("tfidf", "tfidf"))
     }
-    points["nmf"] = reduce.dense_pca(nmf.as_array(experiment.nmf_fit(p).documents, 8))
-    lda = experiment.feature_array(experiment.lda_features(p))
-    points["lda"] = reduce.dense_pca(lda)
-    docvec = experiment.feature_array(experiment.docvec_features(spark, sf_dir))
-    points["docvec"] = reduce.dense_pca(docvec)
     return reduce.category_points(points, p.train)
 
 
+def pca_topic_points(spark, sf_dir):
+    p = experiment.prepare(spark, sf_dir)
+    points = {
+        "nmf": reduce.dense_pca(nmf.as_array(experiment.nmf_fit(p).documents, 8)),
+        "lda": reduce.dense_pca(experiment.feature_array(experiment.lda_features(p))),
+    }
+    return reduce.category_points(points, p.train)
+
+
+def pca_docvec_points(spark, sf_dir):
+    features = experiment.docvec_features(spark, sf_dir)
+    points = {"docvec": reduce.dense_pca(experiment.feature_array(features))}
+    return reduce.category_points(points, features.train)
+
+
 def embedding_points(spark, sf_dir):
     table = corpus.table(spark, sf_dir, "embeddings")
     points = reduce.dense_pca(table.withColumnRenamed("vec_id", "id"), "embedding")
@@ -616,7 +627,7 @@ QUERIES = {
         model_comparison, best_model, challenger_gate, argmax_logits, encode_sequence,
         attention_mask, family_inputs, batch_assign, shard_assign, nmf_one_step, nmf_topics,
         nmf_top_words, nmf_error, nmf_holdout, lda_topics, lda_top_words, lda_quality,
-        pca_points, embedding_points, svc_tfidf, svc_counts, svc_nmf, svc_lda, svc_docvec,
+        pca_points, pca_topic_points, pca_docvec_points, embedding_points, svc_tfidf, svc_counts, svc_nmf, svc_lda, svc_docvec,
         logreg_scores, mlp_scores, classifier_sweep, results_table, saved_model_scores,
         new_article_filter, tsv_scan, tsv_splits, entity_rows, daily_arrivals, stream_score,
     )
