@@ -30,7 +30,7 @@ SEQUENCE_LENGTH = 100
 BATCH_SIZE = 32
 SAMPLE_FRACTION = 0.2
 SHARDS = 8
-SVC_ITERATIONS = 40
+SVC_ITERATIONS = 20
 
 
 def _joined(column: str, alias: str):
