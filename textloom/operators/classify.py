@@ -51,9 +51,13 @@ def linear_svc(
     return build
 
 
-def logistic(max_iter: int = 50, reg: float = 0.0) -> Factory:
+def logistic(max_iter: int = 50, reg: float = 0.0, tol: float = 1e-4) -> Factory:
+    """Multinomial regression; ``max_iter`` plays the part of epochs, ``reg`` of weight decay."""
+
     def build(n_rows: int, n_features: int, n_classes: int) -> LogisticRegression:
-        return LogisticRegression(family="multinomial", maxIter=max_iter, regParam=reg)
+        return LogisticRegression(
+            family="multinomial", maxIter=max_iter, regParam=reg, tol=tol
+        )
 
     return build
 
