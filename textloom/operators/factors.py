@@ -16,6 +16,9 @@ from textloom.operators.lookup import lookup_join
 from textloom.operators.vectors import weights
 
 
+DOCUMENTS_PER_PARTITION = 20_000
+
+
 def columns(k: int, prefix: str = "c") -> list[str]:
     return [f"{prefix}{i}" for i in range(k)]
 
@@ -25,9 +28,12 @@ def cached_entries(rows: DataFrame) -> DataFrame:
 
     Documents are placed before their entries are spread out, so the shuffle moves compact
     rows. All later joins and sums by document reuse this placement without a shuffle. Lost
-    blocks are computed again from the stored ``rows``.
+    blocks are computed again from the stored ``rows``. Fewer partitions than configured are
+    used while the documents do not fill them.
     """
-    n = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    spark = rows.sparkSession
+    filled = max(spark.sparkContext.defaultParallelism, -(-rows.count() // DOCUMENTS_PER_PARTITION))
+    n = min(int(spark.conf.get("spark.sql.shuffle.partitions")), filled)
     placed = rows.select("id", "indices", "values").repartition(n, "id")
     entries = weights(placed).withColumnRenamed("weight", "x")
     return entries.persist(StorageLevel.MEMORY_AND_DISK)

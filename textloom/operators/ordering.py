@@ -74,12 +74,12 @@ def ordered_index(
     """0-based position of every row in the order of ``keys`` (unique together).
 
     Rows are range-partitioned and sorted; the position inside a partition is kept in the
-    written table, and only the partition sizes (one row each) are summed up in order.
+    written table, and only the partition sizes (one row each) are summed up in order. Unless
+    ``partitions`` is given, adaptive execution merges neighbouring ranges that are small.
     """
-    spark = df.sparkSession
-    partitions = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    ranges = [partitions, *keys] if partitions else keys
     placed = materialize(
-        df.repartitionByRange(partitions, *keys)
+        df.repartitionByRange(*ranges)
         .sortWithinPartitions(*keys)
         .withColumn("_placed", F.monotonically_increasing_id()),
         "ordered",
