@@ -8,16 +8,16 @@ from textloom.sources import articles as A
 from textloom.sources import results as R
 
 ENTITY = (
-    '[{"Label": "PGA Tour", "Type": "O", "WikidataId": "Q910409", "Confidence": 1.0, '
-    '"OccurrenceOffsets": [0, 7], "SurfaceForms": ["PGA Tour"]}]'
+    '[{"Label": "City Open", "Type": "O", "WikidataId": "Q1234", "Confidence": 1.0, '
+    '"OccurrenceOffsets": [0, 7], "SurfaceForms": ["City Open"]}]'
 )
 
 
 @pytest.fixture
 def news(tmp_path):
     lines = [
-        ["N1", "sports", "golf", 'PGA "Tour" winners', "A gallery.", "u", ENTITY, ""],
-        ["N2", "sports", "golf", '"quoted ""in"" title"', '"two\nlines"', "u", "[]", ""],
+        ["N1", "sports", "tennis", 'City "Open" winners', "Some pictures.", "u", ENTITY, ""],
+        ["N2", "sports", "tennis", '"quoted ""in"" title"', '"two\nlines"', "u", "[]", ""],
         ["N3", "music", "pop", "NA", "abstract", "u", "", ""],
         ["N4", "music", "pop", "title", "", "u", "null", ""],
     ]
@@ -31,7 +31,7 @@ def test_missing_values_quotes_and_line_breaks(spark, news):
     df = A.read_articles(spark, A.split_path(str(news), "train"))
     rows = {r["id"]: r for r in df.collect()}
     assert df.columns == A.ARTICLE_COLUMNS
-    assert rows["N1"]["title"] == 'PGA "Tour" winners'
+    assert rows["N1"]["title"] == 'City "Open" winners'
     assert rows["N2"]["title"] == 'quoted "in" title'
     assert rows["N2"]["abstract"] == "two\nlines"
     assert rows["N3"]["title"] is None and rows["N4"]["abstract"] is None
@@ -53,7 +53,7 @@ def test_entities_become_rows(spark, news):
     df = A.read_articles(spark, A.split_path(str(news), "train"))
     rows = {r["id"]: r for r in A.entity_rows(df).collect()}
     assert len(rows) == 4
-    assert rows["N1"]["label"] == "PGA Tour" and rows["N1"]["occurrence_offsets"] == [0, 7]
+    assert rows["N1"]["label"] == "City Open" and rows["N1"]["occurrence_offsets"] == [0, 7]
     assert rows["N3"]["label"] is None
 
 

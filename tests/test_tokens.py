@@ -22,7 +22,7 @@ def run(spark, text, tokenizer=X.tokenize):
         ("don't", ""),
         ("John's", "john"),
         ("don’t John’s", "john"),
-        ("visit msn.com/today please", "visit please"),
+        ("visit paper.com/today please", "visit please"),
         ("www.x.org", ""),
         ("end.Start next", "end start next"),
         ("U.S. economy", "u economy"),
