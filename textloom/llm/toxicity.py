@@ -2,7 +2,6 @@
 
 import math
 import re
-from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -15,9 +14,10 @@ from textloom.llm.language import held_out
 
 # The model is fitted on at most about this many labelled documents.
 SAMPLE_DOCS = 40_000
-PRIOR_TOKENS = 500.0
+# The Dirichlet prior of a word holds this share of its occurrences in both classes together.
+PRIOR_SHARE = 0.1
 # Words whose log-odds are this many standard deviations above zero count for toxicity.
-MIN_Z = 4.0
+MIN_Z = 3.0
 # What every other word costs, so that passages end where their words stop being toxic.
 STEP = 0.25
 SIGNIFICANT = 0.05
@@ -54,17 +54,6 @@ def segments(places: list[int], gains: list[float], step: float = STEP) -> list[
     return [(after - before, first, last) for before, after, first, last in kept]
 
 
-def log_odds(toxic: np.ndarray, clean: np.ndarray, prior_tokens: float = PRIOR_TOKENS) -> tuple[np.ndarray, np.ndarray]:
-    """Log-odds of each word between the classes and its z-score, with a Dirichlet prior.
-
-    The prior holds ``prior_tokens`` tokens shared out as the words of both classes together.
-    """
-    prior = prior_tokens * (toxic + clean) / (toxic + clean).sum()
-    a, b = toxic + prior, clean + prior
-    odds = np.log(a / (a.sum() - a)) - np.log(b / (b.sum() - b))
-    return odds, odds / np.sqrt(1 / a + 1 / b)
-
-
 def _scan(docs: DataFrame, gains: dict[str, float]) -> DataFrame:
     """(_id, _th, n_words, segment scores, starts, ends) of each row."""
     known = docs.sparkSession.sparkContext.broadcast(gains)
@@ -133,10 +122,11 @@ def isotonic(x: np.ndarray, y: np.ndarray) -> tuple[list[float], list[float]]:
 def fit(docs: DataFrame, labels: DataFrame, sample_docs: int = SAMPLE_DOCS) -> dict:
     """Word gains and calibration from (doc_id, text) and (doc_id, toxic).
 
-    Several labels of a document count as toxic if one does; null labels and ids are left out. The fit
+    A document is toxic if one of its labels says so; null labels and ids are left out. The fit
     reads about ``sample_docs`` labelled documents, chosen by a hash of their id; of equal texts
-    one is counted. Words are counted in Spark. Only the words of significant log-odds, at most
-    the tokens of the sample divided by MIN_Z squared, and one number per sampled document
+    one is counted. Words are counted in Spark, once per document; their log-odds between the
+    classes have a Dirichlet prior in proportion to both. Only the words of significant log-odds, at most
+    the words of the sample's toxic documents, and one number per sampled document
     reach the driver. Without labels of both classes every text scores the same.
     """
     marks = labels.filter("doc_id IS NOT NULL AND toxic IS NOT NULL").groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
@@ -155,8 +145,8 @@ def fit(docs: DataFrame, labels: DataFrame, sample_docs: int = SAMPLE_DOCS) -> d
     def count(columns):
         seen: dict[str, list[int]] = {}
         for text, toxic in zip(*columns):
-            for word, n in Counter(words_of(text)).items():
-                seen.setdefault(word, [0, 0])[toxic] += n
+            for word in set(words_of(text)):
+                seen.setdefault(word, [0, 0])[toxic] += 1
         return [list(seen), [v[1] for v in seen.values()], [v[0] for v in seen.values()]]
 
     counted = map_batches(sample, count, "word string, toxic long, clean long", ["text", "toxic"])
@@ -165,10 +155,9 @@ def fit(docs: DataFrame, labels: DataFrame, sample_docs: int = SAMPLE_DOCS) -> d
     a, b = counted.agg(F.sum("toxic"), F.sum("clean")).first()
     if not a or not b:
         return base
-    # The same formula as log_odds, over the whole table.
-    prior = (F.col("toxic") + F.col("clean")) * (PRIOR_TOKENS / (a + b))
+    prior, mass = (F.col("toxic") + F.col("clean")) * PRIOR_SHARE, (a + b) * PRIOR_SHARE
     x, y = F.col("toxic") + prior, F.col("clean") + prior
-    odds = F.log(x / (a + PRIOR_TOKENS - x)) - F.log(y / (b + PRIOR_TOKENS - y))
+    odds = F.log(x / (a + mass - x)) - F.log(y / (b + mass - y))
     strong = counted.withColumns({"odds": odds, "z": odds / F.sqrt(1 / x + 1 / y)}).filter(F.col("z") >= MIN_Z)
     words = strong.orderBy("word").collect()
     gains = {r["word"]: r["odds"] for r in words}
