@@ -15,9 +15,9 @@ from pyspark.sql import functions as F
 from textloom.llm.common import arrow_fields, balanced, by_bytes, to_batch
 
 TOKENIZER = "byte_bpe_50k.json"
-BATCH_CHARS = 12 << 20
+BATCH_CHARS = 3 << 20
 # Distinct pieces of text whose ids are remembered in a task before the memory starts anew.
-REMEMBERED = 500_000
+REMEMBERED = 200_000
 # White space of the pre-tokenizer, written out because Python's \s also takes control characters.
 SPACES = "\\t-\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000"
 

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from textloom.llm.common import arrow_fields, balanced, by_bytes, materialize, to_batch
+from textloom.llm.common import arrow_fields, balanced, materialize, to_batch
 
 VOCABULARY = "piece_bpe_32k.model"
 # The model is fitted on at most about this many documents of each language.
@@ -19,8 +19,7 @@ ROUNDS = 3
 PART = 32
 LONGEST = 12
 SMOOTHING = 0.1
-BATCH_CHARS = 8 << 20
-REMEMBERED = 400_000
+REMEMBERED = 200_000
 UNDECIDED = "und"
 MARK = "▁"  # fixed value: the word start of the vocabulary
 LETTERS = re.compile(r"[^\W\d_]+")

@@ -11,9 +11,9 @@ from textloom.llm.common import arrow_fields, balanced, by_bytes, to_batch
 
 TOKENIZER = "piece_bpe_32k.model"
 TOKEN_LIMIT = 4096
-BATCH_CHARS = 4 << 20
+BATCH_CHARS = 3 << 20
 # Distinct segments whose length is remembered in a task before the memory starts anew.
-REMEMBERED = 300_000
+REMEMBERED = 200_000
 MARK = "▁"  # fixed value: the visible space of the vocabulary
 SEGMENT = re.compile(f"[ {MARK}]+[^ {MARK}]*")
 
