@@ -14,7 +14,7 @@ from textloom.session import materialize, scratch_path, spread
 BROADCAST_BYTES = 32 << 20
 # A null id joins as this value; the text hash beside it keeps such rows apart.
 NULL_ID = -(1 << 63)
-KEY = ["_id", "_th"]
+KEY = ["_llm_id", "_llm_th"]
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -34,8 +34,8 @@ def keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """
     return docs.withColumns(
         {
-            "_id": F.coalesce(F.col(id_col).cast("long"), F.lit(NULL_ID)),
-            "_th": F.xxhash64(F.col(text_col)),
+            KEY[0]: F.coalesce(F.col(id_col).cast("long"), F.lit(NULL_ID)),
+            KEY[1]: F.xxhash64(F.col(text_col)),
         }
     )
 

@@ -15,6 +15,7 @@ WINDOW = 35
 ANCHOR = 8
 # Windows handled at once; longer documents are walked in pieces that overlap.
 PIECE = 1 << 20
+NEW = ["n_words", "n_removed", "kept_text"]
 U64 = np.uint64
 SPACE = np.zeros(256, bool)
 SPACE[[0x20, *range(0x09, 0x0E)]] = True
@@ -96,7 +97,7 @@ def anchors(words: np.ndarray, window: int, k: int) -> tuple[np.ndarray, ...]:
 
 
 def seeds(docs: DataFrame, window: int, k: int) -> DataFrame:
-    """All anchor runs of all documents: (_id, _th, ah, e, l, n)."""
+    """All anchor runs of all documents: (_llm_id, _llm_th, ah, e, l, n)."""
 
     def run(columns):
         out = [[] for _ in range(6)]
@@ -109,7 +110,7 @@ def seeds(docs: DataFrame, window: int, k: int) -> DataFrame:
                     column.append(part)
         return [np.concatenate(c) if c else [] for c in out]
 
-    schema = "_id long, _th long, ah long, e long, l int, n int"
+    schema = "_llm_id long, _llm_th long, ah long, e long, l int, n int"
     return map_batches(docs, run, schema, [*KEY, "text"])
 
 
@@ -120,7 +121,7 @@ def repeated_runs(runs: DataFrame) -> DataFrame:
     Only anchors with several different extents need that: an extent that occurs twice makes all
     its windows repeated, and of equal extents one run is compared for all.
     """
-    extents = runs.groupBy("ah", "e").agg(F.count("*").alias("c"), F.min("_id").alias("lead"))
+    extents = runs.groupBy("ah", "e").agg(F.count("*").alias("c"), F.min(KEY[0]).alias("lead"))
     extents = materialize(extents, "extents")
     shared = extents.groupBy("ah").agg(F.sum("c").alias("t"), F.count("*").alias("kinds")).filter("t > 1")
     wanted = materialize(
@@ -133,12 +134,12 @@ def repeated_runs(runs: DataFrame) -> DataFrame:
         "l",
         "n",
         (F.col("c") > 1).alias("repeated"),
-        (F.col("mixed") & ((F.col("c") == 1) | (F.col("_id") == F.col("lead")))).alias("extend"),
+        (F.col("mixed") & ((F.col("c") == 1) | (F.col(KEY[0]) == F.col("lead")))).alias("extend"),
     )
 
 
 def extended_windows(docs: DataFrame, runs: DataFrame, window: int) -> DataFrame:
-    """Repeated windows (_id, _th, l, n = 1) among those of the runs to extend."""
+    """Repeated windows (_llm_id, _llm_th, l, n = 1) among those of the runs to extend."""
 
     def run(columns):
         out = [[] for _ in range(6)]
@@ -154,7 +155,7 @@ def extended_windows(docs: DataFrame, runs: DataFrame, window: int) -> DataFrame
 
     lists = runs.filter("extend").groupBy(*KEY).agg(F.collect_list(F.struct("l", "n", "repeated")).alias("runs"))
     lists = materialize(lists, "extend")
-    schema = "_id long, _th long, w1 long, w2 long, l int, weight int"
+    schema = "_llm_id long, _llm_th long, w1 long, w2 long, l int, weight int"
     # Rows equal in id and text would write their windows twice; both lists already hold both.
     rows = sized_join(docs, lists, KEY, "inner")
     windows = materialize(map_batches(rows, run, schema, [*KEY, "text", "runs"]), "windows")
@@ -171,9 +172,10 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, k: int = ANCHOR) -> Da
     space, tab and line-ending characters; kept words are joined by one space. Null and empty
     texts have no words and an empty kept_text; texts shorter than a window stay. Repeated rows
     repeat each other. No windows are paired within a group: equal ones are counted by hash
-    (128 bits), so a passage in a third of all documents costs a count.
+    (128 bits), so a passage in a third of all documents costs a count. Existing columns with the
+    names of the new ones are replaced.
     """
-    docs = keyed(balanced(docs), "doc_id", "text")
+    docs = keyed(balanced(docs.drop(*NEW, "_spans")), "doc_id", "text")
     runs = materialize(seeds(docs, window, k), "seeds")
     marked = materialize(repeated_runs(runs), "runs")
     whole = marked.filter("repeated").select(*KEY, "l", "n")
@@ -181,7 +183,7 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, k: int = ANCHOR) -> Da
     spans = materialize(
         hits.groupBy(*KEY).agg(F.collect_list(F.struct("l", "n")).alias("_spans")), "spans"
     )
-    carried = [c for c in docs.columns if c not in KEY]
+    carried = [c for c in docs.columns if c not in (*KEY, *NEW, "_spans")]
     rows = sized_join(docs, spans, KEY)
     return cut_spans(rows, window, carried)
 
@@ -208,7 +210,6 @@ def cut_spans(rows: DataFrame, window: int, carried: list[str]) -> DataFrame:
             extra = [pa.array(counts, pa.int64()), pa.array(removed, pa.int64()), pa.array(kept, pa.binary()).cast(pa.string())]
             yield pa.RecordBatch.from_arrays([*columns, *extra], names=[*carried, *NEW])
 
-    NEW = ["n_words", "n_removed", "kept_text"]
     fields = [rows.schema[c] for c in carried]
     schema = T.StructType(fields).add("n_words", "long").add("n_removed", "long").add("kept_text", "string")
     return rows.select(*carried, "_spans").mapInArrow(run, schema)

@@ -55,9 +55,9 @@ def segments(places: list[int], gains: list[float], step: float = STEP) -> list[
 
 
 def _scan(docs: DataFrame, gains: dict[str, float]) -> DataFrame:
-    """(_id, _th, n_words, segment scores, starts, ends) of each row."""
+    """(_llm_id, _llm_th, n_words, segment scores, starts, ends) of each row."""
     known = docs.sparkSession.sparkContext.broadcast(gains)
-    schema = "_id long, _th long, n_words long, scores array<double>, starts array<long>, ends array<long>"
+    schema = "_llm_id long, _llm_th long, n_words long, scores array<double>, starts array<long>, ends array<long>"
 
     def run(columns):
         table, out = known.value, [[] for _ in range(6)]
