@@ -79,3 +79,14 @@ def test_sequences_of_every_length(spark):
         sequences.model_inputs(encoded, "gpt-2")
     with pytest.raises(TypeError):
         sequences.encode(df, vocabulary, text=1.5)
+
+
+def test_unlisted_prediction_stops_the_matrix(spark):
+    rows = spark.createDataFrame([("en", "en"), ("en", "xx")], "y string, p string")
+    with pytest.raises(Exception, match="class not listed: xx"):
+        metrics.confusion_matrix(rows, ["en", "fr"]).collect()
+
+
+def test_first_model_is_promoted(spark):
+    table = spark.createDataFrame([("new", 0.5)], "model string, f1_macro double")
+    assert [r.promote for r in metrics.challenger_gate(table, "old").collect()] == [True]

@@ -69,3 +69,8 @@ def test_small_table_is_broadcast_and_large_is_not(spark):
     large = lookup.lookup_join(rows, table, "k", limit=0)
     spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     assert large.count() == 10
+
+
+def test_planned_steps_needs_a_full_accumulation():
+    with pytest.raises(ValueError):
+        ordering.planned_steps(10, 32, 1, 2)

@@ -85,3 +85,8 @@ def test_split_keeps_copies_together(spark):
     split = clean.hash_split(df, fraction=0.8)
     assert split.groupBy("text").agg(F.count_distinct("split").alias("n")).filter("n > 1").count() == 0
     assert 0.65 < split.filter("split = 'train'").count() / 1000 < 0.95
+
+
+def test_whole_split_takes_every_hash(spark):
+    df = spark.range(70000).withColumn("text", F.col("id").cast("string"))
+    assert clean.hash_split(df, fraction=1.0).filter("split = 'test'").count() == 0

@@ -34,13 +34,14 @@ Factory = Callable[[int, int, int], object]
 
 
 def linear_svc(
-    c: float = 1.0, max_iter: int = 100, tol: float = 1e-4, parallelism: int = 4
+    c: float = 1.0, max_iter: int = 1000, tol: float = 1e-4, parallelism: int = 4
 ) -> Factory:
     """One-vs-rest linear SVM. ``c`` is the usual penalty on the summed loss.
 
     Spark averages the loss over rows, so the same trade-off is regParam = 1 / (c n). Spark
     uses the plain hinge loss, and every iteration is at least one pass over all rows, so far
-    fewer of them are needed than coordinate steps in a single-machine solver.
+    fewer of them are needed than coordinate steps in a single-machine solver. The tolerance is
+    meant to end the fit; ``max_iter`` is a guard.
     """
 
     def build(n_rows: int, n_features: int, n_classes: int) -> OneVsRest:
@@ -164,13 +165,19 @@ def dense_features(df: DataFrame, vector: str = "vector") -> DataFrame:
     return df.select("id", "category", array_to_vector(vector).alias("features"))
 
 
-def fit_word2vec(token_table: DataFrame, dim: int = 50, max_iter: int = 1, seed: int = 42):
-    """Word vectors trained on the corpus; transforming averages the vectors of a document."""
+def fit_word2vec(
+    token_table: DataFrame, dim: int = 50, max_iter: int = 1, seed: int = 42, partitions: int = 8
+):
+    """Word vectors trained on the corpus; transforming averages the vectors of a document.
+
+    ``partitions`` are trained apart and merged after each pass, so their number is part of the
+    model and does not follow the cores of the cluster.
+    """
     return Word2Vec(
         vectorSize=dim,
         minCount=2,
         maxIter=max_iter,
-        numPartitions=token_table.sparkSession.sparkContext.defaultParallelism,
+        numPartitions=partitions,
         seed=seed,
         inputCol="tokens",
         outputCol="features",

@@ -87,5 +87,6 @@ def hash_split(
 
 
 def split_bound(fraction: float) -> str:
-    """The four hex digits below which a share of ``fraction`` of all hashes lies."""
-    return f"{min(round(fraction * 65536), 65535):04x}"
+    """The string below which a share of ``fraction`` of all four-digit hex hashes sorts."""
+    bound = round(fraction * 65536)
+    return f"{bound:04x}" if bound < 65536 else "g"

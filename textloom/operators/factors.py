@@ -28,13 +28,12 @@ def cached_entries(rows: DataFrame) -> DataFrame:
 
     Documents are placed before their entries are spread out, so the shuffle moves compact
     rows. All later joins and sums by document reuse this placement without a shuffle. Lost
-    blocks are computed again from the stored ``rows``. Fewer partitions than configured are
-    used while the documents do not fill them.
+    blocks are computed again from the stored ``rows``. The number of partitions follows the
+    number of documents, which also bounds the hash tables of the joins by document.
     """
     spark = rows.sparkSession
     filled = max(spark.sparkContext.defaultParallelism, -(-rows.count() // DOCUMENTS_PER_PARTITION))
-    n = min(int(spark.conf.get("spark.sql.shuffle.partitions")), filled)
-    placed = rows.select("id", "indices", "values").repartition(n, "id")
+    placed = rows.select("id", "indices", "values").repartition(filled, "id")
     entries = weights(placed).withColumnRenamed("weight", "x")
     return entries.persist(StorageLevel.MEMORY_AND_DISK)
 

@@ -3,6 +3,8 @@
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from textloom.operators.lookup import lookup_join
+
 
 def fit_labels(train: DataFrame, column: str = "category") -> DataFrame:
     """(category, code). The window orders distinct labels only, one row per class."""
@@ -20,10 +22,10 @@ def unseen_labels(df: DataFrame, labels: DataFrame, column: str = "category") ->
 def encode_labels(df: DataFrame, labels: DataFrame, column: str = "category") -> DataFrame:
     """Add ``code``; a label without a code stops the job when the row is computed."""
     message = F.concat(F.lit("label not seen in training: "), F.coalesce(column, F.lit("NULL")))
-    joined = df.join(labels, column, "left")
+    joined = lookup_join(df, labels, column, "left")
     return joined.withColumn("code", F.coalesce("code", F.raise_error(message).cast("long")))
 
 
 def decode_labels(df: DataFrame, labels: DataFrame, column: str = "category") -> DataFrame:
     """Add the label of every ``code``."""
-    return df.join(labels.select("code", column), "code", "left")
+    return lookup_join(df, labels.select("code", column), "code", "left")

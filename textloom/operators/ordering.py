@@ -135,6 +135,8 @@ def planned_steps(n_rows: int, batch_size: int, epochs: int = 1, accumulate: int
     if epochs < 1:
         raise ValueError("either max_steps or epochs must be positive")
     batches = -(-n_rows // batch_size)
+    if batches < accumulate:
+        raise ValueError("fewer batches in an epoch than are accumulated for one step")
     return batches // accumulate * epochs
 
 

@@ -32,12 +32,12 @@ def _total(vector: str):
 
 
 def fit_lda(vectors: DataFrame, k: int = 8, max_iter: int = 20, seed: int = 42) -> LdaFit:
-    """Online variational LDA on count vectors in ``features``.
+    """Variational LDA on count vectors in ``features``; every step reads all documents.
 
     The model holds k weights per term on the driver, as every Spark ML model does.
     """
     cached = vectors.persist(StorageLevel.MEMORY_AND_DISK)
-    model = LDA(k=k, maxIter=max_iter, optimizer="online", seed=seed).fit(cached)
+    model = LDA(k=k, maxIter=max_iter, optimizer="online", subsamplingRate=1.0, seed=seed).fit(cached)
     cached.unpersist()
     return LdaFit(model)
 

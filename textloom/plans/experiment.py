@@ -19,8 +19,6 @@ from textloom.operators.vectors import (
 from textloom.plans.corpus import part, split_corpus
 from textloom.session import materialize
 
-NMF_ITERATIONS = 10
-
 
 @dataclass(frozen=True)
 class Prepared:
@@ -51,7 +49,7 @@ def stored_rows(p: Prepared, split: str = "train", weighting: str = "tfidf") ->
     return materialize(sparse_rows(side, p.vocabulary, weighting), f"{weighting}-{split}")
 
 
-def nmf_fit(p: Prepared, k: int = 8, max_iter: int = NMF_ITERATIONS) -> nmf.NmfModel:
+def nmf_fit(p: Prepared, k: int = 8, max_iter: int = 200) -> nmf.NmfModel:
     return nmf.fit_nmf(stored_rows(p), p.vocabulary.n_terms, k=k, max_iter=max_iter)
 
 

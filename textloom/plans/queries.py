@@ -30,7 +30,6 @@ SEQUENCE_LENGTH = 100
 BATCH_SIZE = 32
 SAMPLE_FRACTION = 0.2
 SHARDS = 8
-SVC_ITERATIONS = 20
 
 
 def _joined(column: str, alias: str):
@@ -423,7 +422,7 @@ def lda_topics(spark, sf_dir):
 
 def lda_top_words(spark, sf_dir):
     p, _, fit = _lda(spark, sf_dir)
-    return topics.top_topic_words(topics.lda_topic_terms(fit), p.vocabulary)
+    return topics.top_topic_words(topics.lda_topic_terms(fit, 8), p.vocabulary)
 
 
 def lda_quality(spark, sf_dir):
@@ -437,7 +436,7 @@ def pca_points(spark, sf_dir):
     p = experiment.prepare(spark, sf_dir)
     points = {
         name: reduce.sparse_pca(
-            experiment.stored_rows(p, "train", weighting), p.vocabulary.n_terms, tol=1e-4
+            experiment.stored_rows(p, "train", weighting), p.vocabulary.n_terms
         ).points
         for name, weighting in (("counts", "count"), ("tfidf", "tfidf"))
     }
@@ -471,28 +470,28 @@ def embedding_points(spark, sf_dir):
 def svc_tfidf(spark, sf_dir):
     p = experiment.prepare(spark, sf_dir)
     features = {"tfidf": experiment.weighted_features(p, "tfidf")}
-    return classify.sweep(features, {"svc": classify.linear_svc(max_iter=SVC_ITERATIONS)})
+    return classify.sweep(features, {"svc": classify.linear_svc()})
 
 
 def svc_counts(spark, sf_dir):
     p = experiment.prepare(spark, sf_dir)
     features = {"counts": experiment.weighted_features(p, "count")}
-    return classify.sweep(features, {"svc": classify.linear_svc(max_iter=SVC_ITERATIONS)})
+    return classify.sweep(features, {"svc": classify.linear_svc()})
 
 
 def svc_nmf(spark, sf_dir):
     features = {"nmf": experiment.nmf_features(experiment.prepare(spark, sf_dir))}
-    return classify.sweep(features, {"svc": classify.linear_svc(max_iter=SVC_ITERATIONS)})
+    return classify.sweep(features, {"svc": classify.linear_svc()})
 
 
 def svc_lda(spark, sf_dir):
     features = {"lda": experiment.lda_features(experiment.prepare(spark, sf_dir))}
-    return classify.sweep(features, {"svc": classify.linear_svc(max_iter=SVC_ITERATIONS)})
+    return classify.sweep(features, {"svc": classify.linear_svc()})
 
 
 def svc_docvec(spark, sf_dir):
     features = {"docvec": experiment.docvec_features(spark, sf_dir)}
-    return classify.sweep(features, {"svc": classify.linear_svc(max_iter=SVC_ITERATIONS)})
+    return classify.sweep(features, {"svc": classify.linear_svc()})
 
 
 def logreg_scores(spark, sf_dir):
