@@ -153,10 +153,10 @@ def extended_windows(docs: DataFrame, runs: DataFrame, window: int) -> DataFrame
                 column.append(part)
         return [np.concatenate(c) if c else [] for c in out]
 
-    lists = runs.filter("extend").groupBy(*KEY).agg(F.collect_list(F.struct("l", "n", "repeated")).alias("runs"))
+    lists = runs.filter("extend").groupBy(*KEY).agg(F.collect_set(F.struct("l", "n", "repeated")).alias("runs"))
     lists = materialize(lists, "extend")
     schema = "_llm_id long, _llm_th long, w1 long, w2 long, l int, weight int"
-    # Rows equal in id and text would write their windows twice; both lists already hold both.
+    # Rows equal in id and text share one list, never longer than one text has windows.
     rows = sized_join(docs, lists, KEY, "inner")
     windows = materialize(map_batches(rows, run, schema, [*KEY, "text", "runs"]), "windows")
     often = windows.groupBy("w1", "w2").agg(F.sum("weight").alias("weight")).filter("weight > 1")
@@ -181,7 +181,7 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, k: int = ANCHOR) -> Da
     whole = marked.filter("repeated").select(*KEY, "l", "n")
     hits = whole.unionByName(extended_windows(docs, marked, window))
     spans = materialize(
-        hits.groupBy(*KEY).agg(F.collect_list(F.struct("l", "n")).alias("_spans")), "spans"
+        hits.groupBy(*KEY).agg(F.collect_set(F.struct("l", "n")).alias("_spans")), "spans"
     )
     carried = [c for c in docs.columns if c not in (*KEY, *NEW, "_spans")]
     rows = sized_join(docs, spans, KEY)
