@@ -123,8 +123,8 @@ def fit(docs: DataFrame, labels: DataFrame, sample_docs: int = SAMPLE_DOCS) -> d
     """Word gains and calibration from (doc_id, text) and (doc_id, toxic).
 
     A document is toxic if one of its labels says so; null labels and ids are left out. The fit
-    reads about ``sample_docs`` labelled documents, chosen by a hash of their id; of equal texts
-    one is counted. Words are counted in Spark, once per document; their log-odds between the
+    reads about ``sample_docs`` labelled documents, chosen by a hash of their id; equal texts count
+    as one, toxic if one of them is. Words are counted in Spark, once per document; their log-odds between the
     classes have a Dirichlet prior in proportion to both. Only the words of significant log-odds, at most
     the words of the sample's toxic documents, and one number per sampled document
     reach the driver. Without labels of both classes every text scores the same.
@@ -135,7 +135,8 @@ def fit(docs: DataFrame, labels: DataFrame, sample_docs: int = SAMPLE_DOCS) -> d
     drawn = F.pmod(F.xxhash64("doc_id", F.lit(5)), F.lit(1 << 30)) < share * (1 << 30)
     marks = materialize(marks.filter(drawn).withColumn("toxic", (F.col("toxic") > 0).cast("int")), "marks")
     sample = sized_join(docs.select("doc_id", "text"), marks, ["doc_id"], "inner")
-    sample = sample.withColumn("_th", F.xxhash64("text")).dropDuplicates(["_th"])
+    alike = sample.groupBy(F.xxhash64("text").alias("_th"))
+    sample = alike.agg(F.min("doc_id").alias("doc_id"), F.max("toxic").alias("toxic"), F.first("text").alias("text"))
     sample = materialize(keyed(sample, "doc_id", "text").select(*KEY, "text", "toxic"), "sample")
     n_docs, n_toxic = sample.agg(F.count("*"), F.coalesce(F.sum("toxic"), F.lit(0))).first()
     base = {"gains": {}, "rate": 1.0, "scale": 1.0, "edges": [0.0], "values": [(n_toxic + 0.5) / (n_docs + 1)]}
