@@ -42,6 +42,8 @@ def test_stored_model_scores_batch_and_stream_alike(spark, small_corpus, setup,
     expected = {r["id"]: r["predicted"] for r in model.score(small_corpus).collect()}
     assert {r["id"]: r["predicted"] for r in loaded.score(small_corpus).collect()} == expected
     assert len(expected) == 26
+    again = ArticleModel.load(spark, loaded.save(str(tmp_path / "model")))
+    assert {r["id"]: r["predicted"] for r in again.score(small_corpus).collect()} == expected
     cars = loaded.score_only(small_corpus, ["cars"]).count()
     assert cars == sum(p == "cars" for p in expected.values())
 

@@ -4,7 +4,7 @@ from collections import Counter
 import pytest
 from pyspark.sql import functions as F
 
-from textloom.operators import ranking, vectors as V
+from textloom.operators import ranking, sequences, vectors as V
 
 
 @pytest.fixture(scope="module")
@@ -78,3 +78,25 @@ def test_top_terms_break_ties_by_term(spark):
     assert [r["term_id"] for r in top] == [1, 2]
     plan = ranking.top_terms(df, 2)._jdf.queryExecution().executedPlan().toString()
     assert "WindowGroupLimit" in plan
+
+
+def test_rows_that_repeat_an_id_stay_apart(spark, fitted):
+    _, vocabulary = fitted
+    rows = [(1, "cat dog"), (1, "cat fur fur"), (1, "cat fur fur"), (2, "cat"), (3, ""), (3, "")]
+    table = V.tokens(spark.createDataFrame(rows, "id long, text string"))
+    found = sorted((r["id"], r["values"]) for r in V.sparse_rows(V.bags(table), vocabulary, "count").collect())
+    assert found == [(1, [1.0, 1.0]), (1, [1.0, 2.0]), (1, [1.0, 2.0]), (2, [1.0]), (3, []), (3, [])]
+    lemmas = spark.createDataFrame([("fur", "Hair")], "surface string, lemma string")
+    words = sorted((r["id"], " ".join(r["tokens"])) for r in V.lemmatize(table, lemmas).collect())
+    assert words == [(1, "cat dog"), (1, "cat hair hair"), (1, "cat hair hair"), (2, "cat"), (3, ""), (3, "")]
+    texts = spark.createDataFrame(rows, "id long, text string")
+    assert sequences.encode(texts, vocabulary, max_len=8).groupBy("id").count().orderBy("id").collect() == [
+        (1, 3), (2, 1), (3, 2)
+    ]
+
+
+def test_vectors_of_different_lengths_are_an_error(spark):
+    df = spark.createDataFrame([([1.0, 2.0],), ([1.0],)], "v array<double>")
+    assert V.common_width(df.filter("size(v) = 2"), "v") == 2
+    with pytest.raises(ValueError):
+        V.common_width(df, "v")

@@ -1,6 +1,7 @@
 """Training, scoring, storing and comparing multiclass classifiers with Spark ML."""
 
 import time
+import uuid
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
@@ -18,8 +19,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from textloom.functions.arrays import argmax
-from textloom.functions.text import tokenize
-from textloom.operators.metrics import compare_models, model_scores
+from textloom.functions.text import plain_words, raw_tokens, tokenize
+from textloom.operators.metrics import class_report, compare_models, model_scores
 from textloom.operators.vectors import (
     Vocabulary,
     bags,
@@ -128,11 +129,16 @@ def argmax_scores(df: DataFrame, scores: str) -> Column:
     return argmax(vector_to_array(column) if is_vector else column)
 
 
-def sweep(feature_sets: dict[str, FeatureSet], factories: dict[str, Factory]) -> DataFrame:
-    """Train every classifier on every feature set and compare them.
+@dataclass(frozen=True)
+class Sweep:
+    """The fitted models and their ``predictions`` (model, split, id, y, p)."""
 
-    One row per model: train and test accuracy, macro F1 on the test rows, hours of fitting.
-    """
+    trained: list[Trained]
+    predictions: DataFrame
+
+
+def sweep_predictions(feature_sets: dict[str, FeatureSet], factories: dict[str, Factory]) -> Sweep:
+    """Train every classifier on every feature set and predict both splits."""
     trained, predictions = [], None
     for set_name, features in feature_sets.items():
         for kind, factory in factories.items():
@@ -142,6 +148,26 @@ def sweep(feature_sets: dict[str, FeatureSet], factories: dict[str, Factory]) ->
             for split, rows in (("train", features.train), ("test", features.test)):
                 part = predict(fitted, rows, split)
                 predictions = part if predictions is None else predictions.unionByName(part)
+    return Sweep(trained, predictions)
+
+
+def model_reports(swept: Sweep, split: str = "test") -> DataFrame:
+    """(model, class, precision, recall, f1, support) of every model, averages included."""
+    reports = None
+    for t in swept.trained:
+        own = swept.predictions.filter((F.col("model") == t.name) & (F.col("split") == split))
+        report = class_report(own).select(F.lit(t.name).alias("model"), "*")
+        reports = report if reports is None else reports.unionByName(report)
+    return reports
+
+
+def sweep(feature_sets: dict[str, FeatureSet], factories: dict[str, Factory]) -> DataFrame:
+    """Train every classifier on every feature set and compare them.
+
+    One row per model: train and test accuracy, macro F1 on the test rows, hours of fitting.
+    """
+    swept = sweep_predictions(feature_sets, factories)
+    trained, predictions = swept.trained, swept.predictions
     spark = predictions.sparkSession
     hours = spark.createDataFrame(
         [(t.name, t.train_hours) for t in trained], "model string, train_hours double"
@@ -184,17 +210,25 @@ def fit_word2vec(
     ).fit(token_table)
 
 
+# Tokenizers that a stored model can name.
+TOKENIZERS = {"tokenize": tokenize, "plain_words": plain_words, "raw_tokens": raw_tokens}
+
+
 @dataclass(frozen=True)
 class ArticleModel:
-    """A vocabulary and a classifier that together score raw article text."""
+    """A vocabulary and a classifier that together score raw article text.
+
+    ``tokenizer`` names the tokenizer that the vocabulary was fitted with.
+    """
 
     vocabulary: Vocabulary
     classifier: PipelineModel
     weighting: str = "tfidf"
+    tokenizer: str = "tokenize"
 
-    def score(self, articles: DataFrame, tokenizer=tokenize) -> DataFrame:
+    def score(self, articles: DataFrame) -> DataFrame:
         """Add ``predicted`` to (id, text) articles; works for batches of any size."""
-        bag_table = bags(tokens(articles.select("id", "text"), tokenizer))
+        bag_table = bags(tokens(articles.select("id", "text"), TOKENIZERS[self.tokenizer]))
         rows = sparse_rows(bag_table, self.vocabulary, self.weighting)
         vectors = lazy_ml_vectors(rows, self.vocabulary.n_terms)
         return self.classifier.transform(vectors).select("id", "predicted")
@@ -204,24 +238,29 @@ class ArticleModel:
         return self.score(articles).filter(F.col("predicted").isin(list(categories)))
 
     def save(self, path: str | None = None) -> str:
-        """Store the model in a directory, by default ``fine_tuned`` in the shared folder."""
-        table = self.vocabulary.table
-        spark = table.sparkSession
+        """Store the model in a directory, by default ``fine_tuned`` in the shared folder.
+
+        Each save writes a folder of its own and adds its name to ``versions`` last, so readers
+        see the old model or the new one, and a loaded model can be saved where it came from.
+        """
+        v, spark = self.vocabulary, self.vocabulary.table.sparkSession
         path = path or f"{shared_dir(spark)}/fine_tuned"
-        table.write.mode("overwrite").parquet(f"{path}/vocabulary")
-        self.classifier.write().overwrite().save(f"{path}/classifier")
-        v = self.vocabulary
-        facts = [(v.n_docs, v.n_terms, v.size, self.weighting)]
-        schema = "n_docs long, n_terms long, size long, weighting string"
-        spark.createDataFrame(facts, schema).write.mode("overwrite").parquet(f"{path}/facts")
+        version = uuid.uuid4().hex
+        v.table.write.parquet(f"{path}/{version}/vocabulary")
+        self.classifier.write().save(f"{path}/{version}/classifier")
+        facts = [(version, time.time(), v.n_docs, v.n_terms, v.size, self.weighting, self.tokenizer)]
+        schema = """version string, saved_at double, n_docs long, n_terms long, size long,
+            weighting string, tokenizer string"""
+        spark.createDataFrame(facts, schema).coalesce(1).write.mode("append").parquet(f"{path}/versions")
         return path
 
     @staticmethod
     def load(spark: SparkSession, path: str | None = None) -> "ArticleModel":
+        """The model that was saved last."""
         path = path or f"{shared_dir(spark)}/fine_tuned"
-        facts = spark.read.parquet(f"{path}/facts").first()
-        table = spark.read.parquet(f"{path}/vocabulary")
+        facts = spark.read.parquet(f"{path}/versions").orderBy(F.desc("saved_at"), "version").first()
+        folder = f"{path}/{facts['version']}"
+        table = spark.read.parquet(f"{folder}/vocabulary")
         vocabulary = Vocabulary(table, facts["n_docs"], facts["n_terms"], facts["size"])
-        return ArticleModel(
-            vocabulary, PipelineModel.load(f"{path}/classifier"), facts["weighting"]
-        )
+        classifier = PipelineModel.load(f"{folder}/classifier")
+        return ArticleModel(vocabulary, classifier, facts["weighting"], facts["tokenizer"])

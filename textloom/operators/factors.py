@@ -29,7 +29,7 @@ def cached_entries(rows: DataFrame) -> DataFrame:
     Documents are placed before their entries are spread out, so the shuffle moves compact
     rows. All later joins and sums by document reuse this placement without a shuffle. Lost
     blocks are computed again from the stored ``rows``. The number of partitions follows the
-    number of documents, which also bounds the hash tables of the joins by document.
+    number of documents.
     """
     spark = rows.sparkSession
     filled = max(spark.sparkContext.defaultParallelism, -(-rows.count() // DOCUMENTS_PER_PARTITION))
@@ -59,7 +59,7 @@ def times_documents(entries: DataFrame, table: DataFrame, k: int) -> DataFrame:
     Both sides are placed by document; sums are built per task before the shuffle by term, so
     a term that occurs in most documents sends one row per task.
     """
-    joined = entries.join(table.hint("shuffle_hash"), "id")
+    joined = entries.join(table, "id")
     return joined.groupBy("term_id").agg(*_weighted_sums(k))
 
 

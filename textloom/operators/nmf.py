@@ -38,6 +38,7 @@ class NmfModel:
     gram: np.ndarray
     error: float
     errors: list[float] = field(default_factory=list)
+    converged: bool = False
 
 
 def multiplicative(k: int, other_gram: np.ndarray) -> list[str]:
@@ -52,7 +53,7 @@ def multiplicative(k: int, other_gram: np.ndarray) -> list[str]:
 def update_documents(entries, w, h, k, h_gram, h_size) -> DataFrame:
     """W ← W ∘ (X Hᵀ) / (W H Hᵀ)."""
     product = renamed(times_terms(entries, h, k, h_size), "id", k, "b")
-    joined = product.join(w.hint("shuffle_hash"), "id")
+    joined = product.join(w, "id")
     return joined.selectExpr("id", *multiplicative(k, h_gram))
 
 
@@ -82,11 +83,14 @@ def fit_nmf(
 ) -> NmfModel:
     """Factorize stored ``rows`` (id, indices, values) into ``k`` components.
 
-    Iterates until the error falls by less than ``tol`` of the first error. ``start_terms``
-    continues from an earlier H. Both factors are written to the shared folder in every
+    Iterates until the error falls by less than ``tol`` of the first error; ``converged`` tells
+    whether that or ``max_iter`` ended the fit. ``start_terms`` continues from an earlier H, in
+    which new terms get a start value. Both factors are written to the shared folder in every
     iteration: each is used twice in the next one, so that plans would otherwise double with
     every step, and a lost executor costs no more than the current step.
     """
+    if max_iter < 1:
+        raise ValueError("max_iter must be at least 1")
     x = cached_entries(rows)
     x_sum, x_squared = x.agg(
         F.coalesce(F.sum("x"), F.lit(0.0)), F.coalesce(F.sum(F.col("x") * F.col("x")), F.lit(0.0))
@@ -95,10 +99,15 @@ def fit_nmf(
     scale = float(np.sqrt(x_sum / max(1, n_docs * n_terms) / k))
     h_size = factor_bytes(n_terms, k)
     w = start_factor(x.select("id").distinct(), "id", k, scale, seed)
-    h = start_terms or start_factor(x.select("term_id").distinct(), "term_id", k, scale, seed + 1)
+    h = start_factor(x.select("term_id").distinct(), "term_id", k, scale, seed + 1)
+    if start_terms is not None:
+        known = renamed(start_terms, "term_id", k, "s")
+        started = [F.coalesce(s, c).alias(c) for c, s in zip(columns(k), columns(k, "s"), strict=True)]
+        h = h.join(known, "term_id", "left").select("term_id", *started)
     h = materialize(h, "nmf-terms")
     h_gram = gram(h, k)
     errors: list[float] = []
+    converged = False
     products = " + ".join(f"{c} * {b}" for c, b in zip(columns(k), columns(k, "b"), strict=True))
     cross = F.expr(f"coalesce(sum({products}), 0D)")
     for _ in range(max_iter):
@@ -111,11 +120,12 @@ def fit_nmf(
         squared = x_squared - 2 * shared + float(np.sum(w_gram * h_gram))
         errors.append(float(np.sqrt(max(squared, 0.0))))
         if len(errors) > 1 and errors[-2] - errors[-1] < tol * errors[0]:
+            converged = True
             break
     x.unpersist()
     # Documents without any known term take no part in the sums and have zero weights.
     every = rows.select("id").join(w, "id", "left").na.fill(0.0, columns(k))
-    return NmfModel(k, n_terms, h, every, h_gram, errors[-1], errors)
+    return NmfModel(k, n_terms, h, every, h_gram, errors[-1], errors, converged)
 
 
 def transform_nmf(model: NmfModel, rows: DataFrame, max_iter: int = 200) -> DataFrame:

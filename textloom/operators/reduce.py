@@ -32,6 +32,7 @@ class SparsePca:
     points: DataFrame
     loadings: DataFrame
     variances: np.ndarray
+    converged: bool
 
 
 def _orthonormal(cross: np.ndarray) -> np.ndarray:
@@ -55,7 +56,7 @@ def sparse_pca(
 
     Block power iteration: the covariance is applied as XᵀX V - s (sᵀV) / n with the column
     sums s, so neither the covariance nor a centred (dense) matrix is ever built, and the
-    vocabulary need not be cut. ``extra`` more directions than wanted speed up convergence.
+    vocabulary need not be cut. ``extra`` more directions than wanted speed up convergence; ``converged`` tells whether ``tol`` was reached.
     """
     p = k + extra
     n_docs = rows.count()
@@ -65,7 +66,7 @@ def sparse_pca(
     starts = [f"{hash_uniform(seed, 'term_id', i)} - 0.5D AS {c}" for i, c in enumerate(columns(p))]
     v = sums.selectExpr("term_id", "s", *starts)
     v = _rotated(materialize(v, "pca-start"), _orthonormal(gram(v, p)), p)
-    before = None
+    before, converged = None, False
     for _ in range(max_iter):
         along = _column_means(v, p, n_docs)
         product = times_documents(x, times_terms(x, v.drop("s"), p, size), p)
@@ -86,6 +87,7 @@ def sparse_pca(
         ritz, turn = ritz[::-1], turn[:, ::-1]
         basis = _rotated(applied, turn[:, :k], p)
         if before is not None and np.all(np.abs(ritz[:k] - before) <= tol * ritz[0]):
+            converged = True
             break
         before = ritz[:k]
         v = _rotated(applied, _orthonormal(spread), p, "z")
@@ -101,7 +103,7 @@ def sparse_pca(
     )
     points = materialize(points, "pca-points")
     x.unpersist()
-    return SparsePca(points, loadings.drop("s"), ritz[:k] / max(1, n_docs - 1))
+    return SparsePca(points, loadings.drop("s"), ritz[:k] / max(1, n_docs - 1), converged)
 
 
 def _rotated(table: DataFrame, matrix: np.ndarray, p: int, prefix: str = "c") -> DataFrame:

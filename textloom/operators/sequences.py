@@ -17,7 +17,7 @@ from textloom.functions.sequences import (
 )
 from textloom.functions.text import plain_words
 from textloom.operators.lookup import lookup_join
-from textloom.operators.vectors import Vocabulary
+from textloom.operators.vectors import CONTENT, Vocabulary, content_hash, repeated, row_copies
 
 # Supported model families, and those without segment ids.
 FAMILIES = [
@@ -50,7 +50,8 @@ def encode(
     """(key, input_ids, attention_mask, token_type_ids[, label]), all of length ``max_len``.
 
     Only the words that fit are looked up; unknown words get the unknown id. The words of one
-    document are regrouped by its key and are never more than ``max_len``.
+    document are regrouped by its key and a hash of them, so rows that repeat a key stay rows of
+    their own; they are never more than ``max_len``.
     """
     text_name = column_name(df, text)
     label_name = None if label is None else column_name(df, label)
@@ -58,14 +59,17 @@ def encode(
     keys = [F.col(key)] + ([F.col(label_name).alias("label")] if label_name else [])
     names = [key] + (["label"] if label_name else [])
     words = F.slice(tokenizer(F.col(text_name)), 1, max_len - 2)
-    long = df.select(*keys, F.posexplode_outer(words).alias("_pos", "term"))
+    cut = df.select(*keys, words.alias("_words"))
+    long = cut.select(
+        *names, content_hash("_words").alias(CONTENT), F.posexplode_outer("_words").alias("_pos", "term")
+    )
     known = vocabulary.table.select("term", "term_id")
     joined = lookup_join(long, known, "term", "left", size=vocabulary.size)
     word_id = F.coalesce(F.col("term_id") + RESERVED_IDS, F.lit(UNKNOWN_ID))
     placed = F.when(F.col("_pos").isNotNull(), F.struct("_pos", word_id.alias("word_id")))
-    ids = F.sort_array(F.collect_list(placed))["word_id"]
-    sequences = joined.groupBy(*names).agg(ids.alias("_ids"))
-    encoded = sequences.withColumn("input_ids", padded(with_markers(F.col("_ids"), max_len), max_len))
+    ids = F.sort_array(F.collect_set(placed))["word_id"]
+    sequences = joined.groupBy(*names, CONTENT).agg(ids.alias("_ids"), row_copies())
+    encoded = repeated(sequences).withColumn("input_ids", padded(with_markers(F.col("_ids"), max_len), max_len))
     return encoded.select(
         key,
         "input_ids",

@@ -17,6 +17,8 @@ from textloom.operators.ordering import ordered_index
 from textloom.session import materialize
 
 Tokenizer = Callable[[Column], Column]
+# Columns added while rows are regrouped.
+CONTENT, COPIES = "_content", "_copies"
 
 
 @dataclass(frozen=True)
@@ -35,26 +37,44 @@ def tokens(articles: DataFrame, tokenizer: Tokenizer = tokenize, text: str = "te
     return articles.select(*others, tokenizer(F.col(text)).alias("tokens"))
 
 
+def content_hash(array: str) -> Column:
+    """Tells rows that share a key apart by an array of theirs that is about to be exploded."""
+    return F.xxhash64(array)
+
+
+def row_copies() -> Column:
+    """How many equal rows fell into one group: every exploded row has one first position."""
+    return F.count_if(F.coalesce("_pos", F.lit(0)) == 0).alias(COPIES)
+
+
+def repeated(grouped: DataFrame) -> DataFrame:
+    """One row again for every row that a group of equal rows stands for."""
+    times = F.explode(F.sequence(F.lit(1).cast("long"), F.col(COPIES)))
+    return grouped.withColumn("_again", times).drop("_again", COPIES)
+
+
 def lemmatize(token_table: DataFrame, lemmas: DataFrame | None, key: str = "id") -> DataFrame:
     """Replace tokens by lower-cased lemmas from a (surface, lemma) table, order kept.
 
-    Tokens without an entry stay as they are; without a table nothing but case changes.
+    Tokens without an entry stay as they are; without a table nothing but case changes. Rows
+    that repeat an id stay rows of their own.
     """
     if lemmas is None:
         return token_table.withColumn("tokens", F.transform("tokens", F.lower))
     others = [c for c in token_table.columns if c not in (key, "tokens")]
-    carried = F.struct(*[F.col(c) for c in others]) if others else F.lit(0)
     long = token_table.select(
-        key, carried.alias("_others"), F.posexplode_outer("tokens").alias("_pos", "surface")
+        key,
+        *others,
+        content_hash("tokens").alias(CONTENT),
+        F.posexplode_outer("tokens").alias("_pos", "surface"),
     )
     joined = lookup_join(long, lemmas.select("surface", "lemma"), "surface", "left")
     word = F.lower(F.coalesce("lemma", "surface"))
     placed = F.when(F.col("surface").isNotNull(), F.struct("_pos", word.alias("word")))
-    grouped = joined.groupBy(key).agg(
-        F.first("_others").alias("_others"),
-        F.sort_array(F.collect_list(placed))["word"].alias("tokens"),
+    grouped = joined.groupBy(key, *others, CONTENT).agg(
+        F.sort_array(F.collect_set(placed))["word"].alias("tokens"), row_copies()
     )
-    return grouped.select(key, *[F.col("_others")[c].alias(c) for c in others], "tokens")
+    return repeated(grouped).select(key, *others, "tokens")
 
 
 def bags(token_table: DataFrame) -> DataFrame:
@@ -111,18 +131,24 @@ def sparse_rows(
     """One row per document: sorted ``indices`` and their ``values``.
 
     Documents without a known term stay, with empty arrays. The terms of a document are
-    regrouped once by its key columns, and the norm is taken inside the row.
+    regrouped once by its key columns and a hash of its bag, so rows that repeat a key stay
+    rows of their own, and the norm is taken inside the row.
     """
     if weighting not in ("tfidf", "count"):
         raise ValueError(f"unknown weighting {weighting!r}")
     others = [c for c in bag_table.columns if c != "bag"]
-    long = bag_table.select(*others, F.inline_outer("bag"))
+    long = bag_table.select(
+        *others, content_hash("bag").alias(CONTENT), F.posexplode_outer("bag").alias("_pos", "_entry")
+    ).select(*others, CONTENT, "_pos", "_entry.term", "_entry.tf")
     known = vocabulary.table.select("term", "term_id", "idf")
     joined = lookup_join(long, known, "term", "left", size=vocabulary.size)
     tf = F.col("tf").cast("double")
     weight = tf * F.col("idf") if weighting == "tfidf" else tf
     entry = F.when(F.col("term_id").isNotNull(), F.struct("term_id", weight.alias("weight")))
-    grouped = joined.groupBy(*others).agg(F.sort_array(F.collect_list(entry)).alias("_entries"))
+    grouped = joined.groupBy(*others, CONTENT).agg(
+        F.sort_array(F.collect_set(entry)).alias("_entries"), row_copies()
+    )
+    grouped = repeated(grouped)
     values = F.col("_entries.weight")
     if weighting == "tfidf" and norm:
         values = l2_normalized(values)
@@ -221,6 +247,14 @@ def mean_vectors(
     return grouped.select(*others, mean.alias("vector"))
 
 
+def common_width(df: DataFrame, vector: str) -> int:
+    """The length of all arrays of a column; arrays of different lengths are an error."""
+    low, high = df.agg(F.min(F.size(vector)), F.max(F.size(vector))).first()
+    if low != high:
+        raise ValueError(f"vectors of different lengths, {low} to {high}")
+    return low or 0
+
+
 def group_mean_vectors(df: DataFrame, key: str, vector: str, dim: int) -> DataFrame:
     """(key, dim, mean) of an array column; partial sums per task keep hot keys cheap."""
     means = [F.avg(F.get(F.col(vector), F.lit(i))).alias(str(i)) for i in range(dim)]

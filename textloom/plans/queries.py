@@ -30,6 +30,8 @@ SEQUENCE_LENGTH = 100
 BATCH_SIZE = 32
 SAMPLE_FRACTION = 0.2
 SHARDS = 8
+# A file with line breaks in its fields is read by one task.
+ROWS_PER_FILE = 20_000
 
 
 def _joined(column: str, alias: str):
@@ -217,7 +219,7 @@ def word_vector_lookup(spark, sf_dir):
     p = experiment.prepare(spark, sf_dir)
     given = materialize(corpus.word_vectors(spark, sf_dir, p.vocabulary), "word-vectors")
     dim = F.size("vector")
-    looked_up = vectors.term_vectors(p.vocabulary, given, given.select(dim).first()[0])
+    looked_up = vectors.term_vectors(p.vocabulary, given, vectors.common_width(given, "vector"))
     as_double = F.transform("vector", lambda v: v.cast("double"))
     weighted = F.transform(as_double, lambda v, i: v * (i + 1))
     squared = F.transform(as_double, lambda v: v * v)
@@ -238,7 +240,7 @@ def document_mean_vector(spark, sf_dir):
     raw = materialize(vectors.raw_bags(corpus.corpus(spark, sf_dir)), "raw-bags")
     vocabulary = vectors.fit_vocabulary(raw)
     given = materialize(corpus.word_vectors(spark, sf_dir, vocabulary), "word-vectors")
-    dim = given.select(F.size("vector")).first()[0]
+    dim = vectors.common_width(given, "vector")
     means = vectors.mean_vectors(raw, given, dim)
     return means.select(
         "id", F.posexplode(F.transform("vector", lambda v: F.round(v, 6))).alias("dim", "mean")
@@ -247,7 +249,7 @@ def document_mean_vector(spark, sf_dir):
 
 def mean_vector(spark, sf_dir):
     table = corpus.table(spark, sf_dir, "embeddings")
-    dim = table.select(F.size("embedding")).first()[0]
+    dim = vectors.common_width(table, "embedding")
     return _rounded(vectors.group_mean_vectors(table, "label", "embedding", dim), "mean")
 
 
@@ -513,6 +515,13 @@ def classifier_sweep(spark, sf_dir):
     return classify.sweep(features, factories)
 
 
+def classifier_report(spark, sf_dir):
+    """Precision, recall and F1 per category of a trained classifier on the held-out rows."""
+    features = {"tfidf": experiment.weighted_features(experiment.prepare(spark, sf_dir), "tfidf")}
+    swept = classify.sweep_predictions(features, {"logreg": classify.logistic(reg=1e-4)})
+    return _rounded(classify.model_reports(swept), "precision", "recall", "f1")
+
+
 def results_table(spark, sf_dir):
     path = scratch_path(spark, "results")
     found = svc_tfidf(spark, sf_dir).drop("train_accuracy")
@@ -536,9 +545,13 @@ def new_article_filter(spark, sf_dir):
 # Files and streams
 
 
-def _as_files(spark, sf_dir, path: str, files: int = 8) -> None:
-    table = corpus.articles(spark, sf_dir).repartition(files, "id")
-    article_source.write_articles(table, path)
+def _as_files(spark, sf_dir, path: str) -> None:
+    article_source.write_articles(_small_files(corpus.articles(spark, sf_dir)), path)
+
+
+def _small_files(table: DataFrame) -> DataFrame:
+    """Rows placed for files that one task each can read, at least a few of them for streams."""
+    return table.repartition(max(8, -(-table.count() // ROWS_PER_FILE)), "id")
 
 
 def tsv_scan(spark, sf_dir):
@@ -555,7 +568,7 @@ def tsv_splits(spark, sf_dir):
     split = clean.hash_split(split)
     for name, side in (("train", "train"), ("validation", "test")):
         path = article_source.split_path(root, name)
-        article_source.write_articles(corpus.part(split, side).repartition(8, "id"), path)
+        article_source.write_articles(_small_files(corpus.part(split, side)), path)
     train, test = article_source.load_splits(spark, root)
     both = train.withColumn("split", F.lit("train")).unionByName(
         test.withColumn("split", F.lit("test"))
@@ -627,7 +640,7 @@ QUERIES = {
         attention_mask, family_inputs, batch_assign, shard_assign, nmf_one_step, nmf_topics,
         nmf_top_words, nmf_error, nmf_holdout, lda_topics, lda_top_words, lda_quality,
         pca_points, pca_topic_points, pca_docvec_points, embedding_points, svc_tfidf, svc_counts, svc_nmf, svc_lda, svc_docvec,
-        logreg_scores, mlp_scores, classifier_sweep, results_table, saved_model_scores,
+        logreg_scores, mlp_scores, classifier_sweep, classifier_report, results_table, saved_model_scores,
         new_article_filter, tsv_scan, tsv_splits, entity_rows, daily_arrivals, stream_score,
     )
 }

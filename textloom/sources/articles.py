@@ -42,7 +42,7 @@ def null_if_na(col: Column) -> Column:
 
 
 def _tsv_options(multi_line: bool) -> dict:
-    return {"sep": "\t", "quote": '"', "escape": '"', "multiLine": multi_line}
+    return {"sep": "\t", "quote": '"', "escape": '"', "multiLine": multi_line, "mode": "FAILFAST"}
 
 
 def nullify(df: DataFrame) -> DataFrame:
@@ -52,7 +52,7 @@ def nullify(df: DataFrame) -> DataFrame:
 
 
 def read_articles(spark: SparkSession, path, multi_line: bool = True) -> DataFrame:
-    """Headerless tab-separated articles with a fixed schema.
+    """Headerless tab-separated articles with a fixed schema; a row of other width stops the job.
 
     ``multi_line`` honours line breaks inside quotes, which makes every file one split: for
     large inputs write many files, or read once and keep the table as Parquet.
@@ -82,6 +82,8 @@ def write_articles(df: DataFrame, path: str) -> None:
 # The two splits and two sizes that a data folder may hold.
 SPLITS = ["train", "validation"]
 SIZES = ["small", "large"]
+# Folders of the two splits where no size is named.
+PLAIN_FOLDERS = ["train", "test"]
 
 
 def split_path(root: str, split: str, use_small: bool = True) -> str:
@@ -93,14 +95,21 @@ def split_path(root: str, split: str, use_small: bool = True) -> str:
 def load_splits(
     spark: SparkSession, root: str, use_small: bool = True, multi_line: bool = True
 ) -> tuple[DataFrame, DataFrame]:
-    """Train and validation tables of the chosen size."""
+    """Train and validation tables of the chosen size.
+
+    A folder that was unpacked for one size only may hold them as ``train`` and ``test``.
+    """
     frames = []
-    for split in SPLITS:
-        path = split_path(root, split, use_small)
-        try:
-            frames.append(read_articles(spark, path, multi_line))
-        except AnalysisException as error:
-            raise FileNotFoundError(f"no {split} articles at {path}") from error
+    for split, plain in zip(SPLITS, PLAIN_FOLDERS, strict=True):
+        paths = [split_path(root, split, use_small), f"{root.rstrip('/')}/{plain}/news.tsv"]
+        for path in paths:
+            try:
+                frames.append(read_articles(spark, path, multi_line))
+                break
+            except AnalysisException:
+                continue
+        else:
+            raise FileNotFoundError(f"no {split} articles at {' or '.join(paths)}")
     return frames[0], frames[1]
 
 
