@@ -160,3 +160,38 @@ def op7(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
         F.sha2(F.array_join("hit_items", ","), 256).alias("items_sha256"),
         (F.size("hit_spans") > 0).alias("contaminated"),
     )
+
+
+ORACLE = r"""
+WITH d AS (
+  SELECT row_number() OVER () AS r, doc_id, coalesce(regexp_extract_all(
+           translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+           '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+'), []) AS w
+  FROM documents
+), b AS (
+  SELECT coalesce(CAST(item_id AS VARCHAR), '') AS item, regexp_extract_all(
+           translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+           '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+  FROM benchmark
+), sized AS (
+  SELECT item, w, least(10, len(w)) AS n FROM b WHERE len(w) > 0
+), placed AS (
+  SELECT item, w, n, unnest(range(1, len(w) - n + 2)) AS p FROM sized
+), grams AS (
+  SELECT DISTINCT item, n, array_to_string(w[p : p + n - 1], ' ') AS g FROM placed
+), starts AS (
+  SELECT r, w, n, unnest(range(1, len(w) - n + 2)) AS p
+  FROM d, (SELECT DISTINCT n FROM grams) WHERE len(w) >= n
+), hits AS (
+  SELECT r, p, n, item
+  FROM (SELECT r, p, n, array_to_string(w[p : p + n - 1], ' ') AS g FROM starts) JOIN grams USING (n, g)
+), covered AS (
+  SELECT r, count(DISTINCT i) AS n_hit FROM (SELECT r, unnest(range(p, p + n)) AS i FROM hits) GROUP BY r
+), items AS (
+  SELECT r, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS ids
+  FROM (SELECT DISTINCT r, item FROM hits) GROUP BY r
+)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+       sha256(coalesce(ids, '')) AS items_sha256, n_hit IS NOT NULL AS contaminated
+FROM d LEFT JOIN covered USING (r) LEFT JOIN items USING (r)
+"""

@@ -225,3 +225,29 @@ def near_vectors(vectors: DataFrame, min_cosine: float = MIN_COSINE) -> DataFram
 
 def op5(vectors: DataFrame) -> DataFrame:
     return near_vectors(vectors)
+
+
+ORACLE = """
+WITH RECURSIVE v AS (
+  SELECT row_number() OVER () AS r, vec_id, label, CAST(embedding AS DOUBLE[]) AS e FROM embeddings
+), good AS (
+  SELECT r, vec_id, label, e FROM v
+  WHERE label IS NOT NULL AND len(e) > 0
+    AND len([x for x in e if x IS NULL OR NOT isfinite(x)]) = 0
+    AND list_sum([abs(x) for x in e]) > 0
+), links AS (
+  SELECT a.r AS a, b.r AS b, b.vec_id AS other
+  FROM good AS a JOIN good AS b ON a.label = b.label AND a.r <> b.r AND len(a.e) = len(b.e)
+  WHERE list_cosine_similarity(a.e, b.e) >= 0.93
+), reach(r, far) AS (
+  SELECT r, r FROM v
+  UNION
+  SELECT reach.r, links.b FROM reach JOIN links ON reach.far = links.a
+), roots AS (
+  SELECT reach.r, min(v.vec_id) AS component_id FROM reach JOIN v ON reach.far = v.r GROUP BY reach.r
+), degrees AS (
+  SELECT a AS r, count(*) AS n FROM links GROUP BY a
+)
+SELECT vec_id, coalesce(n, 0) AS n_links, component_id, vec_id = component_id AS kept
+FROM v JOIN roots USING (r) LEFT JOIN degrees USING (r)
+"""

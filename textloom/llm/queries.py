@@ -34,4 +34,9 @@ QUERIES = {
     "op9_toxicity": query(toxicity.op9, "documents", "labels"),
     "op10_token_counts": query(token_counts.op10, "documents"),
 }
-ORACLES = {"op2_warc": warc.ORACLE}
+ORACLES = {
+    "op2_warc": warc.ORACLE,
+    "op4_substring_dedup": substring.ORACLE,
+    "op5_embedding_dedup": embeddings.ORACLE,
+    "op7_decontamination": decontaminate.ORACLE,
+}

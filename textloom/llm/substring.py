@@ -218,3 +218,28 @@ def cut_spans(rows: DataFrame, window: int, carried: list[str]) -> DataFrame:
 def op4(docs: DataFrame) -> DataFrame:
     kept = remove_repeats(docs.select("doc_id", "text"))
     return kept.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
+ORACLE = r"""
+WITH d AS (
+  SELECT row_number() OVER () AS r, doc_id,
+         coalesce(regexp_extract_all(text, '[^\x20\x09-\x0D]+'), []) AS w
+  FROM documents
+), starts AS (
+  SELECT r, w, unnest(range(1, len(w) - 33)) AS p FROM d WHERE len(w) >= 35
+), windows AS (
+  SELECT r, p, sha256(array_to_string(w[p : p + 34], ' ')) AS h FROM starts
+), again AS (
+  SELECT r, p FROM windows QUALIFY count(*) OVER (PARTITION BY h) > 1
+), gone AS (
+  SELECT DISTINCT r, p + o AS i FROM again, range(35) AS t(o)
+), words AS (
+  SELECT r, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS i FROM d
+), kept AS (
+  SELECT r, string_agg(word, ' ' ORDER BY i) AS k, count(*) AS n
+  FROM words ANTI JOIN gone USING (r, i) GROUP BY r
+)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(len(w) - coalesce(n, 0) AS BIGINT) AS n_removed,
+       sha256(coalesce(k, '')) AS kept_sha256
+FROM d LEFT JOIN kept USING (r)
+"""
