@@ -4,6 +4,7 @@ import re
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -53,6 +54,16 @@ def parts_of(word: str) -> list[str]:
     return [marked[i : i + PART] for i in range(0, len(marked), PART)]
 
 
+def has_letter(text_col: str) -> F.Column:
+    """Whether ``parts_of`` finds anything in the words of a text; false for null."""
+
+    @F.pandas_udf("boolean")
+    def spelled(texts: pd.Series) -> pd.Series:
+        return texts.map(lambda t: any(map(parts_of, words_of(t)))).astype(bool)
+
+    return spelled(F.col(text_col))
+
+
 def roll(value: np.ndarray, code: np.ndarray) -> np.ndarray:
     value = (value ^ code) * BASE
     return value ^ (value >> np.uint64(29))
