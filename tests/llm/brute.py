@@ -117,3 +117,56 @@ def op7(docs, items, n=10):
 
 def crc(key):
     return zlib.crc32(str(key).encode())
+
+
+def op12(rows, min_count=10, limit=2000, covered=50):
+    """(lang, rank, phrase, a, l, r, n, score) by counting every phrase."""
+    counts, totals = Counter(), Counter()
+    for lang, text in rows:
+        lang = "und" if lang is None else lang
+        for piece in re.split(r"[.,;:!?\x0A-\x0D]", lower(text)):
+            words = re.findall(r"[^\x20\x09]+", piece)
+            totals[lang] += len(words)
+            for k in (1, 2, 3):
+                counts.update((lang, tuple(words[i : i + k])) for i in range(len(words) - k + 1))
+    found, most = defaultdict(list), Counter()
+    for (lang, p), a in counts.items():
+        if len(p) > 1 and a >= min_count:
+            cuts = [(1_000_000 * a * a // (counts[lang, p[:k]] * counts[lang, p[k:]]), k) for k in range(1, len(p))]
+            score, k = min(cuts)
+            found[lang].append((-score, -a, " ".join(p).encode(), p, counts[lang, p[:k]], counts[lang, p[k:]]))
+            if len(p) == 3:
+                for part in (p[:2], p[1:]):
+                    most[lang, part] = max(most[lang, part], a)
+    out = []
+    for lang, rows in found.items():
+        kept = [r for r in rows if len(r[3]) == 3 or 100 * most[lang, r[3]] < covered * -r[1] or not most[lang, r[3]]]
+        for rank, (score, a, _, p, left, right) in enumerate(sorted(kept)[:limit], 1):
+            out.append((lang, rank, " ".join(p), -a, left, right, totals[lang], -score))
+    return sorted(out)
+
+
+def op13(rows, clusters=8, rounds=10, seed=3, dim=64):
+    """(vec_id, cluster, distance, cluster inertia, inertia, centroid hash), in Python integers."""
+    good = [(i, v) for i, v in rows if v is not None and len(v) == dim and all(x is not None and np.isfinite(x) for x in v)]
+    vectors = [[int(np.floor(1024 * float(x))) for x in v] for _, v in good]
+    order = sorted(range(len(good)), key=lambda r: (good[r][0] is None, sha(f"{seed}:{good[r][0]}"), vectors[r]))
+    centroids = [vectors[r] for r in order[:clusters]]
+
+    def assign():
+        out = []
+        for v in vectors:
+            out.append(min((sum((x - y) ** 2 for x, y in zip(v, c)), i) for i, c in enumerate(centroids)))
+        return out
+
+    for _ in range(rounds):
+        members = defaultdict(list)
+        for v, (_, c) in zip(vectors, assign()):
+            members[c].append(v)
+        for c, own in members.items():
+            centroids[c] = [sum(x) // len(own) for x in zip(*own)]
+    last = assign()
+    sums = Counter()
+    for d, c in last:
+        sums[c] += d
+    return [(i, c, d, sums[c], sum(sums.values()), sha(",".join(map(str, centroids[c])))) for (i, _), (d, c) in zip(good, last)]

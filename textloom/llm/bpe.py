@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from textloom.llm.common import arrow_fields, balanced, by_bytes, to_batch
 
 TOKENIZER = "byte_bpe_50k.json"
-BATCH_CHARS = 3 << 20
+BATCH_BYTES = 3 << 20
 # Distinct pieces of text whose ids are remembered in a task before the memory starts anew.
 REMEMBERED = 200_000
 # White space of the pre-tokenizer, written out because Python's \s also takes control characters.
@@ -257,7 +257,7 @@ def encode_texts(docs: DataFrame, path: str | None = None, with_ids: bool = True
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = ByteBpe(path)
-        for keys, texts in by_bytes(batches, BATCH_CHARS):
+        for keys, texts in by_bytes(batches, BATCH_BYTES):
             flat, sizes, strings = bpe.encode([t or "" for t in texts])
             ends = np.cumsum(sizes)
             decoded = [digest(bpe.decode(flat[e - s : e])) for s, e in zip(sizes.tolist(), ends.tolist())]

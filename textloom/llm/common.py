@@ -4,6 +4,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -74,15 +75,15 @@ def to_batch(columns: list, names: list[str], types: list[pa.DataType]) -> pa.Re
 
 
 def by_bytes(batches: Iterator[pa.RecordBatch], limit: int) -> Iterator[list[list]]:
-    """Rebatch (id, ..., text) rows so that each list of columns holds about ``limit`` characters.
+    """Rebatch (id, ..., text) rows so that each list of columns holds about ``limit`` bytes of text.
 
     The text is the last column. A single text above the limit is a batch of its own.
     """
     rows: list[tuple] = []
     size = 0
     for batch in batches:
-        for row in zip(*(c.to_pylist() for c in batch.columns)):
-            length = len(row[-1]) if row[-1] is not None else 0
+        lengths = pc.fill_null(pc.binary_length(batch.column(batch.num_columns - 1)), 0).to_pylist()
+        for row, length in zip(zip(*(c.to_pylist() for c in batch.columns)), lengths):
             if rows and size + length > limit:
                 yield [list(c) for c in zip(*rows)]
                 rows, size = [], 0

@@ -2,9 +2,12 @@
 
 from textloom.llm import (
     bpe,
+    centroids,
     decontaminate,
     embeddings,
     language,
+    phrases,
+    sentencepieces,
     sharding,
     simhash,
     substring,
@@ -33,10 +36,15 @@ QUERIES = {
     "op8_bpe": query(bpe.op8, "documents"),
     "op9_toxicity": query(toxicity.op9, "documents", "labels"),
     "op10_token_counts": query(token_counts.op10, "documents"),
+    "op11_sentencepiece": query(sentencepieces.op11, "documents"),
+    "op12_phrases": query(phrases.op12, "documents"),
+    "op13_centroids": query(centroids.op13, "embeddings"),
 }
 ORACLES = {
     "op2_warc": warc.ORACLE,
     "op4_substring_dedup": substring.ORACLE,
     "op5_embedding_dedup": embeddings.ORACLE,
     "op7_decontamination": decontaminate.ORACLE,
+    "op12_phrases": phrases.ORACLE,
+    "op13_centroids": centroids.ORACLE,
 }

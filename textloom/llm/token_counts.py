@@ -11,7 +11,7 @@ from textloom.llm.common import arrow_fields, balanced, by_bytes, to_batch
 
 TOKENIZER = "piece_bpe_32k.model"
 TOKEN_LIMIT = 4096
-BATCH_CHARS = 3 << 20
+BATCH_BYTES = 3 << 20
 # Distinct segments whose length is remembered in a task before the memory starts anew.
 REMEMBERED = 200_000
 MARK = "▁"  # fixed value: the visible space of the vocabulary
@@ -68,11 +68,11 @@ class Counter:
         return [sum(map(get, p)) for p in parts]
 
 
-def count_tokens(docs: DataFrame, path: str | None = None, batch_chars: int = BATCH_CHARS) -> DataFrame:
+def count_tokens(docs: DataFrame, path: str | None = None, batch_bytes: int = BATCH_BYTES) -> DataFrame:
     """(doc_id, n_bytes, n_tokens) of every row of ``docs`` (doc_id, text).
 
     Null and empty texts have no bytes and no tokens. Repeated rows are counted each. Texts are
-    encoded in batches of about ``batch_chars`` characters; texts of any length are cut at
+    encoded in batches of about ``batch_bytes`` bytes; texts of any length are cut at
     spaces, where no merge can cross, and only lengths leave the task.
     """
     path = path or tokenizer_path()
@@ -81,7 +81,7 @@ def count_tokens(docs: DataFrame, path: str | None = None, batch_chars: int = BA
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counter = Counter(path)
-        for ids, sizes, texts in by_bytes(batches, batch_chars):
+        for ids, sizes, texts in by_bytes(batches, batch_bytes):
             yield to_batch([ids, sizes, counter.counts([t or "" for t in texts])], names, types)
 
     n_bytes = F.coalesce(F.octet_length("text"), F.lit(0)).cast("long")
