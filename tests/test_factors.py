@@ -62,17 +62,3 @@ def test_dense_pca_is_centred(spark):
     values = np.linalg.eigvalsh(np.cov(data.T))[::-1]
     assert points.mean(axis=0) == pytest.approx([0, 0], abs=1e-9)
     assert points.var(axis=0, ddof=1) == pytest.approx(values[:2])
-
-
-def test_lda_topics_sum_to_one(prepared):
-    bags, vocabulary, _, _ = prepared
-    counts = V.ml_vectors(V.sparse_rows(bags, vocabulary, "count"), vocabulary.n_terms)
-    fit = topics.fit_lda(counts, k=2, max_iter=5)
-    shares = [sum(r["vector"]) for r in topics.document_topics(fit, counts).collect()]
-    # A document without terms has no topics at all.
-    assert all(s == pytest.approx(1.0) or s == 0.0 for s in shares) and len(shares) == 26
-    quality = fit.quality(counts)
-    assert quality["log_likelihood"] < 0 < quality["perplexity"]
-    terms = topics.lda_topic_terms(fit)
-    assert terms.count() == 2 * vocabulary.n_terms
-    assert topics.top_topic_words(terms, vocabulary).count() == 16

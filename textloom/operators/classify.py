@@ -12,6 +12,7 @@ from pyspark.ml.classification import (
     LogisticRegression,
     MultilayerPerceptronClassifier,
     OneVsRest,
+    OneVsRestModel,
 )
 from pyspark.ml.feature import IndexToString, StringIndexer, Word2Vec
 from pyspark.ml.functions import array_to_vector, vector_to_array
@@ -21,6 +22,7 @@ from pyspark.sql import functions as F
 from textloom.functions.arrays import argmax
 from textloom.functions.text import plain_words, raw_tokens, tokenize
 from textloom.operators.metrics import class_report, compare_models, model_scores
+from textloom.operators.svm import NewtonSvc, SquaredHingeModel
 from textloom.operators.vectors import (
     Vocabulary,
     bags,
@@ -53,6 +55,18 @@ def linear_svc(
     return build
 
 
+def newton_svc(c: float = 1.0, tol: float = 1e-4, max_steps: int = 100) -> Factory:
+    """One-vs-rest linear SVM with squared hinge loss, fitted by Newton steps on all classes at once.
+
+    ``c`` is the penalty on the summed loss and the intercept is regularised like every weight.
+    """
+
+    def build(n_rows: int, n_features: int, n_classes: int) -> NewtonSvc:
+        return NewtonSvc(n_features, n_classes, c, tol, max_steps)
+
+    return build
+
+
 def logistic(max_iter: int = 50, reg: float = 0.0, tol: float = 1e-4) -> Factory:
     """Multinomial regression; ``max_iter`` plays the part of epochs, ``reg`` of weight decay."""
 
@@ -85,9 +99,30 @@ class FeatureSet:
 
 @dataclass(frozen=True)
 class Trained:
+    """A fitted model, the steps of its optimizer and whether these ended before their limit.
+
+    Both are null for models that do not tell.
+    """
+
     name: str
     model: PipelineModel
     train_hours: float
+    steps: int | None = None
+    converged: bool | None = None
+
+
+def steps_of(classifier, estimator) -> tuple[int | None, bool | None]:
+    """(steps, converged) of a fitted classifier; of several binary ones the most and all."""
+    if isinstance(classifier, SquaredHingeModel):
+        return classifier.fit.steps, classifier.fit.converged
+    if isinstance(classifier, OneVsRestModel):
+        parts = [steps_of(m, estimator.getClassifier()) for m in classifier.models]
+        told = [s for s, _ in parts if s is not None]
+        return (max(told), all(c for _, c in parts)) if len(told) == len(parts) and told else (None, None)
+    if not getattr(classifier, "hasSummary", False):
+        return None, None
+    summary = classifier.summary() if callable(classifier.summary) else classifier.summary
+    return summary.totalIterations, summary.totalIterations < estimator.getMaxIter()
 
 
 def train(name: str, rows: DataFrame, n_features: int, factory: Factory) -> Trained:
@@ -107,7 +142,7 @@ def train(name: str, rows: DataFrame, n_features: int, factory: Factory) -> Trai
     hours = (time.monotonic() - started) / 3600
     cached.unpersist()
     # New articles have no label, so the stored model starts with the classifier.
-    return Trained(name, PipelineModel([classifier, decoder]), hours)
+    return Trained(name, PipelineModel([classifier, decoder]), hours, *steps_of(classifier, estimator))
 
 
 def predict(trained: Trained, rows: DataFrame, split: str) -> DataFrame:
@@ -164,13 +199,15 @@ def model_reports(swept: Sweep, split: str = "test") -> DataFrame:
 def sweep(feature_sets: dict[str, FeatureSet], factories: dict[str, Factory]) -> DataFrame:
     """Train every classifier on every feature set and compare them.
 
-    One row per model: train and test accuracy, macro F1 on the test rows, hours of fitting.
+    One row per model: train and test accuracy, macro F1 on the test rows, hours of fitting, the
+    optimizer's steps and whether it converged before their limit.
     """
     swept = sweep_predictions(feature_sets, factories)
     trained, predictions = swept.trained, swept.predictions
     spark = predictions.sparkSession
     hours = spark.createDataFrame(
-        [(t.name, t.train_hours) for t in trained], "model string, train_hours double"
+        [(t.name, t.train_hours, t.steps, t.converged) for t in trained],
+        "model string, train_hours double, steps long, converged boolean",
     )
     per_split = model_scores(predictions.withColumn("model", F.concat_ws("|", "model", "split")))
     named = compare_models(per_split).select(
@@ -182,7 +219,7 @@ def sweep(feature_sets: dict[str, FeatureSet], factories: dict[str, Factory]) ->
     on_train = named.filter("split = 'train'").select("model", F.col("accuracy").alias("train_accuracy"))
     on_test = named.filter("split = 'test'").drop("split")
     return on_test.join(on_train, "model").join(hours, "model").select(
-        "model", "accuracy", "train_accuracy", "f1_macro", "train_hours"
+        "model", "accuracy", "train_accuracy", "f1_macro", "train_hours", "steps", "converged"
     )
 
 

@@ -1,66 +1,11 @@
-"""Latent Dirichlet allocation on term counts and the words of topics."""
+"""The words of topics, from any table of topic-term weights."""
 
-import math
-from dataclasses import dataclass
-
-from pyspark import StorageLevel
-from pyspark.ml.clustering import LDA, LDAModel
-from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from textloom.operators.ranking import top_terms
 from textloom.operators.vectors import Vocabulary, with_terms
 
 
-@dataclass(frozen=True)
-class LdaFit:
-    model: LDAModel
-
-    def quality(self, vectors: DataFrame) -> dict[str, float]:
-        """Log-likelihood bound of the vectors and their perplexity, from one pass of inference."""
-        log_likelihood = self.model.logLikelihood(vectors)
-        n_tokens = vectors.select(F.sum(_total("features"))).first()[0]
-        return {
-            "log_likelihood": log_likelihood,
-            "perplexity": math.exp(-log_likelihood / max(1.0, n_tokens)),
-        }
-
-
-def _total(vector: str):
-    return F.aggregate(vector_to_array(vector), F.lit(0.0), lambda total, v: total + v)
-
-
-def fit_lda(vectors: DataFrame, k: int = 8, max_iter: int = 20, seed: int = 42) -> LdaFit:
-    """Variational LDA on count vectors in ``features``; every step reads all documents.
-
-    The model holds k weights per term on the driver, as every Spark ML model does.
-    """
-    cached = vectors.persist(StorageLevel.MEMORY_AND_DISK)
-    model = LDA(k=k, maxIter=max_iter, optimizer="online", subsamplingRate=1.0, seed=seed).fit(cached)
-    cached.unpersist()
-    return LdaFit(model)
-
-
-def document_topics(fit: LdaFit, vectors: DataFrame) -> DataFrame:
-    """(keys, vector): topic shares of every document."""
-    keys = [c for c in vectors.columns if c != "features"]
-    shares = vector_to_array("topicDistribution").alias("vector")
-    return fit.model.transform(vectors).select(*keys, shares)
-
-
-def lda_topic_terms(fit: LdaFit, n: int | None = None) -> DataFrame:
-    """(topic, rank, term_id, weight): all terms of every topic, or its ``n`` heaviest."""
-    described = fit.model.describeTopics(n or fit.model.vocabSize())
-    pairs = F.arrays_zip("termIndices", "termWeights")
-    return described.select("topic", F.posexplode(pairs).alias("rank", "entry")).select(
-        "topic",
-        (F.col("rank") + 1).cast("long").alias("rank"),
-        F.col("entry.termIndices").alias("term_id"),
-        F.col("entry.termWeights").alias("weight"),
-    )
-
-
 def top_topic_words(terms: DataFrame, vocabulary: Vocabulary, n: int = 8) -> DataFrame:
     """(topic, rank, term, weight), heaviest first, from a (topic, term_id, weight) table."""
     top = top_terms(terms, n, group="topic")

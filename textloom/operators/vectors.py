@@ -230,21 +230,25 @@ def mean_vectors(
     """(keys, vector): mean word vector of every document; unknown words count as zeros.
 
     Every distinct word of a document enters once with its count as weight, so vectors are
-    looked up per distinct word, and partial sums are built before the shuffle by key.
+    looked up per distinct word, and partial sums are built before the shuffle. Rows that repeat
+    a key are told apart by a hash of their bag and stay rows of their own.
     """
     others = list(keys)
-    long = bag_table.select(*others, F.inline_outer("bag"))
+    long = bag_table.select(
+        *others, content_hash("bag").alias(CONTENT), F.posexplode_outer("bag").alias("_pos", "_entry")
+    ).select(*others, CONTENT, "_pos", "_entry.term", "_entry.tf")
     as_vector = vectors.select("term", array_to_vector("vector").alias("_vector"))
     size = table_bytes(vectors)
     joined = lookup_join(long, as_vector, "term", "left", size=size)
     zero = array_to_vector(F.array_repeat(F.lit(0.0), dim))
     weight = F.coalesce("tf", F.lit(1)).cast("double")
     total = Summarizer.sum(F.coalesce("_vector", zero), weight)
-    grouped = joined.groupBy(*others).agg(total.alias("_sum"), F.sum("tf").alias("_n"))
+    # Equal rows of one group add to both sums alike, so their mean is that of each.
+    grouped = joined.groupBy(*others, CONTENT).agg(total.alias("_sum"), F.sum("tf").alias("_n"), row_copies())
     mean = F.transform(
         vector_to_array("_sum"), lambda v: F.when(F.col("_n") > 0, v / F.col("_n")).otherwise(0.0)
     )
-    return grouped.select(*others, mean.alias("vector"))
+    return repeated(grouped.select(*others, mean.alias("vector"), COPIES))
 
 
 def common_width(df: DataFrame, vector: str) -> int:

@@ -6,17 +6,19 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 
 from textloom.functions.text import plain_words
-from textloom.operators import classify, nmf, topics
+from textloom.operators import classify, lda, nmf
 from textloom.operators.classify import ArticleModel, FeatureSet
 from textloom.operators.vectors import (
     Vocabulary,
     bags,
+    common_width,
     fit_vocabulary,
+    mean_vectors,
     ml_vectors,
     sparse_rows,
     tokens,
 )
-from textloom.plans.corpus import part, split_corpus
+from textloom.plans.corpus import part, split_corpus, word_vectors
 from textloom.session import materialize
 
 
@@ -67,26 +69,42 @@ def nmf_features(p: Prepared, k: int = 8) -> FeatureSet:
     return FeatureSet(sides[0], materialize(sides[1], "nmf-test"), k)
 
 
+def lda_rows(p: Prepared, split: str = "train") -> DataFrame:
+    """Stored count rows of a split, numbered for the topic model."""
+    return lda.numbered(sparse_rows(p.train if split == "train" else p.test, p.vocabulary, "count"))
+
+
+def lda_fit(p: Prepared, rows: DataFrame, k: int = 8) -> lda.LdaModel:
+    return lda.fit_lda(rows, p.vocabulary.table, p.vocabulary.n_terms, k)
+
+
 def lda_features(p: Prepared, k: int = 8) -> FeatureSet:
-    counts = weighted_features(p, "count")
-    fit = topics.fit_lda(counts.train, k)
-    sides = [
-        classify.dense_features(topics.document_topics(fit, side))
-        for side in (counts.train, counts.test)
-    ]
+    train, test = lda_rows(p), lda_rows(p, "test")
+    fit = lda_fit(p, train, k)
+    sides = [classify.dense_features(lda.infer(side, fit)) for side in (train, test)]
     return FeatureSet(sides[0], sides[1], k)
 
 
-def docvec_features(spark: SparkSession, sf_dir: str, dim: int = 50) -> FeatureSet:
-    """Mean word vectors over all words, with vectors trained on the training split."""
-    stored = materialize(tokens(split_corpus(spark, sf_dir), plain_words), "words")
-    train, test = part(stored, "train"), part(stored, "test")
-    model = classify.fit_word2vec(train, dim)
+def docvec_parts(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, int]:
+    """(id, category, vector) of both splits and the width: averages of the given word vectors.
+
+    The table of vectors is an input; words without one count as zeros. All words take part, as
+    averaging has no use for a stop list.
+    """
+    stored = materialize(bags(tokens(split_corpus(spark, sf_dir), plain_words)), "words")
+    train = part(stored, "train")
+    given = materialize(word_vectors(spark, sf_dir, fit_vocabulary(train)), "word-vectors")
+    dim = common_width(given, "vector")
     sides = [
-        materialize(model.transform(side).select("id", "category", "features"), "docvec")
-        for side in (train, test)
+        materialize(mean_vectors(side, given, dim, ["id", "category"]), "docvec")
+        for side in (train, part(stored, "test"))
     ]
-    return FeatureSet(sides[0], sides[1], dim)
+    return sides[0], sides[1], dim
+
+
+def docvec_features(spark: SparkSession, sf_dir: str) -> FeatureSet:
+    train, test, dim = docvec_parts(spark, sf_dir)
+    return FeatureSet(classify.dense_features(train), classify.dense_features(test), dim)
 
 
 def article_model(p: Prepared, factory=None) -> ArticleModel:

@@ -84,6 +84,14 @@ def _product(key: str, table: str, on: str) -> str:
     return f"SELECT x.{key}, {sums} FROM tfidf_train x JOIN {table} t USING ({on}) GROUP BY x.{key}"
 
 
+def _psi(x: str) -> str:
+    """The digamma function: its recurrence eight times, then the asymptotic series."""
+    y = f"({x} + 8)"
+    below = " + ".join(f"1.0 / ({x} + {i})" for i in range(8))
+    series = f"1.0/12/{y}**2 - 1.0/120/{y}**4 + 1.0/252/{y}**6 - 1.0/240/{y}**8 + 1.0/132/{y}**10"
+    return f"(ln({y}) - 0.5 / {y} - ({series}) - ({below}))"
+
+
 CTES = {
     "arts": f"""SELECT doc_id AS id, lang AS category, source AS subcategory,
             {_null_if_na("split_part(text, chr(10), 1)")} AS title,
@@ -137,6 +145,32 @@ CTES = {
     "raw_ranked": """SELECT term, row_number() OVER (ORDER BY count(*) DESC, term) - 1 AS rank
         FROM raw_bag GROUP BY term HAVING count(*) >= 2""",
     "ranked": "SELECT term, row_number() OVER (ORDER BY df DESC, term) - 1 AS rank FROM vocab",
+    "plain_bag": _bag("tokens", "plain", "id, split"),
+    "plain_ranked": """SELECT term, row_number() OVER (ORDER BY count(*) DESC, term) - 1 AS rank
+        FROM plain_bag WHERE split = 'train' GROUP BY term HAVING count(*) >= 2""",
+    "words_in": f"""SELECT id, label, split, unnest(ids) AS word_id FROM ids JOIN (SELECT id, split FROM plain) USING (id)""",
+    "bayes_n": f"""SELECT label, word_id, count(*) AS n FROM words_in
+        WHERE split = 'train' AND word_id >= {RESERVED_IDS} GROUP BY ALL""",
+    "bayes_label": """SELECT label, ln(count(*) / sum(count(*)) OVER ()) AS prior,
+            coalesce((SELECT sum(n) FROM bayes_n WHERE bayes_n.label = i.label), 0)
+                + (SELECT count(*) FROM plain_vocab) AS total
+        FROM ids i JOIN plain USING (id) WHERE split = 'train' GROUP BY label""",
+    "bayes_joint": f"""SELECT i.id, i.label, b.label AS predicted, b.prior + coalesce(sum(
+                CASE WHEN w.word_id >= {RESERVED_IDS} THEN ln((coalesce(n.n, 0) + 1) / b.total) END), 0) AS score
+        FROM (SELECT id, label FROM ids JOIN plain USING (id) WHERE split = 'test') i CROSS JOIN bayes_label b
+        LEFT JOIN words_in w ON w.id = i.id LEFT JOIN bayes_n n ON n.word_id = w.word_id AND n.label = b.label
+        GROUP BY i.id, i.label, b.label, b.prior, b.total""",
+    "lda_b": f"""SELECT term_id, t, exp({_psi("v")} - {_psi("sum(v) OVER (PARTITION BY t)")}) AS e FROM (
+            SELECT term_id, t, 0.1 + ((term_id * 11 + t * 5) % 10) / 10.0::DOUBLE AS v
+            FROM vocab CROSS JOIN (SELECT unnest(range(8)) AS t))""",
+    "lda_x": "SELECT id, category, term_id, tf FROM bag_train JOIN vocab USING (term)",
+    "lda_gamma": f"""SELECT id, t, 1.0 / 8 + sum(tf * e / total) AS g FROM (
+            SELECT id, t, tf, e, sum(e) OVER (PARTITION BY id, term_id) AS total
+            FROM lda_x JOIN lda_b USING (term_id)) GROUP BY id, t""",
+    "lda_theta": f"""SELECT id, t, g, {_psi("g")} - {_psi("sum(g) OVER (PARTITION BY id)")} AS logs FROM lda_gamma""",
+    "lda_phi": """SELECT id, term_id, t, tf, exp(logs) * e AS part,
+            sum(exp(logs) * e) OVER (PARTITION BY id, term_id) AS total
+        FROM lda_x JOIN lda_b USING (term_id) JOIN lda_theta USING (id, t)""",
     "emb": """SELECT vec_id, unnest(embedding)::DOUBLE AS v,
             unnest(range(len(embedding))) AS dim FROM embeddings""",
     "w0": f"SELECT id, {_start('id', 7, 3)} FROM (SELECT DISTINCT id FROM tfidf_train)",
@@ -146,7 +180,7 @@ CTES = {
     "w1_gram": f"SELECT {_gram('w1')}",
     "h1": _update("term_id", "h0", f"({_product('term_id', 'w1', 'id')})", "w1_gram"),
 }
-STORED = {"worded", "toks", "bag", "vocab", "tfidf_train", "w1", "h0", "plain", "raw_bag", "marked",
+STORED = {"lda_b", "lda_x", "lda_theta", "lda_phi", "plain_bag", "words_in", "bayes_n", "worded", "toks", "bag", "vocab", "tfidf_train", "w1", "h0", "plain", "raw_bag", "marked",
           "report_markers", "report_constant"}
 
 
@@ -240,6 +274,14 @@ _FINAL = {
         LEFT JOIN (SELECT b.id, e.dim, sum(b.tf * e.v) AS total FROM raw_bag b
                    JOIN raw_ranked r USING (term) JOIN emb e ON r.rank = e.vec_id GROUP BY b.id, e.dim) s
         ON s.id = n.id AND s.dim = d.dim""",
+    "docvec_features": f"""SELECT n.id, n.split, n.category, d.dim, round(coalesce(s.total / n.n, 0), 6) AS value
+        FROM (SELECT id, split, category, len(tokens) AS n FROM plain) n
+        CROSS JOIN (SELECT unnest(range({_DIM})) AS dim) d
+        LEFT JOIN (SELECT b.id, e.dim, sum(b.tf * e.v) AS total FROM plain_bag b
+                   JOIN plain_ranked r USING (term) JOIN emb e ON r.rank = e.vec_id GROUP BY b.id, e.dim) s
+        ON s.id = n.id AND s.dim = d.dim""",
+    "sequence_bayes": """SELECT id, label, predicted, round(score, 6) AS score FROM bayes_joint
+        QUALIFY row_number() OVER (PARTITION BY id ORDER BY score DESC, predicted) = 1""",
     "mean_vector": """SELECT label, dim, round(avg(v), 6) AS mean
         FROM (SELECT label, unnest(embedding)::DOUBLE AS v, unnest(range(len(embedding))) AS dim FROM embeddings)
         GROUP BY label, dim""",
@@ -275,6 +317,17 @@ _FINAL = {
     "shard_assign": f"SELECT id, ({_SHUFFLED}) % {SHARDS} AS shard FROM complete",
     "nmf_one_step": f"""SELECT 'document' AS side, id AS key, {_ROUND8} FROM w1
         UNION ALL SELECT 'term', term_id, {_ROUND8} FROM h1""",
+    "lda_one_step": """SELECT t::INTEGER AS topic, term_id, round(1.0 / 8 + sum(tf * part / total), 6) AS weight
+        FROM lda_phi GROUP BY t, term_id""",
+    "lda_document_bounds": """SELECT d.id, d.category, """
+    + ", ".join(f"round(coalesce(c{i}, 1.0 / 8), 6) AS c{i}" for i in range(8))
+    + """, round(coalesce(words + rest, 0), 6) AS bound
+        FROM (SELECT id, category FROM toks WHERE split = 'train') d
+        LEFT JOIN (SELECT id, sum(tf * ln(total)) AS words FROM lda_phi WHERE t = 0 GROUP BY id) w USING (id)
+        LEFT JOIN (SELECT id, sum((1.0 / 8 - g) * logs) + sum(lgamma(g)) - lgamma(sum(g)) + lgamma(1) - 8 * lgamma(1.0 / 8) AS rest,
+            """
+    + ", ".join(f"sum(g) FILTER (t = {i}) / sum(g) AS c{i}" for i in range(8))
+    + """ FROM lda_theta GROUP BY id) r USING (id)""",
     "tsv_scan": "SELECT id, category, title, abstract FROM arts",
     "tsv_splits": f"""SELECT split, category, count(*) AS n
         FROM (SELECT category, {SPLIT.replace("text", "coalesce(title, '')")} AS split FROM arts) GROUP BY ALL""",

@@ -5,9 +5,11 @@ from pyspark.sql import functions as F
 
 from textloom.functions.text import plain_words, raw_tokens, surface_tokens, tokenize
 from textloom.operators import (
+    bayes,
     classify,
     clean,
     labels,
+    lda,
     metrics,
     nmf,
     ordering,
@@ -247,6 +249,16 @@ def document_mean_vector(spark, sf_dir):
     ).withColumn("dim", F.col("dim").cast("long"))
 
 
+def docvec_features(spark, sf_dir):
+    """Averaged word vectors of both splits, as the classifiers get them."""
+    train, test, _ = experiment.docvec_parts(spark, sf_dir)
+    both = train.withColumn("split", F.lit("train")).unionByName(test.withColumn("split", F.lit("test")))
+    values = F.transform("vector", lambda v: F.round(v, 6))
+    return both.select("id", "split", "category", F.posexplode(values).alias("dim", "value")).withColumn(
+        "dim", F.col("dim").cast("long")
+    )
+
+
 def mean_vector(spark, sf_dir):
     table = corpus.table(spark, sf_dir, "embeddings")
     dim = vectors.common_width(table, "embedding")
@@ -350,6 +362,23 @@ def family_inputs(spark, sf_dir):
     )
 
 
+def sequence_bayes(spark, sf_dir):
+    """A classifier over encoded sequences, fitted on the training rows and read on the others."""
+    table = corpus.split_corpus(spark, sf_dir)
+    train = corpus.part(table, "train")
+    fitted = labels.fit_labels(train)
+    words = vectors.fit_vocabulary(vectors.stored_bags(train, plain_words))
+
+    def encoded(side):
+        coded = labels.encode_labels(side, fitted).select("id", "text", "code")
+        return sequences.encode(coded, words, "text", "code", SEQUENCE_LENGTH)
+
+    model = bayes.fit_sequence_bayes(materialize(encoded(train), "sequences"), words.n_terms)
+    held_out = materialize(encoded(corpus.part(table, "test")), "sequences")
+    scored = bayes.score_sequences(held_out.withColumn("key", F.struct("id", "label")), model, "key")
+    return _rounded(scored.select("key.id", "key.label", "predicted", "score"), "score")
+
+
 def batch_assign(spark, sf_dir):
     table = corpus.complete_articles(spark, sf_dir).select("id")
     in_order = ordering.assign_batches(table, BATCH_SIZE).withColumnRenamed("batch", "in_order")
@@ -413,24 +442,47 @@ def nmf_holdout(spark, sf_dir):
 
 def _lda(spark, sf_dir):
     p = experiment.prepare(spark, sf_dir)
-    counts = experiment.weighted_features(p, "count")
-    return p, counts, topics.fit_lda(counts.train)
+    rows = experiment.lda_rows(p)
+    return p, rows, experiment.lda_fit(p, rows)
 
 
 def lda_topics(spark, sf_dir):
-    _, counts, fit = _lda(spark, sf_dir)
-    return topics.document_topics(fit, counts.train)
+    _, rows, fit = _lda(spark, sf_dir)
+    return lda.infer(rows, fit).select("id", "category", "vector")
 
 
 def lda_top_words(spark, sf_dir):
     p, _, fit = _lda(spark, sf_dir)
-    return topics.top_topic_words(topics.lda_topic_terms(fit, 8), p.vocabulary)
+    return topics.top_topic_words(lda.topic_terms(fit), p.vocabulary)
 
 
 def lda_quality(spark, sf_dir):
-    _, counts, fit = _lda(spark, sf_dir)
-    values = list(fit.quality(counts.train).items())
-    return spark.createDataFrame(values, "measure string, value double")
+    _, rows, fit = _lda(spark, sf_dir)
+    values = {**lda.quality(rows, fit), "steps": float(len(fit.bounds)), "converged": float(fit.converged)}
+    return spark.createDataFrame(list(values.items()), "measure string, value double")
+
+
+def _lda_from_fixed_start(spark, sf_dir):
+    """Numbered count rows and a model whose parameters are given by a rule."""
+    p = experiment.prepare(spark, sf_dir)
+    terms = p.vocabulary.table.selectExpr("term_id", *_start("term_id", 11, 5))
+    model = lda.model_of(materialize(terms, "lda-start"), 8, p.vocabulary.n_terms)
+    return experiment.lda_rows(p), model
+
+
+def lda_one_step(spark, sf_dir):
+    """Topic-term parameters after one step with one update of the documents."""
+    rows, model = _lda_from_fixed_start(spark, sf_dir)
+    after, _ = lda.step(lda.placed_entries(rows), model, 1, 0.0)
+    return _rounded(nmf.long_factor(after.terms, "term_id", 8), "weight")
+
+
+def lda_document_bounds(spark, sf_dir):
+    """Topic shares and bound of every training document under given topics, after one update."""
+    rows, model = _lda_from_fixed_start(spark, sf_dir)
+    found = lda.infer(rows, model, 1, 0.0)
+    shares = [F.round(F.get("vector", F.lit(i)), 6).alias(c) for i, c in enumerate(columns(8))]
+    return _rounded(found.select("id", "category", *shares, "bound"), "bound")
 
 
 def pca_points(spark, sf_dir):
@@ -472,28 +524,28 @@ def embedding_points(spark, sf_dir):
 def svc_tfidf(spark, sf_dir):
     p = experiment.prepare(spark, sf_dir)
     features = {"tfidf": experiment.weighted_features(p, "tfidf")}
-    return classify.sweep(features, {"svc": classify.linear_svc()})
+    return classify.sweep(features, {"svc": classify.newton_svc()})
 
 
 def svc_counts(spark, sf_dir):
     p = experiment.prepare(spark, sf_dir)
     features = {"counts": experiment.weighted_features(p, "count")}
-    return classify.sweep(features, {"svc": classify.linear_svc()})
+    return classify.sweep(features, {"svc": classify.newton_svc()})
 
 
 def svc_nmf(spark, sf_dir):
     features = {"nmf": experiment.nmf_features(experiment.prepare(spark, sf_dir))}
-    return classify.sweep(features, {"svc": classify.linear_svc()})
+    return classify.sweep(features, {"svc": classify.newton_svc()})
 
 
 def svc_lda(spark, sf_dir):
     features = {"lda": experiment.lda_features(experiment.prepare(spark, sf_dir))}
-    return classify.sweep(features, {"svc": classify.linear_svc()})
+    return classify.sweep(features, {"svc": classify.newton_svc()})
 
 
 def svc_docvec(spark, sf_dir):
     features = {"docvec": experiment.docvec_features(spark, sf_dir)}
-    return classify.sweep(features, {"svc": classify.linear_svc()})
+    return classify.sweep(features, {"svc": classify.newton_svc()})
 
 
 def logreg_scores(spark, sf_dir):
@@ -524,7 +576,7 @@ def classifier_report(spark, sf_dir):
 
 def results_table(spark, sf_dir):
     path = scratch_path(spark, "results")
-    found = svc_tfidf(spark, sf_dir).drop("train_accuracy")
+    found = svc_tfidf(spark, sf_dir).drop("train_accuracy", "steps", "converged")
     result_sink.write_results(found, path)
     return result_sink.read_results(spark, path)
 
@@ -634,11 +686,11 @@ QUERIES = {
         exact_sample, row_index, md5_split, tokenize_texts, stopword_filter, raw_token_list,
         alphanumeric_words, url_tokens, lemma_lookup, vocabulary, term_counts, tfidf,
         tfidf_holdout, counts_holdout, matrix_shape, top_words_count, top_words_tfidf,
-        word_vector_lookup, document_mean_vector, mean_vector, label_encode, label_decode,
+        word_vector_lookup, document_mean_vector, docvec_features, mean_vector, label_encode, label_decode,
         unseen_labels, accuracy_by_split, confusion_matrix, class_report, macro_f1,
         model_comparison, best_model, challenger_gate, argmax_logits, encode_sequence,
-        attention_mask, family_inputs, batch_assign, shard_assign, nmf_one_step, nmf_topics,
-        nmf_top_words, nmf_error, nmf_holdout, lda_topics, lda_top_words, lda_quality,
+        attention_mask, family_inputs, sequence_bayes, batch_assign, shard_assign, nmf_one_step, nmf_topics,
+        nmf_top_words, nmf_error, nmf_holdout, lda_one_step, lda_document_bounds, lda_topics, lda_top_words, lda_quality,
         pca_points, pca_topic_points, pca_docvec_points, embedding_points, svc_tfidf, svc_counts, svc_nmf, svc_lda, svc_docvec,
         logreg_scores, mlp_scores, classifier_sweep, classifier_report, results_table, saved_model_scores,
         new_article_filter, tsv_scan, tsv_splits, entity_rows, daily_arrivals, stream_score,
