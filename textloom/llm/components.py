@@ -3,7 +3,7 @@
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from textloom.llm.common import materialize
+from textloom.llm.common import materialize, sized_lookup
 
 
 def _checksum(edges: DataFrame) -> tuple:
@@ -13,8 +13,8 @@ def _checksum(edges: DataFrame) -> tuple:
 def components(links: DataFrame) -> DataFrame:
     """(node, root) for every node of ``links`` (a, b) that is not the smallest of its component.
 
-    Each round is two sums with partial aggregation and two joins that Spark can split at a hub;
-    the link table is stored between rounds. It stops when the links form stars around the
+    Each round is two sums with partial aggregation, stored, and two joins with them that split
+    off hubs; the link table is stored between rounds. It stops when the links form stars around the
     smallest node. Null ends and self links are ignored, repeated links count once.
     """
     ends = links.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
@@ -25,11 +25,11 @@ def components(links: DataFrame) -> DataFrame:
     while before[0]:
         both = edges.union(edges.select("b", "a"))
         low = both.groupBy("a").agg(F.min("b").alias("low"))
-        low = low.select("a", F.least("a", "low").alias("low"))
-        large = both.filter("b > a").join(low, "a").select(F.col("b").alias("a"), F.col("low").alias("b"))
-        large = large.distinct()
-        least = large.groupBy("a").agg(F.min("b").alias("low"))
-        small = large.join(least, "a").select(
+        low = materialize(low.select("a", F.least("a", "low").alias("low")), "lowest")
+        large = sized_lookup(both.filter("b > a"), low, "a", "inner").select(F.col("b").alias("a"), F.col("low").alias("b"))
+        large = materialize(large.distinct(), "links")
+        least = materialize(large.groupBy("a").agg(F.min("b").alias("low")), "lowest")
+        small = sized_lookup(large, least, "a", "inner").select(
             F.explode(
                 F.array(
                     F.struct(F.col("a").alias("a"), F.col("low").alias("b")),

@@ -46,14 +46,18 @@ def fingerprint(text: str | None, width: int = SHINGLE_WORDS) -> int:
 
 
 def fingerprints(docs: DataFrame, width: int = SHINGLE_WORDS) -> DataFrame:
-    """(doc_id, fp): the signed fingerprint of every row; null and wordless texts have zero."""
+    """(doc_id, text_hash, fp): the signed fingerprint of every row and a hash of its text.
+
+    Null and wordless texts have fingerprint zero.
+    """
 
     def run(columns):
-        ids, texts = columns
+        ids, hashes, texts = columns
         values = np.array([fingerprint(t, width) for t in texts], np.uint64)
-        return [ids, pa.array(values.view(np.int64))]
+        return [ids, hashes, pa.array(values.view(np.int64))]
 
-    return map_batches(balanced(docs), run, "doc_id long, fp long", ["doc_id", "text"])
+    rows = balanced(docs).select("doc_id", F.xxhash64("text").alias("text_hash"), "text")
+    return map_batches(rows, run, "doc_id long, text_hash long, fp long", rows.columns)
 
 
 def blocks(max_bits: int) -> list[tuple[int, int]]:
@@ -219,20 +223,21 @@ def fingerprint_links(codes: DataFrame, max_bits: int = MAX_BITS, leaves: int =
 
 
 def near_duplicates(docs: DataFrame, width: int = SHINGLE_WORDS, max_bits: int = MAX_BITS) -> DataFrame:
-    """(doc_id, fp, component_id) per row of ``docs`` (doc_id, text).
+    """(doc_id, text_hash, fp, root, component_id) per row of ``docs`` (doc_id, text).
 
     Fingerprints at ``max_bits`` or fewer differing bits are linked, and ``component_id`` is the
     smallest doc_id reachable over links. Null, empty and wordless texts have fingerprint zero
     and are linked with each other. Null ids are kept and never become a component id unless a
-    component has no other. Repeated rows fall into one component; an empty table gives no rows.
+    component has no other; ``root``, a fingerprint of the component, tells components apart
+    whatever their ids. Repeated rows fall into one component; an empty table gives no rows.
     """
     prints = materialize(fingerprints(docs, width), "fingerprints")
     codes = materialize(prints.groupBy("fp").agg(F.min("doc_id").alias("first")), "codes")
     roots = components(fingerprint_links(codes, max_bits)).withColumnRenamed("node", "fp")
     codes = codes.join(roots, "fp", "left").withColumn("root", F.coalesce("root", "fp"))
     lowest = codes.groupBy("root").agg(F.min("first").alias("component_id"))
-    named = materialize(codes.join(lowest, "root").select("fp", "component_id"), "components")
-    return sized_lookup(prints, named, "fp").select("doc_id", "fp", "component_id")
+    named = materialize(codes.join(lowest, "root").select("fp", "root", "component_id"), "components")
+    return sized_lookup(prints, named, "fp").select("doc_id", "text_hash", "fp", "root", "component_id")
 
 
 def op1(docs: DataFrame) -> DataFrame:
