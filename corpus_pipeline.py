@@ -5,7 +5,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from textloom.llm import bpe, decontaminate, jaccard, language, substring
+from textloom.llm import bpe, decontaminate, language, simhash, substring
 from textloom.llm.common import KEY, NULL_ID, balanced, keyed, materialize, sized_join, table
 
 # SQL cannot express language models and tokenizers; each stage is tested against brute force.
@@ -39,14 +39,16 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keep one document of each group of near duplicates: the smallest doc_id, null ids last.
 
-    Near duplicates have a Jaccard similarity of at least 0.8 over their 5-word shingles. Rows are
-    told apart by id and text, so unrelated texts stay whatever their ids. Of several texts of
-    a group with the smallest id the one with the smallest hash stays, of rows equal in both the
-    one whose other columns come first as JSON.
+    Near duplicates are linked by SimHash fingerprints over 4-word shingles that differ in at most
+    4 bits. Null, empty and wordless texts form one group. Rows are told apart by id and text, so
+    unrelated texts stay whatever their ids. Of several texts of a group with the smallest id the
+    one with the smallest hash stays, of rows equal in both the one whose other columns come first
+    as JSON.
     """
-    groups = jaccard.near_groups(docs.select("doc_id", "text"))
-    row = F.struct((F.col(KEY[0]) == NULL_ID).alias("unnamed"), *KEY)
-    first = groups.groupBy("root").agg(F.min(row).alias("_kept"))
+    found = simhash.near_duplicates(docs.select("doc_id", "text"), simhash.SHINGLE_WORDS, simhash.MAX_BITS)
+    named = F.coalesce("doc_id", F.lit(NULL_ID))
+    row = F.struct(F.col("doc_id").isNull().alias("unnamed"), named.alias(KEY[0]), F.col("text_hash").alias(KEY[1]))
+    first = found.groupBy("root").agg(F.min(row).alias("_kept"))
     first = materialize(first.select(*(F.col(f"_kept.{k}") for k in KEY)), "kept")
     found = sized_join(keyed(packed(docs), "doc_id", "text"), first, KEY, "inner")
     one = F.min_by(F.struct("doc_id", "text", "_rest"), F.to_json("_rest")).alias("_row")
@@ -54,20 +56,28 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 
 def remove_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Take repeated passages out of the texts; other texts stay as they are."""
+    """Take repeated passages out of the texts; other texts stay as they are.
+
+    Null and empty texts have no passages and stay null and empty; every row stays, repeated rows
+    each, which cover each other's windows.
+    """
     cut = substring.remove_repeats(packed(docs))
     text = F.when(F.col("n_removed") > 0, F.col("kept_text")).otherwise(F.col("text"))
     return unpacked(cut.withColumn("text", text), docs)
 
 
 def decontaminate_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drop documents that hold a passage of the benchmark."""
+    """Drop documents that hold a passage of the benchmark.
+
+    Null and empty texts hold none and stay; repeated rows stay or go together; null and empty
+    items match nothing.
+    """
     clean = decontaminate.drop_contaminated(balanced(packed(docs)), table(spark, sf_dir, "benchmark"))
     return unpacked(clean, docs)
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token ids of every remaining document."""
+    """Token ids of every remaining document; null and empty texts have none, repeated rows each."""
     return bpe.encode_texts(balanced(docs))
 
 
