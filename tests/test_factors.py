@@ -62,3 +62,39 @@ def test_dense_pca_is_centred(spark):
     values = np.linalg.eigvalsh(np.cov(data.T))[::-1]
     assert points.mean(axis=0) == pytest.approx([0, 0], abs=1e-9)
     assert points.var(axis=0, ddof=1) == pytest.approx(values[:2])
+
+
+def test_non_negative_weights_are_the_optimum():
+    pick = np.random.default_rng(2)
+    for k in (1, 2, 5, 8):
+        h = np.abs(pick.standard_normal((k, 40))) * (pick.random((k, 40)) < 0.4)
+        if k > 2:
+            h[1] = h[0]  # a singular system
+        gram = h @ h.T
+        b = np.r_[pick.standard_normal((60, 40)), np.abs(pick.standard_normal((60, 40))), np.zeros((2, 40))] @ h.T
+        w = nmf.non_negative(b, gram)
+        gradient = w @ gram - b
+        assert (w >= 0).all() and (gradient > -1e-7).all() and np.abs(w * gradient).max() < 1e-7
+    assert nmf.non_negative(np.empty((0, 3)), np.eye(3)).shape == (0, 3)
+
+
+def test_rows_that_repeat_an_id_keep_weights_of_their_own(spark, prepared):
+    _, vocabulary, rows, _ = prepared
+    model = nmf.fit_nmf(rows, vocabulary.n_terms, k=2, max_iter=20)
+    pets, cars = (rows.filter(f"id = {i}") for i in (1, 13))
+    alone = {r["category"]: (r["c0"], r["c1"]) for r in nmf.transform_nmf(model, pets.unionByName(cars)).collect()}
+    same = pets.unionByName(cars).unionByName(pets).selectExpr("CAST(NULL AS long) AS id", "category", "indices", "values")
+    got = nmf.transform_nmf(model, same).collect()
+    assert sorted(r["category"] for r in got) == ["cars", "pets", "pets"]
+    assert all((r["c0"], r["c1"]) == pytest.approx(alone[r["category"]]) for r in got)
+    one_id = rows.selectExpr("7L AS id", "category", "indices", "values")
+    for frame in (one_id, rows):
+        fitted = nmf.fit_nmf(frame, vocabulary.n_terms, k=2, max_iter=5)
+        points = reduce.sparse_pca(frame, vocabulary.n_terms)
+        assert fitted.documents.count() == points.points.count() == 26
+        assert fitted.errors == pytest.approx(nmf.fit_nmf(rows, vocabulary.n_terms, k=2, max_iter=5).errors)
+    assert (points.residuals < 1e-2).all()
+    checked = nmf.optimality(model, rows, nmf.transform_nmf(model, rows).drop("category"))
+    assert checked.filter("optimal").count() == checked.count() == 26
+    wrong = nmf.transform_nmf(model, rows).drop("category").selectExpr("id", "c0 + 1 AS c0", "c1")
+    assert nmf.optimality(model, rows, wrong).filter("NOT optimal").count() == 26

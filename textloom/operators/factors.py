@@ -14,9 +14,25 @@ from pyspark.sql import functions as F
 
 from textloom.operators.lookup import lookup_join
 from textloom.operators.vectors import weights
+from textloom.session import materialize
 
 
 DOCUMENTS_PER_PARTITION = 20_000
+ROW = "_row"
+
+
+def numbered(rows: DataFrame, name: str = "numbered-rows") -> DataFrame:
+    """Stored rows with a number each, which tells rows that repeat an id apart.
+
+    The numbers are written with the rows and so the same whenever they are read.
+    """
+    return materialize(rows.withColumn(ROW, F.monotonically_increasing_id()), name)
+
+
+def with_keys(rows: DataFrame, found: DataFrame) -> DataFrame:
+    """The key columns of numbered ``rows`` beside the results of their numbers in ``id``."""
+    keys = [c for c in rows.columns if c not in (ROW, "indices", "values")]
+    return rows.select(ROW, *keys).join(found.withColumnRenamed("id", ROW), ROW, "left").drop(ROW)
 
 
 def columns(k: int, prefix: str = "c") -> list[str]:

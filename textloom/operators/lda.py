@@ -15,13 +15,12 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from textloom.operators.factors import DOCUMENTS_PER_PARTITION, columns, factor_bytes, hash_uniform
+from textloom.operators.factors import DOCUMENTS_PER_PARTITION, ROW, columns, factor_bytes, hash_uniform, numbered
 from textloom.operators.lookup import BROADCAST_BYTES, lookup_join
 from textloom.operators.nmf import long_factor
 from textloom.operators.vectors import weights
 from textloom.session import materialize
 
-ROW = "_row"
 # The row of a step's sums that holds the bound and not a term.
 BOUND_ID = -1
 TINY = 1e-100
@@ -76,11 +75,6 @@ def placed_entries(rows: DataFrame) -> DataFrame:
     return entries.sortWithinPartitions(ROW).persist(StorageLevel.MEMORY_AND_DISK)
 
 
-def numbered(rows: DataFrame, name: str = "lda-rows") -> DataFrame:
-    """Stored rows with a number each, which tells rows that repeat an id apart."""
-    return materialize(rows.withColumn(ROW, F.monotonically_increasing_id()), name)
-
-
 def settle(doc: np.ndarray, x: np.ndarray, topics: np.ndarray, docs: int, alpha: float, inner: int, tol: float):
     """Topic parameters (docs, k) of documents given as entries with their exp E[log beta] rows.
 

@@ -9,17 +9,20 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from textloom.operators.factors import (
+    ROW,
     cached_entries,
     columns,
     factor_bytes,
     gram,
     gram_sums,
     hash_uniform,
+    numbered,
     renamed,
     right_multiply,
     symmetric,
     times_documents,
     times_terms,
+    with_keys,
 )
 from textloom.operators.vectors import weights
 from textloom.session import materialize
@@ -29,7 +32,7 @@ TINY = 1e-12
 
 @dataclass(frozen=True)
 class NmfModel:
-    """``terms`` (term_id, c0..) is H; ``documents`` (id, c0..) is W of the training rows."""
+    """``terms`` (term_id, c0..) is H; ``documents`` (keys, c0..) is W of the training rows."""
 
     k: int
     n_terms: int
@@ -81,7 +84,9 @@ def fit_nmf(
     seed: int = 42,
     start_terms: DataFrame | None = None,
 ) -> NmfModel:
-    """Factorize stored ``rows`` (id, indices, values) into ``k`` components.
+    """Factorize ``rows`` (keys, indices, values) into ``k`` components.
+
+    Rows are numbered first, so rows that repeat an id, or have none, keep weights of their own.
 
     Iterates until the error falls by less than ``tol`` of the first error; ``converged`` tells
     whether that or ``max_iter`` ended the fit. ``start_terms`` continues from an earlier H, in
@@ -91,14 +96,16 @@ def fit_nmf(
     """
     if max_iter < 1:
         raise ValueError("max_iter must be at least 1")
-    x = cached_entries(rows)
+    rows = numbered(rows)
+    x = cached_entries(rows.withColumn("id", F.col(ROW)))
     x_sum, x_squared = x.agg(
         F.coalesce(F.sum("x"), F.lit(0.0)), F.coalesce(F.sum(F.col("x") * F.col("x")), F.lit(0.0))
     ).first()
     n_docs = rows.count()
     scale = float(np.sqrt(x_sum / max(1, n_docs * n_terms) / k))
     h_size = factor_bytes(n_terms, k)
-    w = start_factor(x.select("id").distinct(), "id", k, scale, seed)
+    # Equal starts for all documents: the terms' start values tell the components apart.
+    w = x.select("id").distinct().selectExpr("id", *(f"{scale!r}D AS {c}" for c in columns(k)))
     h = start_factor(x.select("term_id").distinct(), "term_id", k, scale, seed + 1)
     if start_terms is not None:
         known = renamed(start_terms, "term_id", k, "s")
@@ -124,30 +131,85 @@ def fit_nmf(
             break
     x.unpersist()
     # Documents without any known term take no part in the sums and have zero weights.
-    every = rows.select("id").join(w, "id", "left").na.fill(0.0, columns(k))
+    every = with_keys(rows, w).na.fill(0.0, columns(k))
     return NmfModel(k, n_terms, h, every, h_gram, errors[-1], errors, converged)
 
 
-def transform_nmf(model: NmfModel, rows: DataFrame, max_iter: int = 200) -> DataFrame:
-    """W of unseen ``rows`` with H fixed; documents without a known term get zeros.
+def non_negative(b: np.ndarray, gram: np.ndarray) -> np.ndarray:
+    """The w >= 0 that minimises w G w / 2 - b w for every row of ``b``, by block principal pivoting.
 
-    X Hᵀ is one join and one sum per document. The updates of a document need nothing but its
-    own product and the small Gram matrix, so they run on Arrow batches inside the tasks.
+    Each row holds a set of positive weights; a set is exchanged with those that break the conditions
+    of the optimum (w >= 0, gradient >= 0, one of both zero) until none does. If an exchange of all
+    does not lessen their number three times, the last of them moves alone, which cannot cycle.
+    Rows with the same set share one solution of the small system.
+    """
+    n, k = b.shape
+    positive, tries = np.zeros((n, k), bool), np.full(n, 3)
+    fewest, out = np.full(n, k + 1), np.zeros((n, k))
+    slack = 1e-12 * (1 + np.abs(b).max(axis=1, keepdims=True, initial=0))
+    gradient, open_ = -b, np.arange(n)
+    for _ in range(200 * k):
+        wrong = np.where(positive[open_], out[open_] < -slack[open_], gradient[open_] < -slack[open_])
+        count = wrong.sum(axis=1)
+        open_, wrong, count = (x[count > 0] for x in (open_, wrong, count))
+        if not len(open_):
+            break
+        better = count < fewest[open_]
+        fewest[open_] = np.minimum(fewest[open_], count)
+        tries[open_] = np.where(better, 3, tries[open_] - 1)
+        alone = tries[open_] < 0
+        last = k - 1 - wrong[:, ::-1].argmax(axis=1)
+        wrong[alone] = np.arange(k) == last[alone, None]
+        positive[open_] ^= wrong
+        sets, of = np.unique(positive[open_], axis=0, return_inverse=True)
+        for i, s in enumerate(sets):
+            rows = open_[of.reshape(-1) == i]
+            out[rows] = 0
+            if s.any():
+                solved = np.linalg.lstsq(gram[np.ix_(s, s)], b[np.ix_(rows, s)].T, rcond=None)[0].T
+                out[np.ix_(rows, s)] = solved
+            gradient[rows] = np.where(s, 0.0, out[rows] @ gram - b[rows])
+    return np.maximum(out, 0.0)
+
+
+def transform_nmf(model: NmfModel, rows: DataFrame) -> DataFrame:
+    """(keys, c0..): the best W of unseen ``rows`` with H fixed, the exact non-negative optimum.
+
+    X Hᵀ is one join and one sum per document. A document then needs nothing but its own product
+    and the small Gram matrix, so it is solved on Arrow batches inside the tasks. Documents without
+    a known term get zeros; rows that repeat an id are solved each.
     """
     k, h_gram = model.k, model.gram
-    entries = weights(rows.select("id", "indices", "values")).withColumnRenamed("weight", "x")
+    rows = numbered(rows)
+    entries = weights(rows.select(F.col(ROW).alias("id"), "indices", "values")).withColumnRenamed("weight", "x")
     product = times_terms(entries, model.terms, k, factor_bytes(model.n_terms, k))
 
     def solve(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            b = batch[columns(k)].to_numpy(dtype=float)
-            w = np.full_like(b, 1.0 / k)
-            for _ in range(max_iter):
-                w *= b / np.maximum(w @ h_gram, TINY)
+            w = non_negative(batch[columns(k)].to_numpy(dtype=float), h_gram)
             yield pd.concat([batch[["id"]], pd.DataFrame(w, columns=columns(k))], axis=1)
 
     solved = product.mapInPandas(solve, product.schema)
-    return rows.select("id").join(solved, "id", "left").na.fill(0.0, columns(k))
+    return with_keys(rows, solved).na.fill(0.0, columns(k))
+
+
+def optimality(model: NmfModel, rows: DataFrame, solved: DataFrame, key: str = "id", tol: float = 1e-6) -> DataFrame:
+    """(key, optimal): whether ``solved`` weights of uniquely keyed ``rows`` meet the conditions of the optimum.
+
+    All weights and all gradients are at least zero, and one of both is zero, within ``tol`` of the
+    largest product of the row. The gradient is computed anew from the components.
+    """
+    k = model.k
+    entries = weights(rows.select(F.col(key).alias("id"), "indices", "values")).withColumnRenamed("weight", "x")
+    product = renamed(times_terms(entries, model.terms, k, factor_bytes(model.n_terms, k)), "id", k, "b")
+    both = solved.withColumnRenamed(key, "id").join(product, "id", "left").na.fill(0.0, columns(k, "b"))
+    scale = f"{tol!r}D * (1 + greatest({', '.join(f'abs({b})' for b in columns(k, 'b'))}))"
+    below = right_multiply(gram(model.terms, k))
+    met = " AND ".join(
+        f"{c} >= 0 AND ({g} - {b}) >= -({scale}) AND least({c}, abs({g} - {b})) <= {scale}"
+        for c, b, g in zip(columns(k), columns(k, "b"), below, strict=True)
+    )
+    return both.selectExpr(f"id AS `{key}`", f"{met} AS optimal")
 
 
 def topic_terms(model: NmfModel) -> DataFrame:
@@ -162,5 +224,6 @@ def long_factor(table: DataFrame, key: str, k: int) -> DataFrame:
 
 
 def as_array(table: DataFrame, k: int, name: str = "vector") -> DataFrame:
-    """(id, vector) from the factor columns of documents."""
-    return table.select("id", F.array(*columns(k)).alias(name))
+    """(keys, vector) from the factor columns of documents."""
+    keys = [c for c in table.columns if c not in columns(k)]
+    return table.select(*keys, F.array(*columns(k)).alias(name))

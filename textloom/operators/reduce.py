@@ -1,6 +1,7 @@
 """Principal components of document vectors, sparse over terms or short and dense."""
 
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 from pyspark.ml.feature import PCA, StandardScaler
@@ -9,6 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from textloom.operators.factors import (
+    ROW,
     cached_entries,
     columns,
     cross_sums,
@@ -16,23 +18,30 @@ from textloom.operators.factors import (
     gram,
     gram_sums,
     hash_uniform,
+    numbered,
     renamed,
     right_multiply,
     symmetric,
     times_documents,
     times_terms,
+    with_keys,
 )
 from textloom.session import materialize
 
 
 @dataclass(frozen=True)
 class SparsePca:
-    """``points`` (id, pc1..), the loadings per term and the variances of the components."""
+    """``points`` (keys, pc1..), the loadings per term and the variances of the components.
+
+    ``residuals`` holds |C v - variance v| of each component v as a share of the largest variance,
+    C being the covariance.
+    """
 
     points: DataFrame
     loadings: DataFrame
     variances: np.ndarray
     converged: bool
+    residuals: np.ndarray
 
 
 def _orthonormal(cross: np.ndarray) -> np.ndarray:
@@ -59,9 +68,10 @@ def sparse_pca(
     vocabulary need not be cut. ``extra`` more directions than wanted speed up convergence; ``converged`` tells whether ``tol`` was reached.
     """
     p = k + extra
+    rows = numbered(rows)
     n_docs = rows.count()
     size = factor_bytes(n_terms, p)
-    x = cached_entries(rows)
+    x = cached_entries(rows.withColumn("id", F.col(ROW)))
     sums = materialize(x.groupBy("term_id").agg(F.sum("x").alias("s")), "column-sums")
     starts = [f"{hash_uniform(seed, 'term_id', i)} - 0.5D AS {c}" for i, c in enumerate(columns(p))]
     v = sums.selectExpr("term_id", "s", *starts)
@@ -94,8 +104,9 @@ def sparse_pca(
     loadings = _signed(materialize(basis, "pca-loadings"), k)
     means = _column_means(loadings, k, n_docs)
     scores = times_terms(x, loadings.drop("s"), k, factor_bytes(n_terms, k))
-    points = rows.select("id").join(scores, "id", "left").select(
-        "id",
+    keys = [c for c in rows.columns if c not in (ROW, "indices", "values")]
+    points = with_keys(rows, scores).select(
+        *keys,
         *[
             (F.coalesce(F.col(c), F.lit(0.0)) - float(m)).alias(f"pc{i + 1}")
             for i, (c, m) in enumerate(zip(columns(k), means, strict=True))
@@ -103,7 +114,10 @@ def sparse_pca(
     )
     points = materialize(points, "pca-points")
     x.unpersist()
-    return SparsePca(points, loadings.drop("s"), ritz[:k] / max(1, n_docs - 1), converged)
+    # The components are orthonormal combinations ``turn`` of V, and CV has the products ``spread``.
+    squares = np.einsum("ik,ij,jk->k", turn[:, :k], spread, turn[:, :k]) - ritz[:k] ** 2
+    residuals = np.sqrt(np.maximum(squares, 0)) / max(ritz[0], 1e-300)
+    return SparsePca(points, loadings.drop("s"), ritz[:k] / max(1, n_docs - 1), converged, residuals)
 
 
 def _rotated(table: DataFrame, matrix: np.ndarray, p: int, prefix: str = "c") -> DataFrame:
@@ -127,9 +141,10 @@ def _signed(loadings: DataFrame, k: int) -> DataFrame:
     return _rotated(loadings, np.diag(signs), k)
 
 
-def dense_pca(df: DataFrame, vector: str = "vector", k: int = 2, key: str = "id") -> DataFrame:
-    """(id, pc1..) of a short array column (topic weights, word-vector means)."""
-    features = df.select(key, array_to_vector(vector).alias("_raw"))
+def dense_pca(df: DataFrame, vector: str = "vector", k: int = 2) -> DataFrame:
+    """(other columns, pc1..) of a short array column (topic weights, word-vector means)."""
+    others = [c for c in df.columns if c != vector]
+    features = df.select(*others, array_to_vector(vector).alias("_raw"))
     scaler = StandardScaler(
         inputCol="_raw", outputCol="_centred", withMean=True, withStd=False
     ).fit(features)
@@ -137,20 +152,14 @@ def dense_pca(df: DataFrame, vector: str = "vector", k: int = 2, key: str = "id"
     model = PCA(k=k, inputCol="_centred", outputCol="_points").fit(centred)
     points = vector_to_array("_points")
     return model.transform(centred).select(
-        key, *[F.get(points, F.lit(i)).alias(f"pc{i + 1}") for i in range(k)]
+        *others, *[F.get(points, F.lit(i)).alias(f"pc{i + 1}") for i in range(k)]
     )
 
 
-def category_points(points: dict[str, DataFrame], articles: DataFrame) -> DataFrame:
+def category_points(points: dict[str, DataFrame]) -> DataFrame:
     """(feature_set, id, category, pc1, pc2): one table for all feature sets."""
-    categories = articles.select("id", "category")
     parts = [
-        table.join(categories, "id").select(
-            F.lit(name).alias("feature_set"), "id", "category", "pc1", "pc2"
-        )
+        table.select(F.lit(name).alias("feature_set"), "id", "category", "pc1", "pc2")
         for name, table in points.items()
     ]
-    result = parts[0]
-    for part in parts[1:]:
-        result = result.unionByName(part)
-    return result
+    return reduce(DataFrame.unionByName, parts)

@@ -55,16 +55,11 @@ def nmf_fit(p: Prepared, k: int = 8, max_iter: int = 200) -> nmf.NmfModel:
     return nmf.fit_nmf(stored_rows(p), p.vocabulary.n_terms, k=k, max_iter=max_iter)
 
 
-def with_category(vectors: DataFrame, side: DataFrame) -> DataFrame:
-    return vectors.join(side.select("id", "category"), "id")
-
-
 def nmf_features(p: Prepared, k: int = 8) -> FeatureSet:
     model = nmf_fit(p, k)
     test = nmf.transform_nmf(model, stored_rows(p, "test"))
     sides = [
-        classify.dense_features(with_category(nmf.as_array(table, k), side))
-        for table, side in ((model.documents, p.train), (test, p.test))
+        classify.dense_features(nmf.as_array(table, k)) for table in (model.documents, test)
     ]
     return FeatureSet(sides[0], materialize(sides[1], "nmf-test"), k)
 
@@ -115,5 +110,5 @@ def article_model(p: Prepared, factory=None) -> ArticleModel:
 
 
 def feature_array(features: FeatureSet) -> DataFrame:
-    """(id, vector) of the training rows of a dense feature set."""
-    return features.train.select("id", vector_to_array("features").alias("vector"))
+    """(id, category, vector) of the training rows of a dense feature set."""
+    return features.train.select("id", "category", vector_to_array("features").alias("vector"))

