@@ -20,7 +20,8 @@ SCALE = 1_000_000
 UNDETERMINED = "und"
 # Nodes first expanded per language, as a multiple of the limit, and the growth of each later step.
 FIRST, MORE = 2, 8
-BATCH_BYTES = 6 << 20
+BATCH_BYTES = 2 << 20
+ROWS_AT_ONCE = 1 << 14
 # A filter of hashed phrases has at most this many bits (16 MB), whatever the corpus.
 FILTER_BITS = 1 << 27
 SALTS = 64
@@ -54,38 +55,49 @@ def marked(bits: np.ndarray, hashes: np.ndarray) -> np.ndarray:
     return (bits[(cell >> np.uint64(6)).astype(np.int64)] >> (cell & np.uint64(63))) & np.uint64(1) == 1
 
 
-def phrase_filter(found: DataFrame, words: list[str]) -> np.ndarray:
-    """Bits of the hashed phrases (lang, *words) of a stored table, of bounded size.
+def hash_filter(hashes: DataFrame) -> np.ndarray:
+    """Bits of a stored column ``h`` of hashes, of bounded size.
 
-    A phrase of the table always passes; others pass by chance, so counts behind the filter are
-    whole and at most some rows too many. About 16 bits per phrase, up to ``FILTER_BITS``.
+    A hash of the table always passes; others pass by chance, so counts behind the filter are whole
+    and at most some rows too many. About 16 bits per hash, up to ``FILTER_BITS``.
     """
-    rows = found.count()
-    size = 1 << 12
+    rows, size = hashes.count(), 1 << 12
     while size < min(16 * rows, FILTER_BITS):
         size *= 2
+    cell = f"(h & {size - 1}L)"
+    bits = hashes.selectExpr(f"shiftright({cell}, 6) AS cell", f"shiftleft(1L, cast({cell} & 63 AS int)) AS bit")
+    held = bits.groupBy("cell").agg(F.bit_or("bit").alias("bits")).toArrow()
+    out = np.zeros(size // 64, np.uint64)
+    out[held["cell"].to_numpy()] = held["bits"].to_numpy().view(np.uint64)
+    return out
+
+
+def phrase_filter(found: DataFrame, words: list[str]) -> np.ndarray:
+    """``hash_filter`` of the phrases (lang, *words) of a stored table."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        digest = xxhash.xxh64_intdigest
         for batch in batches:
             langs, *columns = (c.to_pylist() for c in batch.columns)
-            hashes = None
-            for column in columns:
-                values = [xxhash.xxh64_intdigest(w.encode(), xxhash.xxh64_intdigest(g.encode())) for g, w in zip(langs, column)]
-                one = np.array(values, np.uint64)
-                hashes = one if hashes is None else mixed(hashes, one)
-            cell = hashes & np.uint64(size - 1)
-            at, inverse = np.unique(cell >> np.uint64(6), return_inverse=True)
-            bits = np.zeros(len(at), np.uint64)
-            np.bitwise_or.at(bits, inverse, np.uint64(1) << (cell & np.uint64(63)))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(at.astype(np.int32)), pa.array(bits.view(np.int64))], names=["cell", "bits"]
-            )
-
-    cells = found.select("lang", *words).mapInArrow(run, "cell int, bits long")
-    held = cells.groupBy("cell").agg(F.bit_or("bits").alias("bits")).toArrow()
-    out = np.zeros(size // 64, np.uint64)
-    out[held["cell"].to_numpy()] = held["bits"].to_numpy().view(np.uint64)
-    return out
+            seeds = [digest(g.encode()) for g in langs]
+            hashes = [np.array([digest(w.encode(), s) for s, w in zip(seeds, c)], np.uint64) for c in columns]
+            yield pa.RecordBatch.from_arrays([pa.array(reduce(mixed, hashes).view(np.int64))], names=["h"])
+
+    return hash_filter(materialize(found.select("lang", *words).mapInArrow(run, "h long"), "hashes"))
+
+
+def encoded(langs: list[str], texts: list[str]) -> Iterator[tuple]:
+    """(lang, index of each word, words of each piece, distinct words) of every language of a batch."""
+    by_lang: dict[str, list[str]] = {}
+    for lang, text in zip(langs, texts):
+        if text:
+            by_lang.setdefault(lang, []).append(text)
+    for lang, own in by_lang.items():
+        found, lengths = words_of(own)
+        if found:
+            coded = pa.array(found, pa.large_binary()).dictionary_encode()
+            del found
+            yield lang, coded.indices.to_numpy().astype(np.int64), lengths, coded.dictionary
 
 
 def counted(docs: DataFrame, width: int, keys_of: Callable) -> DataFrame:
@@ -100,20 +112,13 @@ def counted(docs: DataFrame, width: int, keys_of: Callable) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for langs, texts in by_bytes(batches, BATCH_BYTES):
-            by_lang: dict[str, list[str]] = {}
-            for lang, text in zip(langs, texts):
-                if text:
-                    by_lang.setdefault(lang, []).append(text)
-            for lang, own in by_lang.items():
-                found, lengths = words_of(own)
-                if not found:
-                    continue
-                coded = pa.array(found, pa.large_binary()).dictionary_encode()
-                spelled = coded.dictionary.cast(pa.large_string())
-                *at, n = keys_of(lang, coded.indices.to_numpy().astype(np.int64), lengths, coded.dictionary.to_pylist())
-                if len(n):
-                    columns = [spelled.take(pa.array(i)).cast(pa.string()) for i in at]
-                    yield to_batch([pa.array([lang] * len(n)), *columns, pa.array(n)], names, types)
+            for lang, index, lengths, dictionary in encoded(langs, texts):
+                spelled = dictionary.cast(pa.large_string())
+                *at, n = keys_of(lang, index, lengths, dictionary.to_pylist())
+                for lo in range(0, len(n), ROWS_AT_ONCE):
+                    part = slice(lo, lo + ROWS_AT_ONCE)
+                    columns = [spelled.take(pa.array(i[part])).cast(pa.string()) for i in at]
+                    yield to_batch([pa.array([lang] * len(n[part])), *columns, pa.array(n[part])], names, types)
 
     rows = docs.mapInArrow(run, schema)
     return rows.groupBy("lang", *words).agg(F.sum("n").alias("n"))
@@ -137,15 +142,43 @@ def inside(lengths: np.ndarray, width: int) -> np.ndarray:
     return np.flatnonzero(np.arange(len(ends)) + width <= ends)
 
 
+def frequent_pair_filter(docs: DataFrame, known, min_count: int) -> np.ndarray:
+    """Filter of the pairs of ``known`` words whose hash occurs ``min_count`` times.
+
+    Equal hashes only add up, so no pair of that many occurrences is lost; rare pairs, most of all
+    distinct ones, are shuffled as one hash each and never as words.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for langs, texts in by_bytes(batches, BATCH_BYTES):
+            for lang, index, lengths, dictionary in encoded(langs, texts):
+                hashes = word_hashes(dictionary.to_pylist(), lang)
+                often = marked(known.value, hashes)
+                at = inside(lengths, 2)
+                at = at[often[index[at]] & often[index[at + 1]]]
+                h, n = np.unique(mixed(hashes[index[at]], hashes[index[at + 1]]), return_counts=True)
+                for lo in range(0, len(h), ROWS_AT_ONCE):
+                    part = slice(lo, lo + ROWS_AT_ONCE)
+                    yield pa.RecordBatch.from_arrays([pa.array(h[part].view(np.int64)), pa.array(n[part])], names=["h", "n"])
+
+    found = docs.mapInArrow(run, "h long, n long").groupBy("h").agg(F.sum("n").alias("n"))
+    return hash_filter(materialize(found.filter(F.col("n") >= min_count).select("h"), "pair-hashes"))
+
+
 def count_pairs(docs: DataFrame, words: DataFrame, min_count: int) -> DataFrame:
     """(lang, x, y, n) of pairs with ``min_count`` occurrences: grown from frequent words only."""
-    known = docs.sparkSession.sparkContext.broadcast(phrase_filter(words, ["x"]))
+    broadcast = docs.sparkSession.sparkContext.broadcast
+    known = broadcast(phrase_filter(words, ["x"]))
+    likely = broadcast(frequent_pair_filter(docs, known, min_count))
 
     def keys_of(lang, index, lengths, dictionary):
-        often = marked(known.value, word_hashes(dictionary, lang))
+        hashes = word_hashes(dictionary, lang)
+        often = marked(known.value, hashes)
         at = inside(lengths, 2)
         a, b = index[at], index[at + 1]
         both = often[a] & often[b]
+        a, b = a[both], b[both]
+        both = marked(likely.value, mixed(hashes[a], hashes[b]))
         pair, n = np.unique(a[both] * len(dictionary) + b[both], return_counts=True)
         return pair // len(dictionary), pair % len(dictionary), n
 
