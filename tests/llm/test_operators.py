@@ -4,6 +4,7 @@ import itertools
 import math
 import os
 import random
+import re
 import sys
 
 import numpy as np
@@ -111,6 +112,11 @@ def test_warc(spark, tmp_path):
         assert fields["WARC-Payload-Digest"] == "sha256:" + brute.sha(bytes(r.payload))
         body = block.split(b"\r\n\r\n", 1)[1][:-4]
         assert body == (b"" if r.record_type == "revisit" else bytes(r.payload))
+    ids = [(r.page_id, r.url, r.refers_to, r.record) for r in warc.read_archive(spark, path).collect()]
+    assert {u for _, u, _, _ in ids} == {"http://a", "http://b", "u%0D%0AX: y", None, "c", "d", "e"}
+    names = [re.search(rb"WARC-Record-ID: (<.*?>)", r)[1] for _, _, _, r in ids]
+    assert len(set(names)) == len(ids) - 1  # but for one row that is given twice
+    assert {re.search(rb"WARC-Refers-To: (<.*?>)", r)[1] for _, _, to, r in ids if to is not None} <= set(names)
     damaged = spark.read.parquet(f"{path}/payloads").withColumn("payload", F.lit(b"zzz"))
     damaged.write.parquet(str(tmp_path / "bad/payloads"))
     with pytest.raises(Exception, match="damaged payload"):
