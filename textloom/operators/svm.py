@@ -80,7 +80,7 @@ def summed(rows: DataFrame, size: int, part: Callable[[Block, np.ndarray], np.nd
     if tasks > DIRECT_TASKS:
         parts = parts.repartition(math.isqrt(tasks)).mapInArrow(add, "part binary")
     out = np.zeros(shape)
-    for row in parts.toLocalIterator():
+    for row in parts.collect():  # at most ``DIRECT_TASKS`` rows, or the root of the tasks
         out += np.frombuffer(row["part"]).reshape(shape)
     return out
 
