@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from textloom.llm.common import arrow_fields, balanced, by_bytes, to_batch
 
 TOKENIZER = "byte_bpe_50k.json"
-BATCH_BYTES = 3 << 20
+BATCH_BYTES = 1 << 20
 # Distinct pieces of text whose ids are remembered in a task before the memory starts anew.
 REMEMBERED = 200_000
 # White space of the pre-tokenizer, written out because Python's \s also takes control characters.

@@ -16,6 +16,7 @@ BROADCAST_BYTES = 32 << 20
 # A null id joins as this value; the text hash beside it keeps such rows apart.
 NULL_ID = -(1 << 63)
 KEY = ["_llm_id", "_llm_th"]
+ROWS_AT_ONCE = 256
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -81,9 +82,11 @@ def by_bytes(batches: Iterator[pa.RecordBatch], limit: int) -> Iterator[list[lis
     """
     rows: list[tuple] = []
     size = 0
-    for batch in batches:
-        lengths = pc.fill_null(pc.binary_length(batch.column(batch.num_columns - 1)), 0).to_pylist()
-        for row, length in zip(zip(*(c.to_pylist() for c in batch.columns)), lengths):
+    # Python objects of few rows at once: a whole Arrow batch may hold thousands of long texts.
+    parts = (b.slice(at, ROWS_AT_ONCE) for b in batches for at in range(0, len(b), ROWS_AT_ONCE))
+    for part in parts:
+        lengths = pc.fill_null(pc.binary_length(part.column(part.num_columns - 1)), 0).to_pylist()
+        for row, length in zip(zip(*(c.to_pylist() for c in part.columns)), lengths):
             if rows and size + length > limit:
                 yield [list(c) for c in zip(*rows)]
                 rows, size = [], 0
