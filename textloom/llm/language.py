@@ -16,9 +16,8 @@ VOCABULARY = "piece_bpe_32k.model"
 # The model is fitted on at most about this many documents of each language.
 SAMPLE_DOCS = 2000
 ROUNDS = 3
-# A longer run of letters is scored in parts of this length, so that no probability underflows.
-PART = 32
-LONGEST = 12
+# Forward sums are rescaled after this many letters, so that no probability underflows.
+RESCALED = 8
 SMOOTHING = 0.1
 REMEMBERED = 200_000
 UNDECIDED = "und"
@@ -39,7 +38,7 @@ def load_pieces(path: str) -> list[str]:
 
     model = sentencepiece.SentencePieceProcessor(model_file=path)
     names = map(model.id_to_piece, range(model.get_piece_size()))
-    kept = {p for p in names if p.lstrip(MARK).isalpha() and p.lower() == p and len(p) <= LONGEST}
+    kept = {p for p in names if p.lstrip(MARK).isalpha() and p.lower() == p}
     return sorted(p for p in kept if not p.startswith(MARK * 2))
 
 
@@ -47,19 +46,18 @@ def words_of(text: str | None) -> list[str]:
     return LETTERS.findall(text.lower()) if text else []
 
 
-def parts_of(word: str) -> list[str]:
-    """The letters of a word after its start mark, long words in parts."""
+def marked(word: str) -> str:
+    """The letters of a word after its start mark; empty without a letter."""
     letters = word if word.isalpha() else "".join(filter(str.isalpha, word))
-    marked = MARK + letters if letters else ""
-    return [marked[i : i + PART] for i in range(0, len(marked), PART)]
+    return MARK + letters if letters else ""
 
 
 def has_letter(text_col: str) -> F.Column:
-    """Whether ``parts_of`` finds anything in the words of a text; false for null."""
+    """Whether any word of a text is spelled with letters; false for null."""
 
     @F.pandas_udf("boolean")
     def spelled(texts: pd.Series) -> pd.Series:
-        return texts.map(lambda t: any(map(parts_of, words_of(t)))).astype(bool)
+        return texts.map(lambda t: any(map(marked, words_of(t)))).astype(bool)
 
     return spelled(F.col(text_col))
 
@@ -81,52 +79,82 @@ class Lattice:
             hashes[i] = value[0]
         self.order = np.argsort(hashes)
         self.hashes = hashes[self.order]
+        self.longest = max(map(len, pieces), default=1)
         self.unknown = len(pieces)  # the id of any single character that is no piece
 
-    def arcs(self, words: list[str]) -> list[tuple[int, int, np.ndarray, np.ndarray]]:
-        """(start, end, rows, piece ids) of every piece in ``words``, all of the same length."""
+    def spans(self, words: list[str]) -> list[np.ndarray]:
+        """Piece ids by length, start and word, -1 for none, of ``words`` of the same length."""
         n = len(words[0])
         codes = np.frombuffer("".join(words).encode("utf-32-le"), np.uint32).reshape(-1, n)
-        codes = codes.astype(np.uint64)
-        found = []
-        for start in range(n):
-            value = np.zeros(len(words), np.uint64)
-            for end in range(start + 1, min(n, start + LONGEST) + 1):
-                value = roll(value, codes[:, end - 1])
-                slot = np.minimum(np.searchsorted(self.hashes, value), len(self.hashes) - 1)
-                hit = self.hashes[slot] == value
-                ids = self.order[slot]
-                if end == start + 1:
-                    found.append((start, end, np.arange(len(words)), np.where(hit, ids, self.unknown)))
-                elif hit.any():
-                    rows = np.flatnonzero(hit)
-                    found.append((start, end, rows, ids[rows]))
+        codes = codes.T.astype(np.uint64)
+        found, value = [], np.zeros(codes.shape, np.uint64)
+        for size in range(1, min(n, self.longest) + 1):
+            value = roll(value[: n - size + 1], codes[size - 1 :])
+            slot = np.minimum(np.searchsorted(self.hashes, value), len(self.hashes) - 1)
+            none = self.unknown if size == 1 else -1
+            found.append(np.where(self.hashes[slot] == value, self.order[slot], none).astype(np.int32))
         return found
 
 
+def arcs(spans: list[np.ndarray]) -> list[list[tuple[int, np.ndarray, np.ndarray]]]:
+    """By end: (start, words, piece ids) of the pieces that end there."""
+    by_end: list[list] = [[] for _ in range(len(spans[0]) + 1)]
+    for size, ids in enumerate(spans, 1):
+        for start in np.flatnonzero((ids >= 0).any(axis=1)).tolist():
+            at = np.flatnonzero(ids[start] >= 0)
+            by_end[start + size].append((start, at, ids[start, at]))
+    return by_end
+
+
 def by_length(words: list[str]) -> Iterator[tuple[np.ndarray, list[str]]]:
+    """Words of one length together, at most 8,192 of them and about 260,000 letters."""
     lengths = np.fromiter(map(len, words), np.int64, len(words))
     for n in np.unique(lengths):
         at = np.flatnonzero(lengths == n)
-        for part in np.split(at, range(8192, len(at), 8192)):
+        step = max(1, min(8192, (1 << 18) // int(n)))
+        for part in np.split(at, range(step, len(at), step)):
             yield part, [words[i] for i in part]
 
 
-def forward(arcs: list[tuple], n: int, rows: int, chance: np.ndarray) -> np.ndarray:
-    """Probability of each prefix by language: the sum over all ways to cut it into pieces."""
-    total = np.zeros((n + 1, rows, chance.shape[1]))
+def forward(ends: list[list], longest: int, rows: int, chance: np.ndarray, keep: bool) -> tuple:
+    """Probability of each prefix by language: the sum over all ways to cut it into pieces.
+
+    Returns (total, scale, last): a prefix has the probability ``total * exp(scale)``. With
+    ``keep`` every prefix has its place, otherwise only as many as a piece can reach back over,
+    used in turn. ``last`` is the logarithm for whole words.
+    """
+    n = len(ends) - 1
+    size = n + 1 if keep else min(n, longest) + 1
+    total = np.zeros((size, rows, chance.shape[1]))
+    scale = np.zeros_like(total) if keep else None
+    logs = np.zeros(total.shape[1:])
     total[0] = 1
-    for start, end, at, ids in arcs:  # by start, so a start is complete when it is used
-        total[end, at] += total[start, at] * chance[ids]
-    return total
+    for end in range(1, n + 1):
+        here = total[end % size]
+        here[:] = 0
+        for start, at, ids in ends[end]:
+            if len(at) == rows:
+                here += total[start % size] * chance[ids]
+            else:
+                here[at] += total[start % size, at] * chance[ids]
+        if keep:
+            scale[end] = logs
+        if end % RESCALED == 0:
+            recent = np.arange(max(0, end - longest + 1), end + 1) % size
+            factor = here.copy()
+            total[recent] /= factor
+            logs += np.log(factor)
+            if keep:
+                scale[recent] += np.log(factor)
+    return total, scale, np.log(total[n % size]) + logs
 
 
 def word_scores(words: list[str], lattice: Lattice, chance: np.ndarray) -> np.ndarray:
-    """Log-probability of each word (part) by language."""
+    """Log-probability of each word by language."""
     scores = np.zeros((len(words), chance.shape[1]))
     for at, some in by_length(words):
-        n = len(some[0])
-        scores[at] = np.log(forward(lattice.arcs(some), n, len(some), chance)[n])
+        ends = arcs(lattice.spans(some))
+        scores[at] = forward(ends, lattice.longest, len(some), chance, keep=False)[2]
     return scores
 
 
@@ -135,14 +163,17 @@ def expected_pieces(words: list[str], counts: np.ndarray, lattice: Lattice, chan
     uses = np.zeros_like(chance)
     for at, some in by_length(words):
         n, rows = len(some[0]), len(some)
-        arcs = lattice.arcs(some)
-        before = forward(arcs, n, rows, chance)
+        ends = arcs(lattice.spans(some))
+        before, scale, _ = forward(ends, lattice.longest, rows, chance, keep=True)
         behind = np.zeros_like(before)
         behind[n] = counts[at] / before[n]
-        for start, end, here, ids in reversed(arcs):
-            behind[start, here] += behind[end, here] * chance[ids]
-        for start, end, here, ids in arcs:
-            np.add.at(uses, ids, before[start, here] * chance[ids] * behind[end, here])
+        for end in range(n, 0, -1):  # all pieces that start here are done before those that end here
+            for start, here, ids in ends[end]:
+                weight = chance[ids] * behind[end, here]
+                if n >= RESCALED:
+                    weight *= np.exp(scale[start, here] - scale[end, here])
+                behind[start, here] += weight
+                np.add.at(uses, ids, before[start, here] * weight)
     return uses
 
 
@@ -175,7 +206,7 @@ def fit(labelled: DataFrame, path: str | None = None, sample_docs: int = SAMPLE_
                     seen[key] = seen.get(key, 0) + 1
             split: dict[tuple[int, str], int] = {}
             for (lang, word), n in seen.items():
-                for part in parts_of(word):
+                if part := marked(word):
                     split[lang, part] = split.get((lang, part), 0) + n
             keys = list(split)
             yield to_batch([[k[0] for k in keys], [k[1] for k in keys], list(split.values())], names, types)
@@ -247,15 +278,14 @@ class Scorer:
         self.spelled = np.empty(0, bool)
 
     def learn(self, words: list[str]) -> None:
-        parts = [parts_of(w) for w in words]
-        flat = [p for part in parts for p in part]
-        sizes = np.fromiter(map(len, parts), np.int64, len(parts))
+        spelled = [marked(w) for w in words]
+        known = np.fromiter(map(bool, spelled), bool, len(words))
         sums = np.zeros((len(words), len(self.langs)))
-        np.add.at(sums, np.repeat(np.arange(len(words)), sizes), word_scores(flat, self.lattice, self.chance))
+        sums[known] = word_scores([w for w in spelled if w], self.lattice, self.chance)
         first = len(self.table)
         self.place.update(zip(words, range(first, first + len(words))))
         self.table = np.concatenate([self.table, sums])
-        self.spelled = np.concatenate([self.spelled, sizes > 0])
+        self.spelled = np.concatenate([self.spelled, known])
 
     def predict(self, texts: pa.Array) -> tuple[list[str], list[float]]:
         names, scores = [], []
