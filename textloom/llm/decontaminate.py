@@ -9,10 +9,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from textloom.llm.common import balanced
+from textloom.llm.common import balanced, materialize
 
 NGRAM = 10
-# Test items are taken in blocks of about this much text; one block is broadcast at a time.
+# Test items are taken in blocks of about this much text; its windows take some eight times as much.
 BLOCK_BYTES = 16 << 20
 # After ASCII lower-casing these bytes are the characters of words, in UTF-8 too.
 WORD = re.compile(rb"[0-9a-z\x80-\xff]+")
@@ -24,55 +24,69 @@ def words_of(text: str | None) -> list[bytes]:
 
 
 class NgramSet:
-    """The windows of a block of test items with the items that hold them."""
+    """The distinct windows of a block of test items as arrays, with the items that hold them."""
 
     def __init__(self, items: list[tuple[str, str | None]], n: int):
-        self.windows: dict[tuple, set[str]] = defaultdict(set)
+        self.names = sorted({item for item, _ in items})
+        number = {name: i for i, name in enumerate(self.names)}
+        self.ids: dict[bytes, int] = {}
+        rows, owners = defaultdict(list), defaultdict(list)
         for item, text in items:
             words = words_of(text)
+            if not words:
+                continue
             size = min(n, len(words))
-            for i in range(len(words) - size + 1 if words else 0):
-                self.windows[tuple(words[i : i + size])].add(item)
-        self.ids = {w: i for i, w in enumerate(sorted({w for key in self.windows for w in key}))}
-        by_size = defaultdict(list)
-        for key in self.windows:
-            by_size[len(key)].append([self.ids[w] for w in key])
-        self.hashes = {s: np.unique(self.rolled(np.array(rows).T, s)) for s, rows in by_size.items()}
+            flat = np.array([self.ids.setdefault(w, len(self.ids)) for w in words], np.int32)
+            rows[size].append(np.lib.stride_tricks.sliding_window_view(flat, size))
+            owners[size].append(np.full(len(flat) - size + 1, number[item], np.int32))
+        self.sets = [self.indexed(np.concatenate(rows[s]), np.concatenate(owners[s])) for s in sorted(rows)]
+
+    @classmethod
+    def indexed(cls, rows: np.ndarray, owner: np.ndarray) -> tuple:
+        """(hashes, windows, first, owners): windows by hash, ``owners[first[i]:first[i + 1]]`` hold window i."""
+        windows, which = np.unique(rows, axis=0, return_inverse=True)
+        hashes = cls.rolled(windows.T)
+        order = np.argsort(hashes, kind="stable")
+        place = np.empty_like(order)
+        place[order] = np.arange(len(order))
+        pairs = np.unique(np.stack([place[which.reshape(-1)], owner]), axis=1)
+        first = np.searchsorted(pairs[0], np.arange(len(order) + 1))
+        return hashes[order], windows[order], first, pairs[1]
 
     @staticmethod
-    def rolled(ids: np.ndarray, size: int) -> np.ndarray:
-        """Hash of each column of ``size`` rows of word ids."""
+    def rolled(ids: np.ndarray) -> np.ndarray:
+        """Hash of each column of word ids."""
         value = np.zeros(ids.shape[1], np.uint64)
-        for row in ids[:size]:
+        for row in ids:
             value = (value ^ row.astype(np.uint64)) * FOLD
             value ^= value >> np.uint64(29)
         return value
 
-    def hits(self, words: list[bytes]) -> list[tuple[int, int, set[str]]]:
-        """(first word, size, items) of every window of ``words`` in the set, verified by words."""
+    def hits(self, words: list[bytes]) -> list[tuple[int, int, list[str]]]:
+        """(first word, size, items) of every window of ``words`` in the set, verified by word ids."""
         get = self.ids.get
-        ids = np.array([get(w, -1) for w in words], np.int64)
+        ids = np.array([get(w, -1) for w in words], np.int32)
+        known = np.concatenate([[0], np.cumsum(ids >= 0)])
         found = []
-        for size, hashes in self.hashes.items():
-            n = len(ids) - size + 1
-            if n < 1:
+        for hashes, windows, first, owners in self.sets:
+            size = windows.shape[1]
+            if len(ids) < size:
                 continue
-            known = np.concatenate([[0], np.cumsum(ids >= 0)])
             at = np.flatnonzero(known[size:] - known[:-size] == size)
-            if not len(at):
-                continue
-            value = self.rolled(np.stack([ids[at + i] for i in range(size)]), size)
-            slot = np.minimum(np.searchsorted(hashes, value), len(hashes) - 1)
-            for i in at[hashes[slot] == value].tolist():
-                items = self.windows.get(tuple(words[i : i + size]))
-                if items:
-                    found.append((i, size, items))
+            value = self.rolled(np.stack([ids[at + i] for i in range(size)]))
+            low, high = (np.searchsorted(hashes, value, side) for side in ("left", "right"))
+            for i, lo, hi in zip(*(a[high > low].tolist() for a in (at, low, high))):
+                for slot in range(lo, hi):
+                    if np.array_equal(windows[slot], ids[i : i + size]):
+                        held = owners[first[slot] : first[slot + 1]].tolist()
+                        found.append((i, size, [self.names[o] for o in held]))
         return found
 
 
 def blocks_of(benchmark: DataFrame, limit: int) -> list[DataFrame]:
-    """The test items in parts of about ``limit`` bytes each, by a hash of the whole item."""
-    items = benchmark.select(F.col("item_id").cast("string").alias("item"), "text")
+    """The distinct test items in parts of about ``limit`` bytes each, by a hash of the whole item."""
+    items = benchmark.select(F.coalesce(F.col("item_id").cast("string"), F.lit("")).alias("item"), "text")
+    items = materialize(items.filter("text IS NOT NULL").distinct(), "items")
     total = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     parts = -(-int(total) // limit)
     if parts <= 1:
@@ -118,16 +132,22 @@ def find_contamination(
 
     Windows of ``n`` words of the test items, or a whole shorter item, are looked up in every
     document. Words are runs of ASCII letters and digits and all non-ASCII characters, ASCII
-    lower-cased. The test set is measured first and broadcast in blocks of ``block_bytes``, each
-    scanned in the same pass over the documents. Null and empty texts have no words and no hits;
+    lower-cased. The distinct items are measured first and broadcast in blocks of ``block_bytes``.
+    With several blocks the findings are stored after each, so that one block is live at a time. A
+    single item larger than a block is a block of its own. Null and empty texts have no words and no hits;
     null or wordless items match nothing; repeated items and item ids count once. A null item_id
-    is the empty string. Documents are not moved, so a hot source or key does not matter.
+    is the empty string. Columns of ``docs`` with the names of the new ones are replaced; without
+    documents there are no rows. Documents are not moved, so a hot source or key does not matter.
     """
     context = docs.sparkSession.sparkContext
     found = docs.drop("n_words", "hit_spans", "hit_items")
-    for i, block in enumerate(blocks_of(benchmark, block_bytes)):
-        items = [(r["item"] or "", r["text"]) for r in block.collect()]
-        found = _scan(found, context.broadcast(NgramSet(items, n)), i == 0)
+    blocks = blocks_of(benchmark, block_bytes)
+    for i, block in enumerate(blocks):
+        ngrams = context.broadcast(NgramSet([tuple(r) for r in block.collect()], n))
+        found = _scan(found, ngrams, i == 0)
+        if i + 1 < len(blocks):
+            found = materialize(found, "scanned")
+            ngrams.unpersist()
     return found
 
 
