@@ -143,6 +143,21 @@ def test_sharding_keeps_copies_together(spark):
     got["text"] = texts
     spread = got.groupby("text").shard.nunique()
     assert spread["hot"] <= 4 and (spread[[f"group {i}" for i in range(30)]] == 1).mean() > 0.9
+    sizes = got.text.value_counts()
+    links = sum(n * (n - 1) // 2 for n in sizes)
+    inside = sum(n * (n - 1) // 2 for n in got.groupby(["text", "shard"]).size())
+    report = sharding.cut_groups(sharding.balanced_shards(frame, 8)).first()
+    assert report.n_groups == (sizes > 1).sum() and report.n_needed == (sizes > 50).sum()
+    assert (report.n_cut, report.cut_links) == ((spread > 1).sum(), links - inside)
+
+
+def test_sharding_of_rows_without_ids(spark):
+    texts = ["hot"] * 150 + [f"group {i % 20}" for i in range(100)] + [None] * 40
+    frame = spark.createDataFrame([(None, t) for t in texts], "doc_id long, text string")
+    got = sharding.balanced_shards(frame, 8).toPandas()
+    assert len(got) == len(texts) and got.groupby("shard").size().between(36, 37).all()
+    assert all(sorted(g.slot) == list(range(len(g))) for _, g in got.groupby("shard"))
+    assert sharding.cut_groups(sharding.balanced_shards(frame.limit(0), 8)).first().n_groups == 0
 
 
 def test_substring(docs, rows, given, empty):
