@@ -7,15 +7,16 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from textloom.llm.common import local_roots, materialize, sized_join
 from textloom.llm.components import components
 
 MIN_COSINE = 0.93
 # Sign bits per bucket and number of bucketings: a pair at the threshold differs in 12 % of its
-# sign bits, so it shares at least one of the buckets with a probability above 0.99.
+# sign bits, so it shares none of the buckets with a probability of about 3e-5.
 BITS = 10
-TABLES = 16
+TABLES = 32
 # Standard deviations of the estimate within which a pair is recomputed exactly.
 BOUND = 4.0
 BLOCK = 2048
@@ -42,76 +43,93 @@ def units(vectors: np.ndarray) -> np.ndarray:
     return scaled / np.sqrt((scaled * scaled).sum(axis=1, keepdims=True))
 
 
-def estimates(unit: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(rotated vectors, sign codes, correction factor) for unbiased inner-product estimates.
-
-    The estimate of <q, o> is <q, code of o> / <o, code of o>; its error has the standard
-    deviation sqrt((1 - f^2) / f^2 / (dim - 1)) with f the stored factor of o.
-    """
+def stored_codes(unit: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(packed sign codes, correction factors) of unit vectors after a random rotation."""
     turned = unit @ rotation(unit.shape[1], 0)
-    signs = np.where(turned > 0, 1.0, -1.0) / np.sqrt(unit.shape[1])
-    return turned.astype(np.float32), signs.astype(np.float32), (turned * signs).sum(axis=1)
+    return np.packbits(turned > 0, axis=1), np.abs(turned).sum(axis=1) / np.sqrt(unit.shape[1])
 
 
-def block_links(rows: np.ndarray, cols: np.ndarray, min_cosine: float) -> Iterator[tuple]:
-    """Index pairs (i in rows, j in cols) with an exact cosine of at least ``min_cosine``.
+def block_links(
+    unit: np.ndarray, code: np.ndarray, factor: np.ndarray, rows: np.ndarray, cols: np.ndarray, min_cosine: float
+) -> Iterator[tuple]:
+    """Index pairs (i of rows, j of cols) with an exact cosine of at least ``min_cosine``.
 
-    The code estimate with its confidence bound decides which pairs are recomputed in double
-    precision; a pair whose upper bound is below the threshold is dropped.
+    The estimate of <q, o> is <q, code of o> / factor of o; its error has the standard deviation
+    sqrt((1 - f^2) / f^2 / (dim - 1)) with f the factor. A pair whose upper confidence bound is
+    below the threshold is dropped, the others are recomputed in double precision.
     """
-    dim = rows.shape[1]
-    turned, _, _ = estimates(rows)
-    _, signs, factor = estimates(cols)
+    dim = unit.shape[1]
+    turned = (unit[rows] @ rotation(dim, 0)).astype(np.float32)
+    signs = np.unpackbits(code[cols], axis=1, count=dim).astype(np.float32) * 2 - 1
+    signs /= np.float32(np.sqrt(dim))
+    factor = factor[cols]
     error = np.sqrt(np.maximum(0, 1 - factor**2) / factor**2 / max(1, dim - 1))
     floor = ((min_cosine - BOUND * error) * factor).astype(np.float32) - np.float32(1e-4)
     for at in range(0, len(rows), 1024):
         i, j = np.nonzero(turned[at : at + 1024] @ signs.T >= floor)
         for part in range(0, len(i), 1 << 16):
-            a, b = i[part : part + (1 << 16)] + at, j[part : part + (1 << 16)]
-            near = (rows[a] * cols[b]).sum(axis=1) >= min_cosine
+            a, b = rows[i[part : part + (1 << 16)] + at], cols[j[part : part + (1 << 16)]]
+            near = (unit[a] * unit[b]).sum(axis=1) >= min_cosine
             yield a[near], b[near]
 
 
+def by_dim(batch: pa.RecordBatch, column: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """(positions, unit vectors) of the rows of each vector length in a batch."""
+    sizes = batch.column(column).value_lengths().to_numpy()
+    for dim in np.unique(sizes):
+        at = np.flatnonzero(sizes == dim)
+        flat = batch.column(column).take(pa.array(at)).flatten().to_numpy(zero_copy_only=False)
+        yield at, units(flat.astype(float).reshape(len(at), dim))
+
+
 def classes(vectors: DataFrame) -> DataFrame:
-    """Comparable vectors with exact copies taken together: (cid, label, embedding, first, copies)."""
+    """Comparable vectors with exact copies taken together and their codes, stored once.
+
+    (cid, label, embedding, first, copies, code, factor): a code has a bit and a factor per
+    vector, which every block of the search reads again.
+    """
     clean = ~F.exists("embedding", lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf")))
     clean = clean & F.exists("embedding", lambda x: x != 0)
     usable = vectors.filter(F.col("label").isNotNull() & F.col("embedding").isNotNull() & clean)
     grouped = usable.groupBy("label", "embedding").agg(
         F.min("vec_id").alias("first"), F.count("*").alias("copies")
     )
-    return materialize(grouped.withColumn("cid", F.monotonically_increasing_id()), "classes")
+    grouped = grouped.select("label", "embedding", "first", "copies")
+    schema = T.StructType([*grouped.schema.fields]).add("code", "binary").add("factor", "double")
+
+    def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at, unit in by_dim(batch, 1):
+                code, factor = stored_codes(unit)
+                part = batch.take(pa.array(at))
+                yield pa.RecordBatch.from_arrays(
+                    [*part.columns, pa.array([c.tobytes() for c in code], pa.binary()), pa.array(factor)],
+                    names=schema.names,
+                )
+
+    coded = grouped.mapInArrow(encode, schema)
+    return materialize(coded.withColumn("cid", F.monotonically_increasing_id()), "classes")
 
 
 def bucketed(found: DataFrame) -> DataFrame:
-    """One row per vector and bucketing: (label, dim, band, bucket, cid, copies, vector)."""
+    """One row per vector and bucketing: (label, cid, copies, vector, code, factor, dim, band, bucket)."""
+    carried = ["label", "cid", "copies", "embedding", "code", "factor"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sizes = batch.column(2).value_lengths().to_numpy()
-            for dim in np.unique(sizes):
-                at = np.flatnonzero(sizes == dim)
-                part = batch.take(pa.array(at))
-                flat = part.column(2).flatten().to_numpy(zero_copy_only=False).astype(float)
-                codes = bucket_codes(units(flat.reshape(len(at), dim)))
-                again = pa.array(np.repeat(np.arange(len(at)), TABLES))
-                wide = part.take(again)
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        wide.column(0),
-                        pa.array(np.full(len(again), dim, np.int32)),
-                        pa.array(np.tile(np.arange(TABLES, dtype=np.int32), len(at))),
-                        pa.array(codes.reshape(-1).astype(np.int32)),
-                        wide.column(1),
-                        wide.column(3),
-                        wide.column(2),
-                    ],
-                    names=["label", "dim", "band", "bucket", "cid", "copies", "embedding"],
-                )
+            for at, unit in by_dim(batch, 3):
+                again = np.repeat(at, TABLES)
+                band = np.tile(np.arange(TABLES, dtype=np.int32), len(at))
+                bucket = bucket_codes(unit).reshape(-1).astype(np.int32)
+                dim = np.full(len(again), unit.shape[1], np.int32)
+                wide = batch.take(pa.array(again))
+                new = [pa.array(dim), pa.array(band), pa.array(bucket)]
+                yield pa.RecordBatch.from_arrays([*wide.columns, *new], names=[*carried, "dim", "band", "bucket"])
 
-    label, vector = found.schema["label"].dataType, found.schema["embedding"].dataType
-    schema = f"label {label.simpleString()}, dim int, band int, bucket int, cid long, copies long, embedding {vector.simpleString()}"
-    return found.select("label", "cid", "embedding", "copies").mapInArrow(run, schema)
+    schema = T.StructType([found.schema[c] for c in carried])
+    for name in ("dim", "band", "bucket"):
+        schema = schema.add(name, "integer")
+    return found.select(*carried).mapInArrow(run, schema)
 
 
 def link_rows(min_cosine: float):
@@ -140,13 +158,14 @@ def link_rows(min_cosine: float):
         dim = len(whole.column(7)[0])
         flat = whole.column(7).flatten().to_numpy(zero_copy_only=False).astype(float)
         unit = units(flat.reshape(len(whole), dim))
+        code = np.frombuffer(b"".join(whole.column(8).to_pylist()), np.uint8).reshape(len(whole), -1)
+        factor = whole.column(9).to_numpy()
         codes = bucket_codes(unit)
         same = left[0] == right[0]
         rows = np.arange(len(whole)) if same else np.flatnonzero(chunk == left[0])
         cols = rows if same else np.flatnonzero(chunk == right[0])
         links, roots = np.zeros(len(whole), np.int64), np.arange(len(whole))
-        for i, j in block_links(unit[rows], unit[cols], min_cosine):
-            i, j = rows[i], cols[j]
+        for i, j in block_links(unit, code, factor, rows, cols, min_cosine):
             # A pair counts in the first bucketing that it shares, and once.
             new = ~(codes[i, : band[0]] == codes[j, : band[0]]).any(axis=1)
             new &= (i < j) if same else (cid[i] != cid[j])
@@ -183,7 +202,7 @@ def class_links(found: DataFrame, min_cosine: float = MIN_COSINE, block: int = B
     cut = cut.withColumns({"left": F.least("chunk", "other"), "right": F.greatest("chunk", "other")})
     blocks = [*keys, "left", "right"]
     cut = cut.withColumn("block", F.xxhash64(*blocks))
-    columns = ["block", "band", "chunk", "left", "right", "cid", "copies", "embedding"]
+    columns = ["block", "band", "chunk", "left", "right", "cid", "copies", "embedding", "code", "factor"]
     order = ["block", *blocks]
     placed = cut.repartition(*blocks).sortWithinPartitions(*order)
     return placed.select(*columns).mapInArrow(link_rows(min_cosine), "cid long, links long, root long")
@@ -193,8 +212,8 @@ def near_vectors(vectors: DataFrame, min_cosine: float = MIN_COSINE) -> DataFram
     """(vec_id, n_links, component_id, kept) for each row of ``vectors`` (vec_id, embedding, label).
 
     Rows of one label (not null) whose cosine in double precision is at least ``min_cosine`` are
-    linked. Candidates share the sign bits of at least one of several random rotations (recall
-    above 0.99 at the threshold, measured in the tests), exact copies are found by grouping and
+    linked. Candidates share the sign bits of at least one of several random rotations (a pair at
+    the threshold is missed with a probability below 1e-4, measured in the tests), exact copies are found by grouping and
     counted without listing their pairs. Null, empty and zero vectors and those with null or
     non-finite components link with nothing, nor do vectors of different lengths. Repeated rows
     are vectors of their own and link with each other.
