@@ -100,3 +100,59 @@ def test_vectors_of_different_lengths_are_an_error(spark):
     assert V.common_width(df.filter("size(v) = 2"), "v") == 2
     with pytest.raises(ValueError):
         V.common_width(df, "v")
+
+
+def test_long_weights_equal_the_rows(spark, fitted, monkeypatch):
+    bags, vocabulary = fitted
+    for weighting, norm in (("tfidf", True), ("tfidf", False), ("count", True)):
+        rows = V.weights(V.sparse_rows(bags, vocabulary, weighting, norm))
+        expected = {(r["id"], r["term_id"]): r["weight"] for r in rows.collect()}
+        for size in (vocabulary.size, 1 << 40):
+            sized = V.Vocabulary(vocabulary.table, vocabulary.n_docs, vocabulary.n_terms, size)
+            got = V.term_weights(bags, sized, weighting, norm).collect()
+            assert {(r["id"], r["term_id"]): r["weight"] for r in got} == pytest.approx(expected)
+            assert len(got) == len(expected)
+    with pytest.raises(ValueError):
+        V.term_weights(bags, vocabulary, "other")
+
+
+def test_long_weights_of_repeated_and_null_ids_stay_apart(spark, fitted):
+    _, vocabulary = fitted
+    rows = [(1, "cat"), (1, "cat"), (1, "cat dog"), (None, "dog"), (None, "cat cat"), (2, ""), (3, None)]
+    stored = V.bags(V.tokens(spark.createDataFrame(rows, "id long, text string")))
+    got = [(r["id"], r["term"], round(r["weight"], 9)) for r in V.term_weights(stored, vocabulary).collect()]
+    single = [(1, "cat", 1.0), (1, "cat", 1.0), (None, "cat", 1.0), (None, "dog", 1.0)]
+    assert [g for g in sorted(got, key=str) if g[2] == 1.0] == sorted(single, key=str)
+    assert len(got) == 6 and sum(w * w for i, _, w in got if i == 1) == pytest.approx(3.0)
+    assert V.term_weights(stored.limit(0), vocabulary).count() == 0
+
+
+def test_long_weights_move_bags_once_and_collect_nothing(fitted):
+    bags, vocabulary = fitted
+    plan = V.term_weights(bags, vocabulary)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1 and "collect_" not in plan
+
+
+def test_lemma_bags_equal_the_bags_of_lemmatized_tokens(spark):
+    rows = [(1, "cats cat Dogs fur"), (1, "cats"), (1, "cats"), (None, "fur furs"), (2, ""), (2, ""), (3, None)]
+    table = V.tokens(spark.createDataFrame(rows, "id long, text string"))
+    lemmas = spark.createDataFrame([("cats", "Cat"), ("dogs", "dog"), ("furs", "fur")], "surface string, lemma string")
+
+    def listed(found):
+        return sorted(((r["id"], [(e["term"], e["tf"]) for e in r["bag"]]) for r in found.collect()), key=str)
+
+    expected = listed(V.bags(V.lemmatize(table, lemmas)))
+    assert listed(V.lemma_bags(V.bags(table), lemmas)) == expected
+    assert (1, [("cat", 2), ("dog", 1), ("fur", 1)]) in expected and len(expected) == 7
+    texts = spark.createDataFrame(rows, "id long, text string")
+    assert listed(V.stored_bags(texts, lemmas=lemmas)) == expected
+    assert listed(V.lemma_bags(V.bags(table), lemmas.limit(0))) == listed(V.bags(table))
+    assert V.lemma_bags(V.bags(table).limit(0), lemmas).count() == 0
+
+
+def test_lemmas_beyond_the_broadcast_limit_give_the_same_bags(spark, monkeypatch):
+    table = V.bags(V.tokens(spark.createDataFrame([(1, "cats cat"), (2, "")], "id long, text string")))
+    lemmas = spark.createDataFrame([("cats", "cat")], "surface string, lemma string")
+    monkeypatch.setattr(V, "table_bytes", lambda _: 1 << 40)
+    found = {r["id"]: [(e["term"], e["tf"]) for e in r["bag"]] for r in V.lemma_bags(table, lemmas).collect()}
+    assert found == {1: [("cat", 2)], 2: []}

@@ -6,19 +6,20 @@ from dataclasses import dataclass
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.linalg import VectorUDT
 from pyspark.ml.stat import Summarizer
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from textloom.functions.arrays import l2_normalized, term_bag
 from textloom.functions.text import raw_tokens, tokenize
-from textloom.operators.lookup import lookup_join, measured, table_bytes
+from textloom.operators.lookup import BROADCAST_BYTES, lookup_join, measured, table_bytes
 from textloom.operators.ordering import ordered_index
 from textloom.session import materialize
 
 Tokenizer = Callable[[Column], Column]
 # Columns added while rows are regrouped.
 CONTENT, COPIES = "_content", "_copies"
+PLACE = "_place"
 
 
 @dataclass(frozen=True)
@@ -53,28 +54,65 @@ def repeated(grouped: DataFrame) -> DataFrame:
     return grouped.withColumn("_again", times).drop("_again", COPIES)
 
 
+def placed(stored: DataFrame, lookup_size: int) -> DataFrame:
+    """Rows of a stored table with a number each, dealt out evenly by it if a lookup is broadcast.
+
+    The compact rows move once, before they are exploded; sums and windows by number then need
+    no shuffle, and no id or group of copies is hot. Numbers follow from the files, so a task
+    that runs again gives the same ones: the table must be stored, not computed. Beyond the
+    broadcast limit the lookup moves the exploded rows anyway, and placing them would be wasted.
+    """
+    numbered = stored.withColumn(PLACE, F.monotonically_increasing_id())
+    return numbered.repartition(PLACE) if lookup_size <= BROADCAST_BYTES else numbered
+
+
 def lemmatize(token_table: DataFrame, lemmas: DataFrame | None, key: str = "id") -> DataFrame:
     """Replace tokens by lower-cased lemmas from a (surface, lemma) table, order kept.
 
     Tokens without an entry stay as they are; without a table nothing but case changes. Rows
-    that repeat an id stay rows of their own.
+    that repeat an id stay rows of their own. ``token_table`` should be a stored table.
     """
     if lemmas is None:
         return token_table.withColumn("tokens", F.transform("tokens", F.lower))
     others = [c for c in token_table.columns if c not in (key, "tokens")]
-    long = token_table.select(
-        key,
-        *others,
-        content_hash("tokens").alias(CONTENT),
-        F.posexplode_outer("tokens").alias("_pos", "surface"),
+    size = table_bytes(lemmas)
+    long = placed(token_table, size).select(
+        PLACE, key, *others, F.posexplode_outer("tokens").alias("_pos", "surface")
     )
-    joined = lookup_join(long, lemmas.select("surface", "lemma"), "surface", "left")
+    joined = lookup_join(long, lemmas.select("surface", "lemma"), "surface", "left", size=size)
     word = F.lower(F.coalesce("lemma", "surface"))
-    placed = F.when(F.col("surface").isNotNull(), F.struct("_pos", word.alias("word")))
-    grouped = joined.groupBy(key, *others, CONTENT).agg(
-        F.sort_array(F.collect_set(placed))["word"].alias("tokens"), row_copies()
-    )
-    return repeated(grouped).select(key, *others, "tokens")
+    entry = F.when(F.col("surface").isNotNull(), F.struct("_pos", word.alias("word")))
+    grouped = joined.groupBy(PLACE, key, *others).agg(F.sort_array(F.collect_list(entry))["word"].alias("tokens"))
+    return grouped.select(key, *others, "tokens")
+
+
+def lemma_counts(bag_table: DataFrame, lemmas: DataFrame) -> DataFrame:
+    """(keys, number of the row, term, tf): counts of lower-cased lemmas in the long form.
+
+    A lemma is looked up once per distinct term of a row and counts of terms that fall together
+    are added. Rows without terms have one row with a null term, so that none gets lost.
+    ``bag_table`` should be a stored table; ``lemmas`` has one row per surface.
+    """
+    others = [c for c in bag_table.columns if c != "bag"]
+    size = table_bytes(lemmas)
+    long = placed(bag_table, size).select(PLACE, *others, F.explode_outer("bag").alias("_entry"))
+    long = long.select(PLACE, *others, F.col("_entry.term").alias("surface"), "_entry.tf")
+    joined = lookup_join(long, lemmas.select("surface", "lemma"), "surface", "left", size=size)
+    term = F.lower(F.coalesce("lemma", "surface")).alias("term")
+    return joined.groupBy(PLACE, *others, term).agg(F.sum("tf").alias("tf"))
+
+
+def lemma_bags(bag_table: DataFrame, lemmas: DataFrame) -> DataFrame:
+    """Replace the bags of a stored table by bags of lower-cased lemmas, in term order.
+
+    Equal to the bags of the lemmatized tokens, but tokens are neither exploded nor put in order
+    again. Rows that repeat their keys stay rows of their own, empty bags stay empty.
+    """
+    others = [c for c in bag_table.columns if c != "bag"]
+    entry = F.when(F.col("term").isNotNull(), F.struct("term", "tf"))
+    counts = lemma_counts(bag_table, lemmas)
+    grouped = counts.groupBy(PLACE, *others).agg(F.sort_array(F.collect_list(entry)).alias("bag"))
+    return grouped.select(*others, "bag")
 
 
 def bags(token_table: DataFrame) -> DataFrame:
@@ -162,6 +200,30 @@ def weights(rows: DataFrame) -> DataFrame:
     return rows.select(*others, F.inline(pairs).alias("term_id", "weight"))
 
 
+def term_weights(
+    bag_table: DataFrame, vocabulary: Vocabulary, weighting: str = "tfidf", norm: bool = True
+) -> DataFrame:
+    """(keys, term, term_id, weight) of the known terms, the long form of ``sparse_rows``.
+
+    Terms of a document are never collected: its norm is one numeric sum over its rows, which
+    stay where the stored bag was placed. Documents without a known term have no rows.
+    """
+    if weighting not in ("tfidf", "count"):
+        raise ValueError(f"unknown weighting {weighting!r}")
+    others = [c for c in bag_table.columns if c != "bag"]
+    scaled = weighting == "tfidf" and norm
+    rows = placed(bag_table, vocabulary.size) if scaled else bag_table
+    kept = [*others, PLACE] if scaled else others
+    known = vocabulary.table.select("term", "term_id", "idf")
+    joined = lookup_join(rows.select(*kept, F.inline("bag")), known, "term", size=vocabulary.size)
+    tf = F.col("tf").cast("double")
+    found = joined.withColumn("weight", tf * F.col("idf") if weighting == "tfidf" else tf)
+    if scaled:
+        squares = F.sum(F.col("weight") * F.col("weight")).over(Window.partitionBy(PLACE))
+        found = found.withColumn("weight", F.col("weight") / F.sqrt(squares))
+    return found.select(*others, "term", "term_id", "weight")
+
+
 def with_terms(df: DataFrame, vocabulary: Vocabulary) -> DataFrame:
     """Add the term of every ``term_id``."""
     names = vocabulary.table.select("term_id", "term")
@@ -186,10 +248,12 @@ def matrix_shape(rows: DataFrame, vocabulary: Vocabulary) -> DataFrame:
 def stored_bags(
     articles: DataFrame, tokenizer: Tokenizer = tokenize, lemmas: DataFrame | None = None
 ) -> DataFrame:
-    """Tokenize once and keep the bags, which fit and transform then both read."""
-    table = tokens(articles, tokenizer)
-    table = lemmatize(table, lemmas) if lemmas is not None else table
-    return materialize(bags(table), "bags")
+    """Tokenize once and keep the bags, which fit and transform then both read.
+
+    Lemmas are looked up for the distinct terms of the stored bags, not for every token.
+    """
+    found = materialize(bags(tokens(articles, tokenizer)), "bags")
+    return found if lemmas is None else materialize(lemma_bags(found, lemmas), "lemma-bags")
 
 
 def _vector_struct(size: int) -> Column:

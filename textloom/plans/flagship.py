@@ -5,10 +5,9 @@ from pyspark.sql import DataFrame, SparkSession
 from textloom.operators.ranking import category_term_sums, top_terms
 from textloom.operators.vectors import (
     fit_vocabulary,
-    sparse_rows,
     stored_bags,
     term_counts,
-    weights,
+    term_weights,
     with_terms,
 )
 from textloom.plans.corpus import train_corpus
@@ -24,6 +23,6 @@ def top_words(
         counts = term_counts(bag_table, vocabulary)
         long = counts.select("category", "term_id", counts.tf.cast("double").alias("weight"))
     else:
-        long = weights(sparse_rows(bag_table, vocabulary, weighting))
+        long = term_weights(bag_table, vocabulary, weighting)
     top = top_terms(category_term_sums(long), n)
     return with_terms(top, vocabulary).select("category", "rank", "term", "weight")

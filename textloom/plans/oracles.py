@@ -249,6 +249,11 @@ _FINAL = {
         LEFT JOIN (SELECT a.term AS surface, b.term AS lemma FROM (SELECT DISTINCT term FROM bag) a
                    JOIN (SELECT DISTINCT term FROM bag) b ON a.term = b.term || 's') l
         ON u.word = l.surface GROUP BY id) j USING (id) GROUP BY t.id""",
+    "lemma_counts": """SELECT id, coalesce(l.lemma, u.word) AS term, count(*) AS tf
+        FROM (SELECT id, unnest(tokens) AS word FROM toks) u
+        LEFT JOIN (SELECT a.term AS surface, b.term AS lemma FROM (SELECT DISTINCT term FROM bag) a
+                   JOIN (SELECT DISTINCT term FROM bag) b ON a.term = b.term || 's') l
+        ON u.word = l.surface GROUP BY ALL""",
     "vocabulary": "SELECT term, term_id, df, round(idf, 6) AS idf FROM vocab",
     "term_counts": "SELECT id, term, tf FROM bag_train JOIN vocab USING (term)",
     "tfidf": "SELECT id, term, round(weight, 6) AS weight FROM tfidf_train",

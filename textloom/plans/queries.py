@@ -162,6 +162,14 @@ def lemma_lookup(spark, sf_dir):
     return lemmatized.select("id", F.array_join("tokens", " ").alias("tokens"))
 
 
+def lemma_counts(spark, sf_dir):
+    """Counts of lemmas per article, looked up for the distinct terms of its bag."""
+    table = materialize(vectors.tokens(corpus.corpus(spark, sf_dir)), "tokens")
+    lemmas = materialize(lemma_table(table), "lemmas")
+    found = materialize(vectors.bags(table.select("id", "tokens")), "bags")
+    return vectors.lemma_bags(found, lemmas).select("id", F.inline("bag"))
+
+
 # Vectors
 
 
@@ -178,9 +186,8 @@ def term_counts(spark, sf_dir):
 def _weights(spark, sf_dir, split: str) -> DataFrame:
     p = experiment.prepare(spark, sf_dir)
     side = p.train if split == "train" else p.test
-    long = vectors.weights(vectors.sparse_rows(side, p.vocabulary))
-    named = vectors.with_terms(long, p.vocabulary)
-    return _rounded(named.select("id", "term", "weight"), "weight")
+    long = vectors.term_weights(side, p.vocabulary)
+    return _rounded(long.select("id", "term", "weight"), "weight")
 
 
 def tfidf(spark, sf_dir):
@@ -731,7 +738,7 @@ QUERIES = {
         null_profile, project_columns, clean_merge_text, category_filter, funnel_shape,
         table_shape, preview_rows, distinct_labels, category_counts, category_members,
         exact_sample, row_index, md5_split, tokenize_texts, stopword_filter, raw_token_list,
-        alphanumeric_words, url_tokens, lemma_lookup, vocabulary, term_counts, tfidf,
+        alphanumeric_words, url_tokens, lemma_lookup, lemma_counts, vocabulary, term_counts, tfidf,
         tfidf_holdout, counts_holdout, matrix_shape, top_words_count, top_words_tfidf,
         word_vector_lookup, document_mean_vector, docvec_features, mean_vector, label_encode, label_decode,
         unseen_labels, accuracy_by_split, confusion_matrix, class_report, macro_f1,
