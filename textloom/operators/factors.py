@@ -1,23 +1,24 @@
 """Products of a sparse document-term table with narrow factor tables.
 
-The matrix X is kept in long form ``(id, term_id, x)``. A factor table holds one row per
-document or per term and ``k`` numeric columns ``c0 .. c{k-1}``, so that products are plain
-joins followed by ``k`` sums. Only k-by-k matrices ever reach the driver.
+The matrix X is kept in blocks of whole rows. A factor table holds one row per document or per term
+and ``k`` numeric columns ``c0 .. c{k-1}``; a block gets the factor rows of its own terms and gives
+back one partial sum for each. Only k-by-k matrices ever reach the driver.
 """
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
+from dataclasses import dataclass
 
 import numpy as np
+import pyarrow as pa
 from pyspark import StorageLevel
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from textloom.operators.lookup import lookup_join
-from textloom.operators.vectors import weights
+from textloom.operators.vectors import BLOCK
 from textloom.session import materialize
 
-
-DOCUMENTS_PER_PARTITION = 20_000
+# Larger blocks share more terms, so fewer factor rows travel; a block is read into one task.
+ROWS_PER_BLOCK = 16_384
 ROW = "_row"
 
 
@@ -39,48 +40,125 @@ def columns(k: int, prefix: str = "c") -> list[str]:
     return [f"{prefix}{i}" for i in range(k)]
 
 
-def cached_entries(rows: DataFrame) -> DataFrame:
-    """X in long form, hash-partitioned by document and kept for the iterations.
+@dataclass(frozen=True)
+class Blocks:
+    """A stored sparse matrix in blocks of rows, kept for the iterations, and the terms of each block.
 
-    Documents are placed before their entries are spread out, so the shuffle moves compact
-    rows. All later joins and sums by document reuse this placement without a shuffle. Lost
-    blocks are computed again from the stored ``rows``. The number of partitions follows the
-    number of documents.
+    ``cells`` (block, row, indices, values) is placed by block, ``terms`` (term_id, of) by term.
+    Factor rows travel to a block once per distinct term in it, not once per entry.
     """
-    spark = rows.sparkSession
-    filled = max(spark.sparkContext.defaultParallelism, -(-rows.count() // DOCUMENTS_PER_PARTITION))
-    placed = rows.select("id", "indices", "values").repartition(filled, "id")
-    entries = weights(placed).withColumnRenamed("weight", "x")
-    return entries.persist(StorageLevel.MEMORY_AND_DISK)
 
+    cells: DataFrame
+    terms: DataFrame
 
-def hash_uniform(seed: int, key: str, column: int) -> str:
-    """SQL for a number in (0, 1] that depends on key, column and seed only."""
-    bits = (1 << 52) - 1
-    return f"((xxhash64({seed}, {key}, {column}) & {bits}L) + 1) / {float(1 << 52)!r}D"
+    def unpersist(self) -> None:
+        self.cells.unpersist()
+        self.terms.unpersist()
 
 
-def _weighted_sums(k: int) -> list[Column]:
-    return [F.expr(f"sum(x * {c}) AS {c}") for c in columns(k)]
+def block_numbers(spark: SparkSession, n: int) -> list[int]:
+    """``n`` numbers of which hash partitioning puts one into each of ``n`` partitions."""
+    found, tried = {}, 0
+    while len(found) < n:
+        part = F.pmod(F.hash("id"), F.lit(n)).alias("part")
+        dealt = spark.range(tried, tried + 16 * n).groupBy(part).agg(F.min("id").alias("id"))
+        found = {r["part"]: r["id"] for r in dealt.collect()} | found
+        tried += 16 * n
+    return list(found.values())
 
 
-def times_terms(entries: DataFrame, table: DataFrame, k: int, size: int) -> DataFrame:
-    """X times a term factor: one row per document. No shuffle while the factor is small."""
-    return lookup_join(entries, table, "term_id", size=size).groupBy("id").agg(*_weighted_sums(k))
+def blocks_of(rows: DataFrame) -> Blocks:
+    """Numbered stored ``rows`` in blocks, one per task; rows without entries are left out.
 
+    Rows are dealt by a hash of their number, so that copies and long ids spread evenly. Lost blocks
+    are computed again from the stored rows.
+    """
+    spark = rows.sparkSession
+    cores = spark.sparkContext.defaultParallelism
+    n = cores * max(1, -(-rows.count() // (ROWS_PER_BLOCK * cores)))
+    number = F.element_at(F.lit(block_numbers(spark, n)), F.pmod(F.xxhash64(ROW), F.lit(n)).cast("int") + 1)
+    filled = rows.filter(F.size("indices") > 0).select(number.cast("long").alias(BLOCK), ROW, "indices", "values")
+    cells = filled.repartition(n, BLOCK).sortWithinPartitions(BLOCK, ROW).persist(StorageLevel.MEMORY_AND_DISK)
+    ids = F.explode(F.col("indices").cast("array<long>")).alias("term_id")
+    terms = cells.select(F.col(BLOCK).alias("of"), ids).distinct().repartition(n, "term_id")
+    return Blocks(cells, terms.sortWithinPartitions("term_id").persist(StorageLevel.MEMORY_AND_DISK))
+
+
+class Cells:
+    """The entries of a block beside the factor rows of its terms; terms without a row are dropped."""
+
+    def __init__(self, rows: pa.Table, factor: pa.Table, k: int):
+        ids = factor.column("term_id").to_numpy()
+        order = np.argsort(ids)
+        self.terms, self.rows = ids[order], rows.column(ROW).to_numpy()
+        self.factor = [factor.column(c).to_numpy()[order] for c in columns(k)]
+        indices, values = (rows.column(c).combine_chunks() for c in ("indices", "values"))
+        lengths = indices.value_lengths().to_numpy(zero_copy_only=False)
+        flat = indices.flatten().to_numpy(zero_copy_only=False)
+        place = np.searchsorted(self.terms, flat)
+        known = np.append(self.terms, -1)[place] == flat
+        self.row = np.repeat(np.arange(len(lengths)), lengths)[known]
+        self.place, self.x = place[known], values.flatten().to_numpy(zero_copy_only=False)[known]
+
+    def product(self) -> np.ndarray:
+        """(rows, k): the rows times the factor."""
+        n = len(self.rows)
+        return np.stack([np.bincount(self.row, self.x * f[self.place], n) for f in self.factor], axis=1)
+
+    def back(self, given: np.ndarray) -> np.ndarray:
+        """(terms of the block, k): the transposed rows times (rows, k) values."""
+        n = len(self.terms)
+        return np.stack([np.bincount(self.place, self.x * g[self.row], n) for g in given.T.copy()], axis=1)
+
+
+def keyed(key: str, keys: np.ndarray, values: np.ndarray, **others) -> pa.Table:
+    """An Arrow table of a key, other columns and the factor columns."""
+    names = columns(values.shape[1])
+    return pa.table({key: pa.array(keys, pa.int64()), **others, **dict(zip(names, map(pa.array, values.T.copy()), strict=True))})
+
+
+def keyed_schema(key: str, k: int, *others: str) -> str:
+    return ", ".join([f"{key} long", *others, *(f"{c} double" for c in columns(k))])
+
+
+def by_block(
+    blocks: Blocks, factor: DataFrame, k: int, run: Callable, schema: str, documents: DataFrame | None = None
+) -> DataFrame:
+    """``run(rows, factor rows)`` on every block and the rows of a term factor that it needs.
+
+    Rows of ``documents`` (of, term_id, c0..) come to their block beside them.
+    """
+    needed = blocks.terms.join(factor.select(F.col("term_id").cast("long").alias("term_id"), *columns(k)), "term_id")
+    if documents is not None:
+        needed = needed.unionByName(documents)
+    return blocks.cells.groupBy(BLOCK).cogroup(needed.groupBy("of")).applyInArrow(run, schema)
 
-def times_documents(entries: DataFrame, table: DataFrame, k: int) -> DataFrame:
-    """X transposed times a document factor: one row per term.
 
-    Both sides are placed by document; sums are built per task before the shuffle by term, so
-    a term that occurs in most documents sends one row per task.
-    """
-    joined = entries.join(table, "id")
-    return joined.groupBy("term_id").agg(*_weighted_sums(k))
+def times_terms(blocks: Blocks, table: DataFrame, k: int) -> DataFrame:
+    """X times a term factor: one row (id, c0..) per document with entries."""
 
+    def run(rows: pa.Table, factor: pa.Table) -> pa.Table:
+        cells = Cells(rows, factor, k)
+        return keyed("id", cells.rows, cells.product())
 
-def factor_bytes(n_rows: int, k: int) -> int:
-    return n_rows * 8 * (k + 1)
+    return by_block(blocks, table, k, run, keyed_schema("id", k))
+
+
+def gram_times(blocks: Blocks, table: DataFrame, k: int) -> DataFrame:
+    """X transposed times X times a term factor: one row (term_id, c0..) per term."""
+
+    def run(rows: pa.Table, factor: pa.Table) -> pa.Table:
+        cells = Cells(rows, factor, k)
+        return keyed("term_id", cells.terms, cells.back(cells.product()))
+
+    found = by_block(blocks, table, k, run, keyed_schema("term_id", k))
+    return found.groupBy("term_id").agg(*(F.sum(c).alias(c) for c in columns(k)))
+
+
+def hash_uniform(seed: int, key: str, column: int) -> str:
+    """SQL for a number in (0, 1] that depends on key, column and seed only."""
+    bits = (1 << 52) - 1
+    return f"((xxhash64({seed}, {key}, {column}) & {bits}L) + 1) / {float(1 << 52)!r}D"
 
 
 def right_multiply(matrix: np.ndarray, prefix: str = "c") -> list[str]:

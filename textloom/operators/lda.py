@@ -11,20 +11,29 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from textloom.operators.factors import DOCUMENTS_PER_PARTITION, ROW, columns, factor_bytes, hash_uniform, numbered
-from textloom.operators.lookup import BROADCAST_BYTES, lookup_join
+from textloom.operators.factors import (
+    ROW,
+    Blocks,
+    Cells,
+    blocks_of,
+    by_block,
+    columns,
+    hash_uniform,
+    keyed,
+    keyed_schema,
+    numbered,
+)
+from textloom.operators.lookup import BROADCAST_BYTES
 from textloom.operators.nmf import long_factor
-from textloom.operators.vectors import weights
 from textloom.session import materialize
 
 # The row of a step's sums that holds the bound and not a term.
 BOUND_ID = -1
 TINY = 1e-100
-# Entries gathered before the documents among them are solved together.
+# About so many entries of whole documents are solved together.
 ENTRIES_AT_ONCE = 1 << 17
 
 
@@ -66,15 +75,6 @@ class LdaModel:
     converged: bool = False
 
 
-def placed_entries(rows: DataFrame) -> DataFrame:
-    """(row, term_id, x) of stored ``rows`` with a ``_row`` number, placed by document and kept."""
-    spark = rows.sparkSession
-    filled = max(spark.sparkContext.defaultParallelism, -(-rows.count() // DOCUMENTS_PER_PARTITION))
-    placed = rows.select(ROW, "indices", "values").repartition(filled, ROW)
-    entries = weights(placed).withColumnRenamed("weight", "x").filter("x > 0")
-    return entries.sortWithinPartitions(ROW).persist(StorageLevel.MEMORY_AND_DISK)
-
-
 def settle(doc: np.ndarray, x: np.ndarray, topics: np.ndarray, docs: int, alpha: float, inner: int, tol: float):
     """Topic parameters (docs, k) of documents given as entries with their exp E[log beta] rows.
 
@@ -108,35 +108,19 @@ def document_bounds(doc, x, topics, gamma: np.ndarray, alpha: float) -> np.ndarr
     return out + math.lgamma(k * alpha) - k * math.lgamma(alpha) - log_gamma(gamma.sum(axis=1))
 
 
-def documents_of(batches: Iterator[pa.RecordBatch], k: int) -> Iterator[tuple]:
-    """(row numbers, document of each entry, x, topic rows, term ids) of whole documents."""
-
-    def whole(parts):
-        row, term, x = (np.concatenate([p[i] for p in parts]) for i in range(3))
-        topics = np.concatenate([p[3] for p in parts])
-        starts = np.flatnonzero(np.r_[True, row[1:] != row[:-1]])
-        doc = np.repeat(np.arange(len(starts)), np.diff(np.r_[starts, len(row)]))
-        return row[starts], doc, x, topics, term
-
-    held, size = [], 0
-    for batch in batches:
-        if not len(batch):
-            continue
-        row, term, x = (batch.column(c).to_numpy() for c in (ROW, "term_id", "x"))
-        topics = np.stack([batch.column(c).to_numpy() for c in columns(k)], axis=1)
-        if size >= ENTRIES_AT_ONCE:
-            last = held[-1][0][-1]
-            cut = int(np.searchsorted(row != last, True)) if row[0] == last else 0
-            cut = len(row) if row[-1] == last else cut
-            held.append((row[:cut], term[:cut], x[:cut], topics[:cut]))
-            if cut < len(row):
-                yield whole(held)
-                held, size = [(row[cut:], term[cut:], x[cut:], topics[cut:])], len(row) - cut
-            continue
-        held.append((row, term, x, topics))
-        size += len(row)
-    if held:
-        yield whole(held)
+def documents_of(cells: Cells) -> Iterator[tuple]:
+    """(row numbers, document of each entry, x, topic rows, places of the terms) of whole documents."""
+    kept = cells.x > 0
+    row, place, x = cells.row[kept], cells.place[kept], cells.x[kept]
+    starts = np.flatnonzero(np.diff(row, prepend=-1))
+    ends, topics = np.append(starts[1:], len(row)), np.stack(cells.factor, axis=1)
+    # Documents are solved together until they have that many entries.
+    group = starts // ENTRIES_AT_ONCE
+    cuts = np.flatnonzero(np.diff(group, prepend=-1))
+    for first, last in zip(cuts, np.append(cuts[1:], len(starts))):
+        part = slice(starts[first], ends[last - 1])
+        doc = np.repeat(np.arange(last - first), ends[first:last] - starts[first:last])
+        yield cells.rows[row[starts[first:last]]], doc, x[part], topics[place[part]], place[part]
 
 
 def topic_logs(terms: DataFrame, totals: np.ndarray) -> DataFrame:
@@ -154,35 +138,30 @@ def topic_logs(terms: DataFrame, totals: np.ndarray) -> DataFrame:
     return terms.select(F.col("term_id").cast("int").alias("term_id"), *columns(k)).mapInArrow(run, schema)
 
 
-def with_topics(entries: DataFrame, model: LdaModel) -> DataFrame:
-    """Entries with the topic row of their term, whole documents in order within each task."""
-    logs, size = topic_logs(model.terms, model.totals), factor_bytes(model.n_terms, model.k)
-    if size <= BROADCAST_BYTES:
-        joined = entries.join(F.broadcast(logs), "term_id")
-    else:
-        parts = entries.rdd.getNumPartitions()
-        joined = lookup_join(entries, materialize(logs, "lda-logs"), "term_id", size=size).repartition(parts, ROW)
-    return joined.select(ROW, "term_id", "x", *columns(model.k)).sortWithinPartitions(ROW)
+def sent_logs(model: LdaModel) -> DataFrame:
+    """The topic rows, sent whole to every executor while they are few."""
+    logs = topic_logs(model.terms, model.totals)
+    return F.broadcast(logs) if 8 * model.n_terms * (model.k + 1) <= BROADCAST_BYTES else logs
 
 
-def expected_counts(entries: DataFrame, model: LdaModel, inner: int, tol: float) -> DataFrame:
+def expected_counts(blocks: Blocks, model: LdaModel, inner: int, tol: float) -> DataFrame:
     """(term_id, c0..): summed topic shares of every term, and the documents' bound as ``BOUND_ID``."""
     k, alpha = model.k, model.alpha
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for rows, doc, x, topics, term in documents_of(batches, k):
+    def run(table: pa.Table, logs: pa.Table) -> pa.Table:
+        cells = Cells(table, logs, k)
+        n = len(cells.terms)
+        sums, bound = np.zeros((n + 1, k)), 0.0
+        for rows, doc, x, topics, place in documents_of(cells):
             gamma = settle(doc, x, topics, len(rows), alpha, inner, tol)
             share = np.exp(dirichlet_logs(gamma))[doc] * topics
             share *= (x / (share.sum(axis=1) + TINY))[:, None]
-            bound = document_bounds(doc, x, topics, gamma, alpha).sum()
-            ids, at = np.unique(term, return_inverse=True)
-            sums = [np.r_[np.bincount(at, share[:, i], len(ids)), bound if i == 0 else 0.0] for i in range(k)]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(np.r_[ids, BOUND_ID].astype(np.int32)), *map(pa.array, sums)], names=["term_id", *columns(k)]
-            )
+            bound += document_bounds(doc, x, topics, gamma, alpha).sum()
+            sums[:n] += np.stack([np.bincount(place, s, n) for s in share.T], axis=1)
+        sums[n, 0] = bound
+        return keyed("term_id", np.append(cells.terms, BOUND_ID), sums)
 
-    schema = ", ".join(["term_id int", *(f"{c} double" for c in columns(k))])
-    found = with_topics(entries, model).mapInArrow(run, schema)
+    found = by_block(blocks, sent_logs(model), k, run, keyed_schema("term_id", k))
     return found.groupBy("term_id").agg(*(F.sum(c).alias(c) for c in columns(k)))
 
 
@@ -206,10 +185,10 @@ def model_of(terms: DataFrame, k: int, n_terms: int, alpha: float | None = None,
     return LdaModel(k, n_terms, alpha or 1 / k, eta or 1 / k, terms, np.array([t or 0.0 for t in totals]))
 
 
-def step(entries: DataFrame, model: LdaModel, inner: int, tol: float) -> tuple[LdaModel, float]:
+def step(blocks: Blocks, model: LdaModel, inner: int, tol: float) -> tuple[LdaModel, float]:
     """The model after one pass over all documents, and the bound of the model before it."""
     k = model.k
-    sums = materialize(expected_counts(entries, model, inner, tol), "lda-step")
+    sums = materialize(expected_counts(blocks, model, inner, tol), "lda-step")
     documents = sums.filter(F.col("term_id") == BOUND_ID).select("c0").first()
     before = (documents[0] if documents else 0.0) + topics_bound(model.terms, model.totals, model.n_terms, model.eta)
     counts = sums.filter(F.col("term_id") != BOUND_ID).selectExpr("term_id", *(f"c{i} AS s{i}" for i in range(k)))
@@ -237,16 +216,16 @@ def fit_lda(
     dealt over tasks. The fit ends when the bound grows by less than ``tol`` of itself, which
     ``converged`` tells, or after ``max_iter`` steps.
     """
-    entries = placed_entries(rows if ROW in rows.columns else numbered(rows))
+    blocks = blocks_of(rows if ROW in rows.columns else numbered(rows))
     starts = [f"0.5D + {hash_uniform(seed, 'term_id', i)} AS c{i}" for i in range(k)]
     terms = materialize(vocabulary_terms.selectExpr("cast(term_id AS int) AS term_id", *starts), "lda-terms")
     model, converged = model_of(terms, k, n_terms), False
     for _ in range(max_iter):
-        model, _ = step(entries, model, inner, inner_tol)
+        model, _ = step(blocks, model, inner, inner_tol)
         if len(model.bounds) > 1 and abs(model.bounds[-1] - model.bounds[-2]) <= tol * abs(model.bounds[-2]):
             converged = True
             break
-    entries.unpersist()
+    blocks.unpersist()
     return LdaModel(k, n_terms, model.alpha, model.eta, model.terms, model.totals, model.bounds, converged)
 
 
@@ -260,20 +239,20 @@ def infer(rows: DataFrame, model: LdaModel, inner: int = 100, inner_tol: float =
     stored = rows if ROW in rows.columns else numbered(rows)
     keys = [c for c in stored.columns if c not in (ROW, "indices", "values")]
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for ids, doc, x, topics, _ in documents_of(batches, k):
+    def run(table: pa.Table, logs: pa.Table) -> pa.Table:
+        parts = [(np.empty(0, np.int64), np.empty((0, k)), np.empty(0))]
+        for ids, doc, x, topics, _ in documents_of(Cells(table, logs, k)):
             gamma = settle(doc, x, topics, len(ids), alpha, inner, inner_tol)
             bounds = document_bounds(doc, x, topics, gamma, alpha)
-            shares = gamma / gamma.sum(axis=1, keepdims=True)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(ids), pa.array(shares.tolist(), pa.list_(pa.float64())), pa.array(bounds)],
-                names=[ROW, "vector", "bound"],
-            )
+            parts.append((ids, gamma / gamma.sum(axis=1, keepdims=True), bounds))
+        ids, shares, bounds = (np.concatenate(p) for p in zip(*parts))
+        lists = pa.array(list(shares), pa.list_(pa.float64()))
+        return pa.table({ROW: pa.array(ids, pa.int64()), "vector": lists, "bound": pa.array(bounds)})
 
-    entries = placed_entries(stored)
-    found = with_topics(entries, model).mapInArrow(run, f"{ROW} long, vector array<double>, bound double")
+    blocks = blocks_of(stored)
+    found = by_block(blocks, sent_logs(model), k, run, f"{ROW} long, vector array<double>, bound double")
     found = materialize(found, "lda-documents")
-    entries.unpersist()
+    blocks.unpersist()
     even = F.array_repeat(F.lit(1.0 / k), k)
     return stored.select(ROW, *keys).join(found, ROW, "left").select(
         *keys, F.coalesce("vector", even).alias("vector"), F.coalesce("bound", F.lit(0.0)).alias("bound")

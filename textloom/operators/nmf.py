@@ -5,26 +5,31 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from textloom.operators.factors import (
     ROW,
-    cached_entries,
+    Blocks,
+    Cells,
+    blocks_of,
+    by_block,
     columns,
-    factor_bytes,
     gram,
     gram_sums,
     hash_uniform,
+    keyed,
+    keyed_schema,
     numbered,
     renamed,
     right_multiply,
     symmetric,
-    times_documents,
     times_terms,
     with_keys,
 )
-from textloom.operators.vectors import weights
+from textloom.operators.vectors import BLOCK, weights
 from textloom.session import materialize
 
 TINY = 1e-12
@@ -53,20 +58,46 @@ def multiplicative(k: int, other_gram: np.ndarray) -> list[str]:
     ]
 
 
-def update_documents(entries, w, h, k, h_gram, h_size) -> DataFrame:
-    """W ← W ∘ (X Hᵀ) / (W H Hᵀ)."""
-    product = renamed(times_terms(entries, h, k, h_size), "id", k, "b")
-    joined = product.join(w, "id")
-    return joined.selectExpr("id", *multiplicative(k, h_gram))
+def update(blocks: Blocks, w: DataFrame, h: DataFrame, k: int, h_gram: np.ndarray) -> DataFrame:
+    """One pass: W ← W ∘ (X Hᵀ) / (W H Hᵀ), and the sums Xᵀ W of the new W.
+
+    ``w`` and the documents of the result have their block in ``of`` and -1 - row as ``term_id``; the
+    other rows of the result are the sums of the terms.
+    """
+
+    def run(rows: pa.Table, factor: pa.Table) -> pa.Table:
+        document = pc.less(factor.column("term_id"), 0)
+        own, cells = factor.filter(document), Cells(rows, factor.filter(pc.invert(document)), k)
+        numbers = -1 - own.column("term_id").to_numpy()
+        order = np.argsort(numbers)
+        at = order[np.searchsorted(numbers[order], cells.rows)]
+        old = np.stack([own.column(c).to_numpy()[at] for c in columns(k)], axis=1)
+        new = old * cells.product() / np.maximum(old @ h_gram, TINY)
+        keys = np.r_[-1 - cells.rows, cells.terms]
+        of = np.r_[own.column("of").to_numpy()[at], np.zeros(len(cells.terms), np.int64)]
+        return keyed("term_id", keys, np.r_[new, cells.back(new)], of=pa.array(of))
+
+    found = by_block(blocks, h, k, run, keyed_schema("term_id", k, "of long"), w)
+    sums = (F.sum(c).alias(c) for c in columns(k))
+    return materialize(found.groupBy("term_id").agg(F.max("of").alias("of"), *sums), "nmf-step")
 
 
-def update_terms(entries, w, h, k, w_gram) -> DataFrame:
+def updated_documents(found: DataFrame) -> DataFrame:
+    return found.filter("term_id < 0")
+
+
+def update_terms(found: DataFrame, h: DataFrame, k: int, w_gram: np.ndarray) -> DataFrame:
     """H ← H ∘ (Wᵀ X) / (Wᵀ W H); the products ``b*`` stay in the result for the error."""
-    product = renamed(times_documents(entries, w, k), "term_id", k, "b")
+    product = renamed(found.filter("term_id >= 0"), "term_id", k, "b")
     joined = product.join(h, "term_id")
     return joined.selectExpr("term_id", *multiplicative(k, w_gram), *columns(k, "b"))
 
 
+def document_weights(w: DataFrame, k: int) -> DataFrame:
+    """(id, c0..): the weights of documents by the number of their row."""
+    return w.selectExpr("-1 - term_id AS id", *columns(k))
+
+
 def start_factor(keys: DataFrame, key: str, k: int, scale: float, seed: int) -> DataFrame:
     """Positive start values from a hash of the key, the column and the seed."""
     starts = [
@@ -97,16 +128,16 @@ def fit_nmf(
     if max_iter < 1:
         raise ValueError("max_iter must be at least 1")
     rows = numbered(rows)
-    x = cached_entries(rows.withColumn("id", F.col(ROW)))
-    x_sum, x_squared = x.agg(
+    x = blocks_of(rows)
+    x_sum, x_squared = weights(rows.select("indices", "values")).withColumnRenamed("weight", "x").agg(
         F.coalesce(F.sum("x"), F.lit(0.0)), F.coalesce(F.sum(F.col("x") * F.col("x")), F.lit(0.0))
     ).first()
     n_docs = rows.count()
     scale = float(np.sqrt(x_sum / max(1, n_docs * n_terms) / k))
-    h_size = factor_bytes(n_terms, k)
     # Equal starts for all documents: the terms' start values tell the components apart.
-    w = x.select("id").distinct().selectExpr("id", *(f"{scale!r}D AS {c}" for c in columns(k)))
-    h = start_factor(x.select("term_id").distinct(), "term_id", k, scale, seed + 1)
+    starts = (f"{scale!r}D AS {c}" for c in columns(k))
+    w = x.cells.selectExpr(f"{BLOCK} AS of", f"-1 - {ROW} AS term_id", *starts)
+    h = start_factor(x.terms.select("term_id").distinct(), "term_id", k, scale, seed + 1)
     if start_terms is not None:
         known = renamed(start_terms, "term_id", k, "s")
         started = [F.coalesce(s, c).alias(c) for c, s in zip(columns(k), columns(k, "s"), strict=True)]
@@ -118,9 +149,10 @@ def fit_nmf(
     products = " + ".join(f"{c} * {b}" for c, b in zip(columns(k), columns(k, "b"), strict=True))
     cross = F.expr(f"coalesce(sum({products}), 0D)")
     for _ in range(max_iter):
-        w = materialize(update_documents(x, w, h, k, h_gram, h_size), "nmf-documents")
+        found = update(x, w, h, k, h_gram)
+        w = updated_documents(found)
         w_gram = gram(w, k)
-        h = materialize(update_terms(x, w, h, k, w_gram), "nmf-terms")
+        h = materialize(update_terms(found, h, k, w_gram), "nmf-terms")
         h_sums, shared = h.agg(gram_sums(k), cross).first()
         h = h.select("term_id", *columns(k))
         h_gram = symmetric(h_sums, k)
@@ -131,7 +163,7 @@ def fit_nmf(
             break
     x.unpersist()
     # Documents without any known term take no part in the sums and have zero weights.
-    every = with_keys(rows, w).na.fill(0.0, columns(k))
+    every = with_keys(rows, document_weights(w, k)).na.fill(0.0, columns(k))
     return NmfModel(k, n_terms, h, every, h_gram, errors[-1], errors, converged)
 
 
@@ -175,14 +207,13 @@ def non_negative(b: np.ndarray, gram: np.ndarray) -> np.ndarray:
 def transform_nmf(model: NmfModel, rows: DataFrame) -> DataFrame:
     """(keys, c0..): the best W of unseen ``rows`` with H fixed, the exact non-negative optimum.
 
-    X Hᵀ is one join and one sum per document. A document then needs nothing but its own product
+    X Hᵀ is one pass over blocks of documents. A document then needs nothing but its own product
     and the small Gram matrix, so it is solved on Arrow batches inside the tasks. Documents without
     a known term get zeros; rows that repeat an id are solved each.
     """
     k, h_gram = model.k, model.gram
     rows = numbered(rows)
-    entries = weights(rows.select(F.col(ROW).alias("id"), "indices", "values")).withColumnRenamed("weight", "x")
-    product = times_terms(entries, model.terms, k, factor_bytes(model.n_terms, k))
+    product = times_terms(blocks_of(rows), model.terms, k)
 
     def solve(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -200,8 +231,9 @@ def optimality(model: NmfModel, rows: DataFrame, solved: DataFrame, key: str = "
     largest product of the row. The gradient is computed anew from the components.
     """
     k = model.k
-    entries = weights(rows.select(F.col(key).alias("id"), "indices", "values")).withColumnRenamed("weight", "x")
-    product = renamed(times_terms(entries, model.terms, k, factor_bytes(model.n_terms, k)), "id", k, "b")
+    rows = numbered(rows.select(key, "indices", "values"))
+    product = renamed(times_terms(blocks_of(rows), model.terms, k), "id", k, "b")
+    product = with_keys(rows, product).withColumnRenamed(key, "id")
     both = solved.withColumnRenamed(key, "id").join(product, "id", "left").na.fill(0.0, columns(k, "b"))
     scale = f"{tol!r}D * (1 + greatest({', '.join(f'abs({b})' for b in columns(k, 'b'))}))"
     below = right_multiply(gram(model.terms, k))

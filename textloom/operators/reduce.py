@@ -11,21 +11,21 @@ from pyspark.sql import functions as F
 
 from textloom.operators.factors import (
     ROW,
-    cached_entries,
+    blocks_of,
     columns,
     cross_sums,
-    factor_bytes,
     gram,
     gram_sums,
+    gram_times,
     hash_uniform,
     numbered,
     renamed,
     right_multiply,
     symmetric,
-    times_documents,
     times_terms,
     with_keys,
 )
+from textloom.operators.vectors import weights
 from textloom.session import materialize
 
 
@@ -70,16 +70,16 @@ def sparse_pca(
     p = k + extra
     rows = numbered(rows)
     n_docs = rows.count()
-    size = factor_bytes(n_terms, p)
-    x = cached_entries(rows.withColumn("id", F.col(ROW)))
-    sums = materialize(x.groupBy("term_id").agg(F.sum("x").alias("s")), "column-sums")
+    x = blocks_of(rows)
+    entries = weights(rows.select("indices", "values"))
+    sums = materialize(entries.groupBy("term_id").agg(F.sum("weight").alias("s")), "column-sums")
     starts = [f"{hash_uniform(seed, 'term_id', i)} - 0.5D AS {c}" for i, c in enumerate(columns(p))]
     v = sums.selectExpr("term_id", "s", *starts)
     v = _rotated(materialize(v, "pca-start"), _orthonormal(gram(v, p)), p)
     before, converged = None, False
     for _ in range(max_iter):
         along = _column_means(v, p, n_docs)
-        product = times_documents(x, times_terms(x, v.drop("s"), p, size), p)
+        product = gram_times(x, v.drop("s"), p)
         centred = [
             f"{z} - s * {float(m)!r}D AS {z}"
             for z, m in zip(columns(p, "z"), along, strict=True)
@@ -103,7 +103,7 @@ def sparse_pca(
         v = _rotated(applied, _orthonormal(spread), p, "z")
     loadings = _signed(materialize(basis, "pca-loadings"), k)
     means = _column_means(loadings, k, n_docs)
-    scores = times_terms(x, loadings.drop("s"), k, factor_bytes(n_terms, k))
+    scores = times_terms(x, loadings.drop("s"), k)
     keys = [c for c in rows.columns if c not in (ROW, "indices", "values")]
     points = with_keys(rows, scores).select(
         *keys,

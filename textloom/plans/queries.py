@@ -20,7 +20,8 @@ from textloom.operators import (
     topics,
     vectors,
 )
-from textloom.operators.factors import cached_entries, columns, factor_bytes, gram
+from textloom.operators.factors import ROW, blocks_of, columns, gram, numbered, with_keys
+from textloom.operators.vectors import BLOCK
 from textloom.plans import corpus, experiment
 from textloom.plans.corpus import CATEGORIES
 from textloom.plans.flagship import top_words
@@ -410,15 +411,21 @@ def _start(key: str, a: int, b: int) -> list[str]:
 def nmf_one_step(spark, sf_dir):
     """One update of W and then of H from a fixed start, both factors in one table."""
     p = experiment.prepare(spark, sf_dir)
-    rows = experiment.stored_rows(p)
-    entries = cached_entries(rows)
-    w = entries.select("id").distinct().selectExpr("id", *_start("id", 7, 3))
+    rows = experiment.stored_rows(p).filter("id IS NOT NULL")
+    # Rows that repeat an id are one document here.
+    whole = rows.groupBy("id").agg(*(F.flatten(F.collect_list(c)).alias(c) for c in ("indices", "values")))
+    rows = numbered(whole)
+    blocks = blocks_of(rows)
+    of_rows = rows.selectExpr(ROW, *_start("id", 7, 3))
     h = p.vocabulary.table.selectExpr("term_id", *_start("term_id", 11, 5))
-    size = factor_bytes(p.vocabulary.n_terms, 8)
-    w = materialize(nmf.update_documents(entries, w, h, 8, gram(h, 8), size), "nmf-step")
-    h = nmf.update_terms(entries, w, h, 8, gram(w, 8)).select("term_id", *columns(8))
+    w = blocks.cells.select(F.col(BLOCK).alias("of"), ROW).join(of_rows, ROW)
+    w = w.select("of", (-1 - F.col(ROW)).alias("term_id"), *columns(8))
+    found = nmf.update(blocks, w, h, 8, gram(h, 8))
+    w = nmf.updated_documents(found)
+    h = nmf.update_terms(found, h, 8, gram(w, 8)).select("term_id", *columns(8))
     h = materialize(h, "nmf-step")
-    entries.unpersist()
+    blocks.unpersist()
+    w = with_keys(rows.filter(F.size("indices") > 0), nmf.document_weights(w, 8))
     documents = w.select(F.lit("document").alias("side"), F.col("id").alias("key"), *columns(8))
     terms = h.select(
         F.lit("term").alias("side"), F.col("term_id").cast("long").alias("key"), *columns(8)
@@ -488,7 +495,7 @@ def _lda_from_fixed_start(spark, sf_dir):
 def lda_one_step(spark, sf_dir):
     """Topic-term parameters after one step with one update of the documents."""
     rows, model = _lda_from_fixed_start(spark, sf_dir)
-    after, _ = lda.step(lda.placed_entries(rows), model, 1, 0.0)
+    after, _ = lda.step(blocks_of(rows), model, 1, 0.0)
     return _rounded(nmf.long_factor(after.terms, "term_id", 8), "weight")
 
 
