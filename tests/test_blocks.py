@@ -41,3 +41,13 @@ def test_means_of_long_documents_are_summed_in_parts(bags, monkeypatch, at_once)
     monkeypatch.setattr(V, "ENTRIES_AT_ONCE", at_once)
     got = [tuple(r["vector"]) for r in V.mean_vectors(bags, given, 2).collect()]
     assert np.array(sorted(got)) == pytest.approx(np.array(sorted(want)))
+
+
+def test_words_with_several_vectors_enter_with_each(spark):
+    bags = V.stored_bags(spark.createDataFrame([(1, "cat dog dog")], "id long, text string"))
+    rows = [("dog", [3.0]), ("dog", [5.0]), ("cat", None)]
+    given = spark.createDataFrame(rows, "term string, vector array<float>")
+    assert V.mean_vectors(bags, given, 1).first()["vector"] == pytest.approx([16 / 5])
+    broken = spark.createDataFrame([("dog", [None])], "term string, vector array<float>")
+    with pytest.raises(Exception, match="null component"):
+        V.mean_vectors(bags, broken, 1).collect()

@@ -346,9 +346,16 @@ def mean_vectors(
 
     def run(rows: pa.Table, found: pa.Table) -> pa.Table:
         n = rows.num_rows
-        row, place, tf = bag_entries(rows, found)
-        table = found.column("vector").combine_chunks().flatten().to_numpy(zero_copy_only=False)
-        table, sums = table.astype(np.float64).reshape(found.num_rows, dim), np.zeros((n, dim))
+        flat = found.column("vector").combine_chunks().flatten()
+        if flat.null_count:
+            raise ValueError("a word vector holds a null component")
+        # A word that is given several vectors enters once with each of them.
+        words = found.column("term").combine_chunks().dictionary_encode()
+        word, distinct = words.indices.to_numpy(), pa.table({"term": words.dictionary})
+        table, given = np.zeros((distinct.num_rows, dim)), np.bincount(word, minlength=distinct.num_rows)
+        np.add.at(table, word, flat.to_numpy(zero_copy_only=False).astype(np.float64).reshape(len(word), dim))
+        row, place, tf = bag_entries(rows, distinct)
+        sums = np.zeros((n, dim))
         for at in range(0, len(row), ENTRIES_AT_ONCE):
             part = slice(at, at + ENTRIES_AT_ONCE)
             starts = np.flatnonzero(np.diff(row[part], prepend=-1))
@@ -357,7 +364,8 @@ def mean_vectors(
         bag = rows.column("bag").combine_chunks()
         lengths = pc.fill_null(pc.list_value_length(bag), 0).to_numpy(zero_copy_only=False)
         counts = bag.flatten().field("tf").to_numpy(zero_copy_only=False)
-        total = np.bincount(np.repeat(np.arange(n), lengths), counts, n)[:, None]
+        total = np.bincount(np.repeat(np.arange(n), lengths), counts, n)
+        total = (total + np.bincount(row, tf * (given[place] - 1), n))[:, None]
         means = np.divide(sums, total, out=np.zeros((n, dim)), where=total > 0)
         offsets = np.arange(0, (n + 1) * dim, dim or 1)[: n + 1] if dim else np.zeros(n + 1)
         lists = pa.ListArray.from_arrays(offsets.astype(np.int32), pa.array(means.reshape(-1)))
@@ -365,7 +373,8 @@ def mean_vectors(
 
     stored = in_blocks(bag_table.select(*others, "bag"))
     schema = T.StructType([*stored.select(others).schema, *T.StructType.fromDDL("vector array<double>")])
-    given = vectors.select("term", "vector").filter(F.col("vector").isNotNull())
+    zeros = F.array_repeat(F.lit(0.0), dim)
+    given = vectors.select("term", F.coalesce("vector", zeros).cast("array<double>").alias("vector"))
     return looked_up(stored, given, run, schema)
 
 
