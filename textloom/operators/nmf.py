@@ -233,7 +233,7 @@ def optimality(model: NmfModel, rows: DataFrame, solved: DataFrame, key: str = "
     k = model.k
     rows = numbered(rows.select(key, "indices", "values"))
     product = renamed(times_terms(blocks_of(rows), model.terms, k), "id", k, "b")
-    product = with_keys(rows, product).withColumnRenamed(key, "id")
+    product = with_keys(rows, product).groupBy(F.col(key).alias("id")).agg(*(F.sum(b).alias(b) for b in columns(k, "b")))
     both = solved.withColumnRenamed(key, "id").join(product, "id", "left").na.fill(0.0, columns(k, "b"))
     scale = f"{tol!r}D * (1 + greatest({', '.join(f'abs({b})' for b in columns(k, 'b'))}))"
     below = right_multiply(gram(model.terms, k))
