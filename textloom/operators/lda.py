@@ -76,7 +76,7 @@ class LdaModel:
 
 
 def settle(doc: np.ndarray, x: np.ndarray, topics: np.ndarray, docs: int, alpha: float, inner: int, tol: float):
-    """Topic parameters (docs, k) of documents given as entries with their exp E[log beta] rows.
+    """Topic parameters (docs, k) of documents given as entries, in order, with their exp E[log beta] rows.
 
     Each document stops by itself once its parameters move by less than ``tol`` on average, so its
     result does not depend on the documents beside it.
@@ -85,8 +85,8 @@ def settle(doc: np.ndarray, x: np.ndarray, topics: np.ndarray, docs: int, alpha:
     gamma, open_ = np.ones((docs, k)), np.arange(docs)
     for _ in range(inner):
         share = np.exp(dirichlet_logs(gamma[open_]))
-        weight = x / ((share[doc] * topics).sum(axis=1) + TINY)
-        sums = np.stack([np.bincount(doc, weight * topics[:, i], len(open_)) for i in range(k)], axis=1)
+        weight = x / (np.einsum("ij,ij->i", share[doc], topics) + TINY)
+        sums = np.add.reduceat(topics * weight[:, None], np.flatnonzero(np.diff(doc, prepend=-1)), axis=0)
         new = alpha + share * sums
         moving = np.abs(new - gamma[open_]).mean(axis=1) >= tol
         gamma[open_] = new
