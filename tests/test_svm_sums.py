@@ -26,3 +26,19 @@ def test_the_driver_gets_every_sum_once(counted, monkeypatch):
     sliced = svm.summed(counted, 40, lambda b, y: b.back(y[:, None]), (1, 41))
     assert sliced == pytest.approx(whole)
     assert len(got) == 2 * 3 and sum(got) <= 41 * (8 + 4)
+
+
+def test_products_read_only_the_rows_inside_a_margin(spark, monkeypatch):
+    """Conjugate gradients pass over the rows of the margins, not over all rows in every step."""
+    x = np.r_[np.linspace(-50, -5, 300), np.linspace(-1, 1, 21), np.linspace(5, 50, 300)]
+    rows = spark.createDataFrame([(Vectors.dense([float(v)]), float(v > 0)) for v in x], ["features", "label"])
+    read, whole = [], svm.Rows.summed
+
+    def counted_pass(self, part, shape):
+        read.append(int(whole(self, lambda block, given: np.array([block.rows]), (1,))[0]))
+        return whole(self, part, shape)
+
+    monkeypatch.setattr(svm.Rows, "summed", counted_pass)
+    fit = svm.fit_squared_hinge(rows.repartition(3), 1, 2)
+    assert fit.converged and fit.gradient <= 1e-4
+    assert read[0] == len(x) and 0 < min(read) < 60
