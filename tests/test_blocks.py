@@ -51,3 +51,14 @@ def test_words_with_several_vectors_enter_with_each(spark):
     broken = spark.createDataFrame([("dog", [None])], "term string, vector array<float>")
     with pytest.raises(Exception, match="null component"):
         V.mean_vectors(bags, broken, 1).collect()
+
+
+def test_lemmas_are_looked_up_per_block_and_added_there(spark):
+    rows = [(1, ["ab", "abs", "xs", "ab"]), (None, ["xs"]), (None, ["xs"]), (3, []), (4, None)]
+    bags = V.bags(spark.createDataFrame(rows, "id long, tokens array<string>").repartition(2))
+    given = [("abs", "AB"), ("xs", "x"), ("xs", "y"), ("ab", None)]
+    found = V.lemma_bags(bags, spark.createDataFrame(given, "surface string, lemma string"))
+    assert "collect_list" not in plan(found) and "FlatMapCoGroupsInArrow" in plan(found)
+    got = sorted(((r["id"], [tuple(e) for e in r["bag"]]) for r in found.collect()), key=str)
+    both = [("x", 1), ("y", 1)]
+    assert got == sorted([(1, [("ab", 3), *both]), (None, both), (None, both), (3, []), (4, [])], key=str)

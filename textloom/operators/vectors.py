@@ -91,33 +91,43 @@ def lemmatize(token_table: DataFrame, lemmas: DataFrame | None, key: str = "id")
     return grouped.select(key, *others, "tokens")
 
 
-def lemma_counts(bag_table: DataFrame, lemmas: DataFrame) -> DataFrame:
-    """(keys, number of the row, term, tf): counts of lower-cased lemmas in the long form.
-
-    A lemma is looked up once per distinct term of a row and counts of terms that fall together
-    are added. Rows without terms have one row with a null term, so that none gets lost.
-    ``bag_table`` should be a stored table; ``lemmas`` has one row per surface.
-    """
-    others = [c for c in bag_table.columns if c != "bag"]
-    size = table_bytes(lemmas)
-    long = placed(bag_table, size).select(PLACE, *others, F.explode_outer("bag").alias("_entry"))
-    long = long.select(PLACE, *others, F.col("_entry.term").alias("surface"), "_entry.tf")
-    joined = lookup_join(long, lemmas.select("surface", "lemma"), "surface", "left", size=size)
-    term = F.lower(F.coalesce("lemma", "surface")).alias("term")
-    return joined.groupBy(PLACE, *others, term).agg(F.sum("tf").alias("tf"))
-
-
 def lemma_bags(bag_table: DataFrame, lemmas: DataFrame) -> DataFrame:
-    """Replace the bags of a stored table by bags of lower-cased lemmas, in term order.
+    """Replace the bags of a table by bags of lower-cased lemmas from (surface, lemma), in term order.
 
     Equal to the bags of the lemmatized tokens, but tokens are neither exploded nor put in order
-    again. Rows that repeat their keys stay rows of their own, empty bags stay empty.
+    again: a lemma is looked up once per distinct term of a block, and counts of terms that fall
+    together are added there. Rows that repeat their keys stay rows of their own, empty bags stay
+    empty. A surface that is given several lemmas enters with each of them.
     """
     others = [c for c in bag_table.columns if c != "bag"]
-    entry = F.when(F.col("term").isNotNull(), F.struct("term", "tf"))
-    counts = lemma_counts(bag_table, lemmas)
-    grouped = counts.groupBy(PLACE, *others).agg(F.sort_array(F.collect_list(entry)).alias("bag"))
-    return grouped.select(*others, "bag")
+
+    def run(rows: pa.Table, found: pa.Table) -> pa.Table:
+        n = rows.num_rows
+        surface, word = (found.column(c).combine_chunks().dictionary_encode() for c in ("term", "word"))
+        ordered = pc.sort_indices(word.dictionary).to_numpy()
+        words, rank = word.dictionary.take(pa.array(ordered)), np.argsort(ordered)
+        by_surface = np.argsort(surface.indices.to_numpy(), kind="stable")
+        given = np.bincount(surface.indices.to_numpy(), minlength=len(surface.dictionary))
+        row, place, tf = bag_entries(rows, pa.table({"term": surface.dictionary}))
+        times = given[place]
+        entry = np.repeat(np.arange(len(row)), times)
+        nth = np.arange(len(entry)) - np.repeat(np.cumsum(times) - times, times)
+        at = by_surface[(np.cumsum(given) - given)[place[entry]] + nth]
+        key = row[entry] * max(1, len(words)) + rank[word.indices.to_numpy()[at]]
+        order = np.argsort(key, kind="stable")
+        starts = np.flatnonzero(np.diff(key[order], prepend=-1))
+        counts = np.add.reduceat(tf.astype(np.int64)[entry][order], starts) if len(starts) else np.zeros(0, np.int64)
+        key = key[order][starts]
+        parts = [words.take(pa.array(key % max(1, len(words)))), pa.array(counts)]
+        lists = _lists(key // max(1, len(words)), n, pa.StructArray.from_arrays(parts, names=["term", "tf"]))
+        return pa.Table.from_arrays([*(rows.column(c) for c in others), lists], names=[*others, "bag"])
+
+    stored = in_blocks(bag_table)
+    table = lemmas.select(F.col("surface").alias("term"), "lemma")
+    word = F.lower(F.coalesce("lemma", "term")).alias("word")
+    found = block_terms(stored).filter("term IS NOT NULL").join(table, "term", "left").select("_of", "term", word)
+    schema = T.StructType([*stored.select(others).schema, *T.StructType.fromDDL("bag array<struct<term string, tf long>>")])
+    return stored.groupBy(BLOCK).cogroup(found.groupBy("_of")).applyInArrow(run, schema)
 
 
 def bags(token_table: DataFrame) -> DataFrame:
@@ -174,6 +184,11 @@ def in_blocks(bag_table: DataFrame) -> DataFrame:
     return materialize(bag_table.withColumn(BLOCK, number), "blocks")
 
 
+def block_terms(stored: DataFrame) -> DataFrame:
+    """(_of, term): the distinct terms of every block of bags."""
+    return stored.select(F.col(BLOCK).alias("_of"), F.explode("bag.term").alias("term")).distinct()
+
+
 def looked_up(
     stored: DataFrame, table: DataFrame, run: Callable[[pa.Table, pa.Table], pa.Table], schema: T.StructType
 ) -> DataFrame:
@@ -182,8 +197,7 @@ def looked_up(
     Only the distinct terms of a block are shuffled to the table and back, not every entry, and a
     term occurs once per block at most, so none is hot. The bags move once, as compact rows.
     """
-    needed = stored.select(F.col(BLOCK).alias("_of"), F.explode("bag.term").alias("term")).distinct()
-    found = needed.join(table, "term")
+    found = block_terms(stored).join(table, "term")
     return stored.groupBy(BLOCK).cogroup(found.groupBy("_of")).applyInArrow(run, schema)
 
 

@@ -165,9 +165,8 @@ def lemma_lookup(spark, sf_dir):
 
 def lemma_counts(spark, sf_dir):
     """Counts of lemmas per article, looked up for the distinct terms of its bag."""
-    table = materialize(vectors.tokens(corpus.corpus(spark, sf_dir)), "tokens")
-    lemmas = materialize(lemma_table(table), "lemmas")
-    found = materialize(vectors.bags(table.select("id", "tokens")), "bags")
+    found = materialize(vectors.bags(vectors.tokens(corpus.corpus(spark, sf_dir).select("id", "text"))), "bags")
+    lemmas = materialize(lemma_table(found.select(F.col("bag.term").alias("tokens"))), "lemmas")
     return vectors.lemma_bags(found, lemmas).select("id", F.inline("bag"))
 
 
