@@ -62,3 +62,10 @@ def test_lemmas_are_looked_up_per_block_and_added_there(spark):
     got = sorted(((r["id"], [tuple(e) for e in r["bag"]]) for r in found.collect()), key=str)
     both = [("x", 1), ("y", 1)]
     assert got == sorted([(1, [("ab", 3), *both]), (None, both), (None, both), (3, []), (4, [])], key=str)
+
+
+def test_scored_vectors_do_not_pass_through_text(bags):
+    vocabulary = V.fit_vocabulary(bags)
+    found = V.lazy_ml_vectors(V.sparse_rows(bags, vocabulary), vocabulary.n_terms)
+    assert "json" not in plan(found).lower()
+    assert found.filter("id IS NULL").first()["features"].numNonzeros() == 2
