@@ -6,29 +6,34 @@ from dataclasses import dataclass, field
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from textloom.operators.factors import (
     ROW,
-    Blocks,
-    Cells,
     blocks_of,
-    by_block,
     columns,
     gram,
-    gram_sums,
     hash_uniform,
-    keyed,
-    keyed_schema,
     numbered,
     renamed,
     right_multiply,
-    symmetric,
     times_terms,
     with_keys,
 )
+from textloom.operators.routes import (
+    MESSAGE,
+    BlockCells,
+    Routes,
+    messages,
+    numbered_rows,
+    routes_of,
+    row_blocks,
+    sent,
+    term_ids,
+    term_rows,
+    term_slices,
+)
 from textloom.operators.vectors import BLOCK, weights
 from textloom.session import materialize
 
@@ -49,53 +54,69 @@ class NmfModel:
     converged: bool = False
 
 
-def multiplicative(k: int, other_gram: np.ndarray) -> list[str]:
-    """New factor columns from the old ``c*``, the product ``b*`` and the other factor's Gram."""
-    below = right_multiply(other_gram)
-    return [
-        f"{c} * {b} / greatest({d}, {TINY!r}D) AS {c}"
-        for c, b, d in zip(columns(k), columns(k, "b"), below, strict=True)
-    ]
+def multiplicative(old: np.ndarray, product: np.ndarray, other_gram: np.ndarray) -> np.ndarray:
+    """New factor rows from the old ones, their product with X and the other factor's Gram."""
+    return old * product / np.maximum(old @ other_gram, TINY)
 
 
-def update(blocks: Blocks, w: DataFrame, h: DataFrame, k: int, h_gram: np.ndarray) -> DataFrame:
+def update(x: Routes, w: DataFrame, h: DataFrame, k: int, h_gram: np.ndarray) -> DataFrame:
     """One pass: W ← W ∘ (X Hᵀ) / (W H Hᵀ), and the sums Xᵀ W of the new W.
 
-    ``w`` and the documents of the result have their block in ``of`` and -1 - row as ``term_id``; the
-    other rows of the result are the sums of the terms.
+    ``w`` is kept by block and ``h`` by slice. The stored result holds blocks of the new W (-1 - block in
+    ``slice``) beside their Gram, and sums by slice beside the old H, in ``other``.
     """
+    numbers, schema = x.numbers, f"{MESSAGE}, other binary"
+
+    def block(cells: pa.Table, given: pa.Table) -> pa.Table:
+        own = BlockCells(cells, given, numbers, k)
+        new, sums = own.updated(lambda old, product: multiplicative(old, product, h_gram))
+        of, none = [own.number] * (len(sums) + 1), [None] * len(sums)
+        other = pa.array([(new.T @ new).tobytes(), *none], pa.binary())
+        return messages([-1 - own.number, *own.slices], of, [new, *sums], other=other)
+
+    def total(routes: pa.Table, given: pa.Table) -> pa.Table:
+        if not routes.num_rows:
+            return given  # a block of W
+        at = dict(zip(routes.column("of").to_pylist(), routes.column("at").to_pylist(), strict=True))
+        parts = zip(given.column("of").to_pylist(), given.column("part").to_pylist(), strict=True)
+        sums, old = np.zeros((len(at[-1]) // 8, k)), None
+        for of, part in parts:
+            if of < 0:
+                old = part
+            else:
+                sums[np.frombuffer(at[of], np.int32)] += np.frombuffer(part, np.float64).reshape(-1, k)
+        return messages([routes.column("slice")[0].as_py()], [-1], [sums], other=pa.array([old], pa.binary()))
+
+    given = sent(x, h, k).unionByName(w.select("slice", "of", "part"))
+    found = x.cells.groupBy(BLOCK).cogroup(given.groupBy("of")).applyInArrow(block, schema)
+    old = h.select("slice", "of", "part", F.lit(None).cast("binary").alias("other"))
+    sums = found.unionByName(old).groupBy("slice")
+    return materialize(x.routes.groupBy("slice").cogroup(sums).applyInArrow(total, schema), "nmf-step")
 
-    def run(rows: pa.Table, factor: pa.Table) -> pa.Table:
-        document = pc.less(factor.column("term_id"), 0)
-        own, cells = factor.filter(document), Cells(rows, factor.filter(pc.invert(document)), k)
-        numbers = -1 - own.column("term_id").to_numpy()
-        order = np.argsort(numbers)
-        at = order[np.searchsorted(numbers[order], cells.rows)]
-        old = np.stack([own.column(c).to_numpy()[at] for c in columns(k)], axis=1)
-        new = old * cells.product() / np.maximum(old @ h_gram, TINY)
-        keys = np.r_[-1 - cells.rows, cells.terms]
-        of = np.r_[own.column("of").to_numpy()[at], np.zeros(len(cells.terms), np.int64)]
-        return keyed("term_id", keys, np.r_[new, cells.back(new)], of=pa.array(of))
 
-    found = by_block(blocks, h, k, run, keyed_schema("term_id", k, "of long"), w)
-    sums = (F.sum(c).alias(c) for c in columns(k))
-    return materialize(found.groupBy("term_id").agg(F.max("of").alias("of"), *sums), "nmf-step")
+def updated_documents(found: DataFrame) -> DataFrame:
+    """The new W by block."""
+    return found.filter("slice < 0").selectExpr("-1L AS slice", "of", "part")
 
 
-def updated_documents(found: DataFrame) -> DataFrame:
-    return found.filter("term_id < 0")
+def documents_gram(found: DataFrame, k: int) -> np.ndarray:
+    """Wᵀ W of the new W, of one small matrix per block."""
+    parts = found.filter("slice < 0").select("other").collect()
+    return sum((np.frombuffer(r["other"]).reshape(k, k) for r in parts), np.zeros((k, k)))
 
 
-def update_terms(found: DataFrame, h: DataFrame, k: int, w_gram: np.ndarray) -> DataFrame:
-    """H ← H ∘ (Wᵀ X) / (Wᵀ W H); the products ``b*`` stay in the result for the error."""
-    product = renamed(found.filter("term_id >= 0"), "term_id", k, "b")
-    joined = product.join(h, "term_id")
-    return joined.selectExpr("term_id", *multiplicative(k, w_gram), *columns(k, "b"))
+def update_terms(found: DataFrame, k: int, w_gram: np.ndarray) -> DataFrame:
+    """H ← H ∘ (Wᵀ X) / (Wᵀ W H) by slice, beside its Gram and its products with Wᵀ X for the error."""
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for number, part, other in zip(*(batch.column(c).to_pylist() for c in ("slice", "part", "other")), strict=True):
+                sums, old = (np.frombuffer(b).reshape(-1, k) for b in (part, other))
+                new = multiplicative(old, sums, w_gram)
+                others = {"gram": pa.array([(new.T @ new).tobytes()], pa.binary()), "shared": pa.array([float((new * sums).sum())])}
+                yield from messages([number], [-1], [new], **others).to_batches()
 
-def document_weights(w: DataFrame, k: int) -> DataFrame:
-    """(id, c0..): the weights of documents by the number of their row."""
-    return w.selectExpr("-1 - term_id AS id", *columns(k))
+    return found.filter("slice >= 0").mapInArrow(run, f"{MESSAGE}, gram binary, shared double")
 
 
 def start_factor(keys: DataFrame, key: str, k: int, scale: float, seed: int) -> DataFrame:
@@ -121,14 +142,14 @@ def fit_nmf(
 
     Iterates until the error falls by less than ``tol`` of the first error; ``converged`` tells
     whether that or ``max_iter`` ended the fit. ``start_terms`` continues from an earlier H, in
-    which new terms get a start value. Both factors are written to the shared folder in every
-    iteration: each is used twice in the next one, so that plans would otherwise double with
-    every step, and a lost executor costs no more than the current step.
+    which new terms get a start value. The new W and what the new H follows from are written to the
+    shared folder in every iteration: each is used twice in the next one, so that plans would otherwise
+    double with every step, and a lost executor costs no more than the current step.
     """
     if max_iter < 1:
         raise ValueError("max_iter must be at least 1")
     rows = numbered(rows)
-    x = blocks_of(rows)
+    x = routes_of(rows)
     x_sum, x_squared = weights(rows.select("indices", "values")).withColumnRenamed("weight", "x").agg(
         F.coalesce(F.sum("x"), F.lit(0.0)), F.coalesce(F.sum(F.col("x") * F.col("x")), F.lit(0.0))
     ).first()
@@ -136,35 +157,35 @@ def fit_nmf(
     scale = float(np.sqrt(x_sum / max(1, n_docs * n_terms) / k))
     # Equal starts for all documents: the terms' start values tell the components apart.
     starts = (f"{scale!r}D AS {c}" for c in columns(k))
-    w = x.cells.selectExpr(f"{BLOCK} AS of", f"-1 - {ROW} AS term_id", *starts)
-    h = start_factor(x.terms.select("term_id").distinct(), "term_id", k, scale, seed + 1)
+    w = row_blocks(x, rows.filter(F.size("indices") > 0).selectExpr(ROW, *starts), k)
+    h = start_factor(term_ids(x), "term_id", k, scale, seed + 1)
     if start_terms is not None:
         known = renamed(start_terms, "term_id", k, "s")
         started = [F.coalesce(s, c).alias(c) for c, s in zip(columns(k), columns(k, "s"), strict=True)]
         h = h.join(known, "term_id", "left").select("term_id", *started)
     h = materialize(h, "nmf-terms")
     h_gram = gram(h, k)
+    h = materialize(term_slices(x, h, k), "nmf-start")
     errors: list[float] = []
     converged = False
-    products = " + ".join(f"{c} * {b}" for c, b in zip(columns(k), columns(k, "b"), strict=True))
-    cross = F.expr(f"coalesce(sum({products}), 0D)")
     for _ in range(max_iter):
         found = update(x, w, h, k, h_gram)
         w = updated_documents(found)
-        w_gram = gram(w, k)
-        h = materialize(update_terms(found, h, k, w_gram), "nmf-terms")
-        h_sums, shared = h.agg(gram_sums(k), cross).first()
-        h = h.select("term_id", *columns(k))
-        h_gram = symmetric(h_sums, k)
-        squared = x_squared - 2 * shared + float(np.sum(w_gram * h_gram))
+        w_gram = documents_gram(found, k)
+        h = update_terms(found, k, w_gram)
+        parts = h.select("gram", "shared").collect()  # one small matrix per slice
+        h_gram = sum((np.frombuffer(r["gram"]).reshape(k, k) for r in parts), np.zeros((k, k)))
+        squared = x_squared - 2 * sum(r["shared"] for r in parts) + float(np.sum(w_gram * h_gram))
         errors.append(float(np.sqrt(max(squared, 0.0))))
         if len(errors) > 1 and errors[-2] - errors[-1] < tol * errors[0]:
             converged = True
             break
+    terms = materialize(term_rows(x, h, k), "nmf-terms")
+    found_rows = materialize(numbered_rows(x, w, k), "nmf-documents")
     x.unpersist()
     # Documents without any known term take no part in the sums and have zero weights.
-    every = with_keys(rows, document_weights(w, k)).na.fill(0.0, columns(k))
-    return NmfModel(k, n_terms, h, every, h_gram, errors[-1], errors, converged)
+    every = with_keys(rows, found_rows).na.fill(0.0, columns(k))
+    return NmfModel(k, n_terms, terms, every, h_gram, errors[-1], errors, converged)
 
 
 def non_negative(b: np.ndarray, gram: np.ndarray) -> np.ndarray:

@@ -21,7 +21,7 @@ from textloom.operators import (
     vectors,
 )
 from textloom.operators.factors import ROW, blocks_of, columns, gram, numbered, with_keys
-from textloom.operators.vectors import BLOCK
+from textloom.operators.routes import numbered_rows, routes_of, row_blocks, term_rows, term_slices
 from textloom.plans import corpus, experiment
 from textloom.plans.corpus import CATEGORIES
 from textloom.plans.flagship import top_words
@@ -414,17 +414,15 @@ def nmf_one_step(spark, sf_dir):
     # Rows that repeat an id are one document here.
     whole = rows.groupBy("id").agg(*(F.flatten(F.collect_list(c)).alias(c) for c in ("indices", "values")))
     rows = numbered(whole)
-    blocks = blocks_of(rows)
-    of_rows = rows.selectExpr(ROW, *_start("id", 7, 3))
+    x = routes_of(rows)
+    w = row_blocks(x, rows.filter(F.size("indices") > 0).selectExpr(ROW, *_start("id", 7, 3)), 8)
     h = p.vocabulary.table.selectExpr("term_id", *_start("term_id", 11, 5))
-    w = blocks.cells.select(F.col(BLOCK).alias("of"), ROW).join(of_rows, ROW)
-    w = w.select("of", (-1 - F.col(ROW)).alias("term_id"), *columns(8))
-    found = nmf.update(blocks, w, h, 8, gram(h, 8))
-    w = nmf.updated_documents(found)
-    h = nmf.update_terms(found, h, 8, gram(w, 8)).select("term_id", *columns(8))
-    h = materialize(h, "nmf-step")
-    blocks.unpersist()
-    w = with_keys(rows.filter(F.size("indices") > 0), nmf.document_weights(w, 8))
+    found = nmf.update(x, w, term_slices(x, h, 8), 8, gram(h, 8))
+    terms = nmf.update_terms(found, 8, nmf.documents_gram(found, 8))
+    h = materialize(term_rows(x, terms, 8), "nmf-step")
+    w = materialize(numbered_rows(x, nmf.updated_documents(found), 8), "nmf-step")
+    x.unpersist()
+    w = with_keys(rows.filter(F.size("indices") > 0), w)
     documents = w.select(F.lit("document").alias("side"), F.col("id").alias("key"), *columns(8))
     terms = h.select(
         F.lit("term").alias("side"), F.col("term_id").cast("long").alias("key"), *columns(8)
