@@ -33,6 +33,25 @@ def test_perceptron_on_short_vectors(spark):
     assert classify.predict(fitted, df, "train").filter("y = p").count() == 40
 
 
+def test_rows_are_fitted_in_one_partition_per_core(spark, setup):
+    """Every partition gives sums as wide as the model in every step, whatever the number of rows."""
+    _, features = setup
+    cores, seen = spark.sparkContext.defaultParallelism, []
+
+    def factory(*sizes):
+        estimator = classify.logistic(20)(*sizes)
+        fit = estimator.fit
+        estimator.fit = lambda rows: seen.append(rows.rdd.getNumPartitions()) or fit(rows)
+        return estimator
+
+    spread = features.train.repartition(3 * cores + 1)
+    fitted = classify.train("m", spread, features.size, factory)
+    assert seen == [cores]
+    plain = classify.train("m", features.train, features.size, classify.logistic(20))
+    ids = [{(r["id"], r["p"]) for r in classify.predict(f, features.test, "test").collect()} for f in (fitted, plain)]
+    assert ids[0] == ids[1]
+
+
 @pytest.mark.parametrize("factory", [classify.logistic(20), classify.linear_svc(max_iter=20)])
 def test_stored_model_scores_batch_and_stream_alike(spark, small_corpus, setup, tmp_path, factory):
     vocabulary, features = setup
