@@ -43,6 +43,39 @@ def test_means_of_long_documents_are_summed_in_parts(bags, monkeypatch, at_once)
     assert np.array(sorted(got)) == pytest.approx(np.array(sorted(want)))
 
 
+def test_vectors_travel_once_per_word_of_a_task_and_bags_as_bytes(spark):
+    """Neither more rows of the same words nor their strings add to what is shuffled."""
+    rows = spark.range(9000).selectExpr("id", "array('cat', 'dog', 'cat') AS tokens").coalesce(1)
+    bags = V.bags(rows)
+    stored, codes = V.packed_bags(bags, ["id"])
+    assert sorted(r["term"] for r in codes.collect()) == ["cat", "dog"]
+    assert dict(stored.dtypes)[V.CODES] == "binary" and stored.count() == 9000
+    given = spark.createDataFrame([("cat", [3.0]), ("dog", [6.0])], "term string, vector array<float>")
+    means = V.mean_vectors(bags, given, 1)
+    assert "Aggregate" not in plan(means) and "struct<term" not in plan(means)
+    assert means.filter("abs(vector[0] - 4) < 1e-12").count() == 9000
+
+
+def test_small_packs_and_batches_give_the_same_means(spark, bags, monkeypatch):
+    vocabulary = V.fit_vocabulary(bags)
+    given = vocabulary.table.select("term", F.array(F.lit(2.0), F.col("term_id")).alias("vector"))
+    rows = bags.unionByName(spark.createDataFrame([(7, [(None, 2), ("waa", 1)]), (8, []), (8, None)], bags.schema))
+
+    def means():
+        return np.array(sorted(r["vector"] for r in V.mean_vectors(rows, given, 2).collect()))
+
+    want = means()
+    assert len(want) == 85
+    monkeypatch.setattr(V, "ENTRIES_PER_PACK", 5)
+    monkeypatch.setattr(V, "WORDS_PER_ROW", 2)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", 3)
+    try:
+        assert V.packed_bags(rows, ["id"])[0].select(V.BLOCK).distinct().count() > 10
+        assert means() == pytest.approx(want)
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+
+
 def test_words_with_several_vectors_enter_with_each(spark):
     bags = V.stored_bags(spark.createDataFrame([(1, "cat dog dog")], "id long, text string"))
     rows = [("dog", [3.0]), ("dog", [5.0]), ("cat", None)]

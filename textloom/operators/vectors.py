@@ -6,6 +6,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark import TaskContext
 from pyspark.ml.linalg import VectorUDT
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -24,7 +25,11 @@ PLACE = "_place"
 # Rows that are looked up together: 2 ** BLOCK_BITS at most.
 BLOCK, BLOCK_BITS = "_block", 12
 # Entries whose word vectors are added up at once.
-ENTRIES_AT_ONCE = 1 << 16
+ENTRIES_AT_ONCE = 1 << 12
+# A packed block ends with the batch that reaches so many entries: larger ones share more words, so
+# fewer vectors travel. Its words are stored in rows of so many.
+ENTRIES_PER_PACK, WORDS_PER_ROW = 1 << 22, 1 << 14
+CODES, COUNTS, WORDS, FIRST = "_codes", "_counts", "_words", "_first"
 
 
 @dataclass(frozen=True)
@@ -350,6 +355,61 @@ def term_vectors(vocabulary: Vocabulary, vectors: DataFrame, dim: int) -> DataFr
     return joined.select("term", "term_id", F.coalesce("vector", zeros).alias("vector"))
 
 
+def packed_bags(bag_table: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, DataFrame]:
+    """Bags as bytes in blocks of neighbours, and (_of, code, term): the distinct terms of every block.
+
+    A bag is its terms' codes inside the block (int32, -1 for a null term) and their counts (int64).
+    Both tables are parts of one stored table, so the bags are read once and strings do not move with them.
+    """
+    others = list(keys)
+    kept = bag_table.select(*others, "bag")
+    packed = f"{CODES} binary, {COUNTS} binary, {FIRST} int, {WORDS} array<string>"
+    fields = [*kept.select(others).schema, *T.StructType.fromDDL(f"{BLOCK} long, {packed}")]
+    schema = T.StructType([T.StructField(f.name, f.dataType) for f in fields])
+    limit, width = ENTRIES_PER_PACK, WORDS_PER_ROW
+
+    def block(number: int, rows: list[pa.RecordBatch], terms: list[pa.DictionaryArray]):
+        def filled(n: int, own: list, lists: list) -> pa.RecordBatch:
+            columns = [*own, pa.array([number] * n, pa.int64()), *lists]
+            made = [pa.nulls(n, t) if c is None else c for c, t in zip(columns, types, strict=True)]
+            return pa.RecordBatch.from_arrays(made, names=[f.name for f in fields])
+
+        types = [*rows[0].schema.types[: len(others)], pa.int64(), pa.binary(), pa.binary(), pa.int32(), pa.list_(pa.string())]
+        chunks = pa.chunked_array(terms).unify_dictionaries().chunks
+        for batch, chunk in zip(rows, chunks, strict=True):
+            bag = batch.column(len(others))
+            ends = np.r_[0, np.cumsum(pc.fill_null(bag.value_lengths(), 0).to_numpy(zero_copy_only=False))]
+            codes = pc.fill_null(chunk.indices, -1).cast(pa.int32()).to_numpy()
+            counts = bag.flatten().field("tf").cast(pa.int64()).to_numpy()
+            lists = [pa.array([v[i:j].tobytes() for i, j in zip(ends, ends[1:])], pa.binary()) for v in (codes, counts)]
+            yield filled(batch.num_rows, batch.columns[: len(others)], [*lists, None, None])
+        words = chunks[0].dictionary
+        starts = range(0, len(words), width)
+        listed = [words.slice(i, width).to_pylist() for i in starts]
+        firsts = [pa.array(starts, pa.int32()), pa.array(listed, pa.list_(pa.string()))]
+        yield filled(len(starts), [None] * len(others), [None, None, *firsts])
+
+    def pack(batches):
+        number, rows, terms, entries = TaskContext.get().partitionId() << 32, [], [], 0
+        for batch in batches:
+            flat = batch.column(len(others)).flatten().field("term")
+            rows.append(batch)
+            terms.append(flat.dictionary_encode())
+            # Long words count for more, so that the words of a block stay far below 2 GB.
+            entries += len(flat) + terms[-1].dictionary.nbytes // 64
+            if entries >= limit:
+                yield from block(number, rows, terms)
+                number, rows, terms, entries = number + 1, [], [], 0
+        if rows:
+            yield from block(number, rows, terms)
+
+    stored = materialize(kept.mapInArrow(pack, schema), "packed-bags")
+    listed = stored.filter(F.col(WORDS).isNotNull())
+    words = listed.select(F.col(BLOCK).alias("_of"), FIRST, F.posexplode(WORDS).alias("_at", "term"))
+    codes = words.select("_of", (F.col(FIRST) + F.col("_at")).alias("code"), "term")
+    return stored.filter(F.col(WORDS).isNull()).drop(FIRST, WORDS), codes
+
+
 def mean_vectors(
     bag_table: DataFrame, vectors: DataFrame, dim: int, keys: Sequence[str] = ("id",)
 ) -> DataFrame:
@@ -359,40 +419,47 @@ def mean_vectors(
     documents once per distinct word of the block and are added up inside it. Rows that repeat a
     key stay rows of their own.
     """
-    others = list(keys)
+    others, at_once = list(keys), ENTRIES_AT_ONCE
 
     def run(rows: pa.Table, found: pa.Table) -> pa.Table:
         n = rows.num_rows
         flat = found.column("vector").combine_chunks().flatten()
         if flat.null_count:
             raise ValueError("a word vector holds a null component")
+        parts = [[np.frombuffer(b, kind) for b in rows.column(c).to_pylist()] for c, kind in ((CODES, np.int32), (COUNTS, np.int64))]
+        lengths = np.array([len(p) for p in parts[0]], np.int64)
+        codes, tf = (np.concatenate(p) for p in parts)
+        row = np.repeat(np.arange(n, dtype=np.int32), lengths)
+        total = np.bincount(row, tf, n)
         # A word that is given several vectors enters once with each of them.
-        words = found.column("term").combine_chunks().dictionary_encode()
-        word, distinct = words.indices.to_numpy(), pa.table({"term": words.dictionary})
-        table, given = np.zeros((distinct.num_rows, dim)), np.bincount(word, minlength=distinct.num_rows)
-        np.add.at(table, word, flat.to_numpy(zero_copy_only=False).astype(np.float64).reshape(len(word), dim))
-        row, place, tf = bag_entries(rows, distinct)
+        word = found.column("code").to_numpy()
+        order = np.argsort(word, kind="stable")
+        distinct, starts, given = np.unique(word[order], return_index=True, return_counts=True)
+        table = flat.to_numpy(zero_copy_only=False).reshape(len(word), dim)[order]
+        table = np.add.reduceat(table, starts, axis=0, dtype=np.float64) if len(word) else np.zeros((0, dim))
+        slot = np.full(max(codes.max(initial=-1), distinct.max(initial=-1)) + 2, -1, np.int32)
+        slot[distinct] = np.arange(len(distinct), dtype=np.int32)
+        place = slot[codes]  # code -1 reads the last slot, which is never given
+        known = place >= 0
+        row, place, tf = row[known], place[known], tf[known].astype(np.float64)
         sums = np.zeros((n, dim))
-        for at in range(0, len(row), ENTRIES_AT_ONCE):
-            part = slice(at, at + ENTRIES_AT_ONCE)
+        for at in range(0, len(row), at_once):
+            part = slice(at, at + at_once)
             starts = np.flatnonzero(np.diff(row[part], prepend=-1))
             # A document that goes on in the next part is added to again.
             sums[row[part][starts]] += np.add.reduceat(table[place[part]] * tf[part, None], starts, axis=0)
-        bag = rows.column("bag").combine_chunks()
-        lengths = pc.fill_null(pc.list_value_length(bag), 0).to_numpy(zero_copy_only=False)
-        counts = bag.flatten().field("tf").to_numpy(zero_copy_only=False)
-        total = np.bincount(np.repeat(np.arange(n), lengths), counts, n)
         total = (total + np.bincount(row, tf * (given[place] - 1), n))[:, None]
         means = np.divide(sums, total, out=np.zeros((n, dim)), where=total > 0)
         offsets = np.arange(0, (n + 1) * dim, dim or 1)[: n + 1] if dim else np.zeros(n + 1)
         lists = pa.ListArray.from_arrays(offsets.astype(np.int32), pa.array(means.reshape(-1)))
         return pa.Table.from_arrays([*(rows.column(c) for c in others), lists], names=[*others, "vector"])
 
-    stored = in_blocks(bag_table.select(*others, "bag"))
+    stored, codes = packed_bags(bag_table, others)
     schema = T.StructType([*stored.select(others).schema, *T.StructType.fromDDL("vector array<double>")])
-    zeros = F.array_repeat(F.lit(0.0), dim)
-    given = vectors.select("term", F.coalesce("vector", zeros).cast("array<double>").alias("vector"))
-    return looked_up(stored, given, run, schema)
+    zeros = F.array_repeat(F.lit(0.0), dim).cast(vectors.schema["vector"].dataType)
+    given = vectors.select("term", F.coalesce("vector", zeros).alias("vector"))
+    found = codes.join(given, "term").select("_of", "code", "vector")
+    return stored.groupBy(BLOCK).cogroup(found.groupBy("_of")).applyInArrow(run, schema)
 
 
 def common_width(df: DataFrame, vector: str) -> int:

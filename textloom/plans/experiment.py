@@ -90,11 +90,9 @@ def docvec_parts(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame
     train = part(stored, "train")
     given = materialize(word_vectors(spark, sf_dir, fit_vocabulary(train)), "word-vectors")
     dim = common_width(given, "vector")
-    sides = [
-        materialize(mean_vectors(side, given, dim, ["id", "category"]), "docvec")
-        for side in (train, part(stored, "test"))
-    ]
-    return sides[0], sides[1], dim
+    # Both splits in one pass, so that they share the vectors of a block.
+    means = materialize(mean_vectors(stored, given, dim, ["id", "category", "split"]), "docvec")
+    return part(means, "train"), part(means, "test"), dim
 
 
 def docvec_features(spark: SparkSession, sf_dir: str) -> FeatureSet:
