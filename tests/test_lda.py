@@ -83,3 +83,39 @@ def test_no_rows(counted):
     model = lda.fit_lda(rows.limit(0), vocabulary.table, vocabulary.n_terms, k=2, max_iter=2)
     assert lda.infer(rows.limit(0), model).count() == 0
     assert lda.quality(rows.limit(0), model)["perplexity"] > 0
+
+
+def test_documents_solved_in_groups_equal_each_alone(monkeypatch):
+    pick = np.random.default_rng(3)
+    lengths = np.r_[0, pick.integers(1, 60, 80), 900, 0]
+    place = np.concatenate([pick.choice(1000, n, replace=False) for n in lengths])
+    x, factor = pick.integers(0, 4, len(place)).astype(float), pick.gamma(0.2, 1, (3, 1000)) + 1e-9
+    factor[:, 5] = 0  # a term without a topic row takes no part
+    alpha = 0.4
+    for at_once in (1, 200, 1 << 15):
+        monkeypatch.setattr(lda, "ENTRIES_AT_ONCE", at_once)
+        documents = lda.Documents(lengths, place, x, factor)
+        gamma, bounds, weight = documents.solved(alpha, 100, 1e-4)
+        sums, ends = np.zeros(factor.shape), np.cumsum(lengths)
+        for i, (end, n) in enumerate(zip(ends, lengths)):
+            own = slice(end - n, end)
+            kept = (x[own] > 0) & (factor[0, place[own]] > 0)
+            terms, count = place[own][kept], x[own][kept]
+            if not len(terms):
+                assert bounds[i] == 0 and gamma[i].tolist() == [alpha] * 3
+                continue
+            now = np.ones(3)
+            for _ in range(100):
+                share = np.exp(lda.digamma(now) - lda.digamma(now.sum()))
+                new = alpha + share * (factor[:, terms] @ (count / (share @ factor[:, terms])))
+                rest, now = np.abs(new - now).mean() < 1e-4, new
+                if rest:
+                    break
+            assert gamma[i] == pytest.approx(now, rel=1e-9)
+            mixed = np.exp(lda.digamma(now) - lda.digamma(now.sum()))[:, None] * factor[:, terms]
+            sums[:, terms] += mixed * count / mixed.sum(axis=0)
+        assert np.array(list(documents.shares(gamma, weight))) == pytest.approx(sums, rel=1e-9)
+        groups = list(lda.alike(documents.lengths))
+        assert sorted(np.concatenate(groups)) == np.flatnonzero(documents.lengths).tolist()
+        assert all(len(g) * documents.lengths[g].max() <= max(at_once, documents.lengths[g].max()) for g in groups)
+        assert all(documents.lengths[g].max() <= 1.25 * documents.lengths[g].min() + 16 for g in groups)

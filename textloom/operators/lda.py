@@ -6,7 +6,7 @@ a Spark table; the driver holds one number per topic.
 """
 
 import math
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -16,7 +16,6 @@ from pyspark.sql import functions as F
 
 from textloom.operators.factors import (
     ROW,
-    Blocks,
     Cells,
     blocks_of,
     by_block,
@@ -28,13 +27,17 @@ from textloom.operators.factors import (
 )
 from textloom.operators.lookup import BROADCAST_BYTES
 from textloom.operators.nmf import long_factor
+from textloom.operators.routes import MESSAGE, BlockCells, Routes, messages, numbers_in, routes_of, rows_of
+from textloom.operators.vectors import BLOCK
 from textloom.session import materialize
 
 # The row of a step's sums that holds the bound and not a term.
 BOUND_ID = -1
 TINY = 1e-100
-# About so many entries of whole documents are solved together.
-ENTRIES_AT_ONCE = 1 << 17
+# About so many entries of whole documents are solved together; their topic rows stay in the caches.
+ENTRIES_AT_ONCE = 1 << 15
+# Documents at rest are left out once no more than this share still moves.
+KEPT = 0.75
 
 
 def _shifted(x: np.ndarray, shift: int = 8) -> tuple[np.ndarray, list[np.ndarray]]:
@@ -42,11 +45,15 @@ def _shifted(x: np.ndarray, shift: int = 8) -> tuple[np.ndarray, list[np.ndarray
 
 
 def digamma(x: np.ndarray) -> np.ndarray:
-    """Derivative of the log-gamma function for positive numbers: recurrence, then its series."""
-    y, below = _shifted(x)
+    """Derivative of the log-gamma function for positive numbers: recurrence by 8, then its series.
+
+    The reciprocals of x + i and x + 7 - i are added as one quotient.
+    """
+    y, s = x + 8, x * (x + 7)
     r = 1 / (y * y)
     series = r * (1 / 12 - r * (1 / 120 - r * (1 / 252 - r * (1 / 240 - r / 132))))
-    return np.log(y) - 0.5 / y - series - sum(1 / b for b in below)
+    below = (1 / s + 1 / (s + 6) + 1 / (s + 10) + 1 / (s + 12)) * (2 * x + 7)
+    return np.log(y) - 0.5 / y - series - below
 
 
 def log_gamma(x: np.ndarray) -> np.ndarray:
@@ -58,7 +65,8 @@ def log_gamma(x: np.ndarray) -> np.ndarray:
 
 def dirichlet_logs(x: np.ndarray) -> np.ndarray:
     """E[log p] of rows of Dirichlet parameters."""
-    return digamma(x) - digamma(x.sum(axis=1, keepdims=True))
+    found = digamma(np.concatenate([x, x.sum(axis=1, keepdims=True)], axis=1))
+    return found[:, :-1] - found[:, -1:]
 
 
 @dataclass(frozen=True)
@@ -75,52 +83,92 @@ class LdaModel:
     converged: bool = False
 
 
-def settle(doc: np.ndarray, x: np.ndarray, topics: np.ndarray, docs: int, alpha: float, inner: int, tol: float):
-    """Topic parameters (docs, k) of documents given as entries, in order, with their exp E[log beta] rows.
+def settle(count: np.ndarray, topics: np.ndarray, alpha: float, inner: int, tol: float) -> np.ndarray:
+    """Topic parameters (docs, k) of documents given as (docs, width) counts and (docs, k, width) rows of exp E[log beta].
 
-    Each document stops by itself once its parameters move by less than ``tol`` on average, so its
-    result does not depend on the documents beside it.
+    Shorter documents are filled up with zeros. Each document stops by itself once its parameters move by
+    less than ``tol`` on average, so its result does not depend on the documents beside it.
     """
-    k = topics.shape[1]
-    gamma, open_ = np.ones((docs, k)), np.arange(docs)
+    n, k, _ = topics.shape
+    gamma, now, ones = np.ones((n, k)), np.ones((n, k)), np.ones(k)
+    open_, live, weight = np.arange(n), np.ones(n, bool), np.empty_like(count)
     for _ in range(inner):
-        share = np.exp(dirichlet_logs(gamma[open_]))
-        weight = x / (np.einsum("ij,ij->i", share[doc], topics) + TINY)
-        sums = np.add.reduceat(topics * weight[:, None], np.flatnonzero(np.diff(doc, prepend=-1)), axis=0)
-        new = alpha + share * sums
-        moving = np.abs(new - gamma[open_]).mean(axis=1) >= tol
-        gamma[open_] = new
-        if not moving.any():
+        share = np.exp(dirichlet_logs(now))
+        np.matmul(share[:, None, :], topics, out=weight[:, None, :])
+        weight += TINY
+        np.divide(count, weight, out=weight)
+        new = alpha + share * np.matmul(topics, weight[:, :, None])[:, :, 0]
+        moving = np.abs(new - now) @ ones / k >= tol
+        gamma[open_[live]], now = new[live], new
+        live &= moving
+        left = np.count_nonzero(live)
+        if not left:
             break
-        if not moving.all():
-            keep = moving[doc]
-            doc = (np.cumsum(moving) - 1)[doc[keep]]
-            x, topics, open_ = x[keep], topics[keep], open_[moving]
+        # Documents at rest go along until they are many, as leaving them out copies the others.
+        if left <= KEPT * len(live):
+            count, topics, now, open_ = count[live], topics[live], now[live], open_[live]
+            live, weight = np.ones(left, bool), np.empty_like(count)
     return gamma
 
 
-def document_bounds(doc, x, topics, gamma: np.ndarray, alpha: float) -> np.ndarray:
-    """The part of the variational bound that belongs to each document."""
-    k, logs = gamma.shape[1], dirichlet_logs(gamma)
-    likelihood = np.log((np.exp(logs)[doc] * topics).sum(axis=1) + TINY)
-    out = np.bincount(doc, x * likelihood, len(gamma))
-    out += ((alpha - gamma) * logs).sum(axis=1) + log_gamma(gamma).sum(axis=1)
+def prior_bounds(gamma: np.ndarray, logs: np.ndarray, alpha: float) -> np.ndarray:
+    """The part of a document's bound that does not depend on its words."""
+    k = gamma.shape[1]
+    out = ((alpha - gamma) * logs).sum(axis=1) + log_gamma(gamma).sum(axis=1)
     return out + math.lgamma(k * alpha) - k * math.lgamma(alpha) - log_gamma(gamma.sum(axis=1))
 
 
-def documents_of(cells: Cells) -> Iterator[tuple]:
-    """(row numbers, document of each entry, x, topic rows, places of the terms) of whole documents."""
-    kept = cells.x > 0
-    row, place, x = cells.row[kept], cells.place[kept], cells.x[kept]
-    starts = np.flatnonzero(np.diff(row, prepend=-1))
-    ends, topics = np.append(starts[1:], len(row)), np.stack(cells.factor, axis=1)
-    # Documents are solved together until they have that many entries.
-    group = starts // ENTRIES_AT_ONCE
-    cuts = np.flatnonzero(np.diff(group, prepend=-1))
-    for first, last in zip(cuts, np.append(cuts[1:], len(starts))):
-        part = slice(starts[first], ends[last - 1])
-        doc = np.repeat(np.arange(last - first), ends[first:last] - starts[first:last])
-        yield cells.rows[row[starts[first:last]]], doc, x[part], topics[place[part]], place[part]
+def alike(lengths: np.ndarray) -> Iterator[np.ndarray]:
+    """Documents with entries in groups of similar lengths, each of about ``ENTRIES_AT_ONCE`` entries."""
+    order = np.argsort(lengths, kind="stable")
+    ordered, first = lengths[order], int(np.count_nonzero(lengths == 0))
+    while first < len(order):
+        last = int(np.searchsorted(ordered, ordered[first] + ordered[first] // 4 + 16, "right"))
+        last = min(last, first + max(1, ENTRIES_AT_ONCE // int(ordered[last - 1])))
+        yield order[first:last]
+        first = last
+
+
+class Documents:
+    """Documents one after the other: entries each, and of every entry its place in ``factor`` and its count.
+
+    ``factor`` holds one array per topic, exp E[log beta] of the terms; entries of terms without any, and
+    counts that are not positive, are left out.
+    """
+
+    def __init__(self, lengths: np.ndarray, place: np.ndarray, x: np.ndarray, factor: Sequence[np.ndarray]):
+        kept = x > 0
+        kept &= np.any(factor, axis=0)[place]
+        if not kept.all():
+            row = np.repeat(np.arange(len(lengths)), lengths)[kept]
+            lengths, place, x = np.bincount(row, minlength=len(lengths)), place[kept], x[kept]
+        self.lengths, self.place, self.x, self.factor = lengths.astype(np.int64), place, x, factor
+
+    def solved(self, alpha: float, inner: int, tol: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Topic parameters and bound of every document, and every count divided by its mixed topic row."""
+        k, lengths = len(self.factor), self.lengths
+        starts, width = np.cumsum(lengths) - lengths, np.arange(lengths.max(initial=0))
+        gamma, bounds, weight = np.full((len(lengths), k), alpha), np.zeros(len(lengths)), np.zeros(len(self.x))
+        for some in alike(lengths):
+            there = width[: lengths[some[-1]]] < lengths[some, None]
+            at = np.where(there, starts[some, None] + width[: there.shape[1]], starts[some, None])
+            count, place = np.where(there, self.x[at], 0.0), self.place[at]
+            topics = np.empty((len(some), k, there.shape[1]))
+            for c, column in enumerate(self.factor):
+                topics[:, c] = column[place]
+            found = settle(count, topics, alpha, inner, tol)
+            logs = dirichlet_logs(found)
+            mixed = np.matmul(np.exp(logs)[:, None, :], topics)[:, 0] + TINY
+            gamma[some] = found
+            bounds[some] = (count * np.log(mixed)).sum(axis=1) + prior_bounds(found, logs, alpha)
+            weight[at[there]] = (count / mixed)[there]
+        return gamma, bounds, weight
+
+    def shares(self, gamma: np.ndarray, weight: np.ndarray) -> Iterator[np.ndarray]:
+        """Summed shares of every term, topic by topic."""
+        n = len(self.factor[0])
+        for share, column in zip(np.exp(dirichlet_logs(gamma)).T, self.factor, strict=True):
+            yield np.bincount(self.place, weight * np.repeat(share, self.lengths), n) * column
 
 
 def topic_logs(terms: DataFrame, totals: np.ndarray) -> DataFrame:
@@ -144,25 +192,45 @@ def sent_logs(model: LdaModel) -> DataFrame:
     return F.broadcast(logs) if 8 * model.n_terms * (model.k + 1) <= BROADCAST_BYTES else logs
 
 
-def expected_counts(blocks: Blocks, model: LdaModel, inner: int, tol: float) -> DataFrame:
-    """(term_id, c0..): summed topic shares of every term, and the documents' bound as ``BOUND_ID``."""
-    k, alpha = model.k, model.alpha
-
-    def run(table: pa.Table, logs: pa.Table) -> pa.Table:
-        cells = Cells(table, logs, k)
-        n = len(cells.terms)
-        sums, bound = np.zeros((n + 1, k)), 0.0
-        for rows, doc, x, topics, place in documents_of(cells):
-            gamma = settle(doc, x, topics, len(rows), alpha, inner, tol)
-            share = np.exp(dirichlet_logs(gamma))[doc] * topics
-            share *= (x / (share.sum(axis=1) + TINY))[:, None]
-            bound += document_bounds(doc, x, topics, gamma, alpha).sum()
-            sums[:n] += np.stack([np.bincount(place, s, n) for s in share.T], axis=1)
-        sums[n, 0] = bound
-        return keyed("term_id", np.append(cells.terms, BOUND_ID), sums)
-
-    found = by_block(blocks, sent_logs(model), k, run, keyed_schema("term_id", k))
-    return found.groupBy("term_id").agg(*(F.sum(c).alias(c) for c in columns(k)))
+def expected_counts(x: Routes, model: LdaModel, inner: int, tol: float) -> DataFrame:
+    """(term_id, c0..): summed topic shares of every term that occurs, and the bound of every block as ``BOUND_ID``."""
+    k, alpha, numbers = model.k, model.alpha, x.numbers
+
+    def send(own: pa.Table, given: pa.Table) -> pa.Table:
+        at = {of: np.frombuffer(part, np.int64 if of < 0 else np.int32) for of, part in zip(*(own.column(c).to_pylist() for c in ("of", "at")))}
+        if not at:
+            return messages([], [], [])
+        rows = rows_of(at.pop(-1), "term_id", given, k)
+        return messages([own.column("slice")[0].as_py()] * len(at), list(at), [rows[part] for part in at.values()])
+
+    def block(cells: pa.Table, given: pa.Table) -> pa.Table:
+        own = BlockCells(cells, given, numbers, k)
+        sums, bound = np.zeros(own.factor.shape), 0.0
+        for lengths, at, values in own.arrays():
+            documents = Documents(lengths, at, values, own.factor)
+            gamma, bounds, weight = documents.solved(alpha, inner, tol)
+            bound += bounds.sum()
+            for total, share in zip(sums, documents.shares(gamma, weight), strict=True):
+                total += share
+        parts = [np.array([bound]), *own.by_slice(sums)]
+        return messages([-1 - own.number, *own.slices], [own.number] * len(parts), parts)
+
+    def total(routes: pa.Table, given: pa.Table) -> pa.Table:
+        if not routes.num_rows:
+            sums = np.zeros((given.num_rows, k))
+            sums[:, 0] = numbers_in(given.column("part"), np.float64)
+            return keyed("term_id", np.full(len(sums), BOUND_ID), sums)
+        at = dict(zip(routes.column("of").to_pylist(), routes.column("at").to_pylist(), strict=True))
+        ids = np.frombuffer(at[-1], np.int64)
+        sums = np.zeros((len(ids), k))
+        for of, part in zip(*(given.column(c) for c in ("of", "part")), strict=True):
+            sums[np.frombuffer(at[of.as_py()], np.int32)] += np.frombuffer(part.as_buffer(), np.float64).reshape(-1, k)
+        return keyed("term_id", ids, sums)
+
+    logs = topic_logs(model.terms, model.totals).select(x.slice().alias("slice"), F.col("term_id").cast("long").alias("term_id"), *columns(k))
+    sent = x.routes.groupBy("slice").cogroup(logs.groupBy("slice")).applyInArrow(send, MESSAGE)
+    found = x.cells.groupBy(BLOCK).cogroup(sent.groupBy("of")).applyInArrow(block, MESSAGE)
+    return x.routes.groupBy("slice").cogroup(found.groupBy("slice")).applyInArrow(total, keyed_schema("term_id", k))
 
 
 def topics_bound(terms: DataFrame, totals: np.ndarray, n_terms: int, eta: float) -> float:
@@ -185,12 +253,12 @@ def model_of(terms: DataFrame, k: int, n_terms: int, alpha: float | None = None,
     return LdaModel(k, n_terms, alpha or 1 / k, eta or 1 / k, terms, np.array([t or 0.0 for t in totals]))
 
 
-def step(blocks: Blocks, model: LdaModel, inner: int, tol: float) -> tuple[LdaModel, float]:
+def step(x: Routes, model: LdaModel, inner: int, tol: float) -> tuple[LdaModel, float]:
     """The model after one pass over all documents, and the bound of the model before it."""
     k = model.k
-    sums = materialize(expected_counts(blocks, model, inner, tol), "lda-step")
-    documents = sums.filter(F.col("term_id") == BOUND_ID).select("c0").first()
-    before = (documents[0] if documents else 0.0) + topics_bound(model.terms, model.totals, model.n_terms, model.eta)
+    sums = materialize(expected_counts(x, model, inner, tol), "lda-step")
+    documents = sums.filter(F.col("term_id") == BOUND_ID).agg(F.sum("c0")).first()[0] or 0.0
+    before = documents + topics_bound(model.terms, model.totals, model.n_terms, model.eta)
     counts = sums.filter(F.col("term_id") != BOUND_ID).selectExpr("term_id", *(f"c{i} AS s{i}" for i in range(k)))
     every = model.terms.select(F.col("term_id").cast("int").alias("term_id")).join(counts, "term_id", "left")
     new = [(F.coalesce(f"s{i}", F.lit(0.0)) + model.eta).alias(f"c{i}") for i in range(k)]
@@ -216,16 +284,16 @@ def fit_lda(
     dealt over tasks. The fit ends when the bound grows by less than ``tol`` of itself, which
     ``converged`` tells, or after ``max_iter`` steps.
     """
-    blocks = blocks_of(rows if ROW in rows.columns else numbered(rows))
+    x = routes_of(rows if ROW in rows.columns else numbered(rows))
     starts = [f"0.5D + {hash_uniform(seed, 'term_id', i)} AS c{i}" for i in range(k)]
     terms = materialize(vocabulary_terms.selectExpr("cast(term_id AS int) AS term_id", *starts), "lda-terms")
     model, converged = model_of(terms, k, n_terms), False
     for _ in range(max_iter):
-        model, _ = step(blocks, model, inner, inner_tol)
+        model, _ = step(x, model, inner, inner_tol)
         if len(model.bounds) > 1 and abs(model.bounds[-1] - model.bounds[-2]) <= tol * abs(model.bounds[-2]):
             converged = True
             break
-    blocks.unpersist()
+    x.unpersist()
     return LdaModel(k, n_terms, model.alpha, model.eta, model.terms, model.totals, model.bounds, converged)
 
 
@@ -240,14 +308,13 @@ def infer(rows: DataFrame, model: LdaModel, inner: int = 100, inner_tol: float =
     keys = [c for c in stored.columns if c not in (ROW, "indices", "values")]
 
     def run(table: pa.Table, logs: pa.Table) -> pa.Table:
-        parts = [(np.empty(0, np.int64), np.empty((0, k)), np.empty(0))]
-        for ids, doc, x, topics, _ in documents_of(Cells(table, logs, k)):
-            gamma = settle(doc, x, topics, len(ids), alpha, inner, inner_tol)
-            bounds = document_bounds(doc, x, topics, gamma, alpha)
-            parts.append((ids, gamma / gamma.sum(axis=1, keepdims=True), bounds))
-        ids, shares, bounds = (np.concatenate(p) for p in zip(*parts))
-        lists = pa.array(list(shares), pa.list_(pa.float64()))
-        return pa.table({ROW: pa.array(ids, pa.int64()), "vector": lists, "bound": pa.array(bounds)})
+        cells = Cells(table, logs, k)
+        documents = Documents(np.bincount(cells.row, minlength=len(cells.rows)), cells.place, cells.x, cells.factor)
+        gamma, bounds, _ = documents.solved(alpha, inner, inner_tol)
+        some = documents.lengths > 0
+        shares = gamma[some] / gamma[some].sum(axis=1, keepdims=True)
+        lists = pa.ListArray.from_arrays(np.arange(0, shares.size + 1, k, np.int32), pa.array(shares.reshape(-1)))
+        return pa.table({ROW: pa.array(cells.rows[some], pa.int64()), "vector": lists, "bound": pa.array(bounds[some])})
 
     blocks = blocks_of(stored)
     found = by_block(blocks, sent_logs(model), k, run, f"{ROW} long, vector array<double>, bound double")

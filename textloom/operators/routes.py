@@ -5,6 +5,7 @@ block's terms in one message and gets their sums back in another, so that neithe
 term are needed: where a term stands in a message is found once and kept.
 """
 
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -129,7 +130,7 @@ def term_ids(x: Routes) -> DataFrame:
     return x.routes.filter("of = -1").mapInArrow(run, "term_id long")
 
 
-def _rows_of(keys: np.ndarray, key: str, table: pa.Table, k: int) -> np.ndarray:
+def rows_of(keys: np.ndarray, key: str, table: pa.Table, k: int) -> np.ndarray:
     """(keys, k) of a factor table; keys without a row get zeros."""
     ids = table.column(key).to_numpy()
     order = np.argsort(ids)
@@ -146,7 +147,7 @@ def term_slices(x: Routes, table: DataFrame, k: int) -> DataFrame:
         if not own.num_rows:
             return messages([], [], [])
         ids = np.frombuffer(own.column("at")[0].as_py(), np.int64)
-        return messages([own.column("slice")[0].as_py()], [-1], [_rows_of(ids, "term_id", given, k)])
+        return messages([own.column("slice")[0].as_py()], [-1], [rows_of(ids, "term_id", given, k)])
 
     given = table.select(x.slice().alias("slice"), F.col("term_id").cast("long").alias("term_id"), *columns(k))
     return x.routes.filter("of = -1").groupBy("slice").cogroup(given.groupBy("slice")).applyInArrow(run, MESSAGE)
@@ -159,7 +160,7 @@ def row_blocks(x: Routes, table: DataFrame, k: int) -> DataFrame:
         if not own.num_rows:
             return messages([], [], [])
         numbers = numbers_in(own.column("rows"), np.int64)
-        return messages([-1], [own.column(BLOCK)[0].as_py()], [_rows_of(numbers, ROW, given, k)])
+        return messages([-1], [own.column(BLOCK)[0].as_py()], [rows_of(numbers, ROW, given, k)])
 
     given = table.select(x.block().alias("of"), ROW, *columns(k))
     return x.cells.select(BLOCK, "piece", "rows").groupBy(BLOCK).cogroup(given.groupBy("of")).applyInArrow(run, MESSAGE)
@@ -203,23 +204,33 @@ class BlockCells:
     """The pieces of a block beside the factor rows that the slices sent, and the old rows of its documents."""
 
     def __init__(self, cells: pa.Table, given: pa.Table, numbers: list[int], k: int):
-        cells = cells.sort_by("piece")
-        self.number, self.k = cells.column(BLOCK)[0].as_py(), k
-        self.pieces = list(zip(*(cells.column(c).to_pylist() for c in ("lengths", "at", "entries")), strict=True))
+        self.number, self.k, self.cells = cells.column(BLOCK)[0].as_py(), k, cells
         rank = {number: i for i, number in enumerate(numbers)}
-        parts = {s: np.frombuffer(p, np.float64).reshape(-1, k) for s, p in zip(*(given.column(c).to_pylist() for c in ("slice", "part")))}
-        self.old = parts.pop(-1)
+        # Views of what came, which is not copied.
+        parts = {s: np.frombuffer(p.as_buffer(), np.float64).reshape(-1, k) for s, p in zip(given.column("slice").to_pylist(), given.column("part"), strict=True)}
+        self.old = parts.pop(-1, None)
         self.slices = sorted(parts, key=rank.__getitem__)
         factor = [parts[s] for s in self.slices]
-        self.bounds = np.cumsum([len(f) for f in factor])[:-1]
+        self.bounds = np.cumsum([len(f) for f in factor])
         # One contiguous row per column of the factor.
-        self.factor = np.ascontiguousarray(np.concatenate(factor).T)
+        self.factor = np.empty((k, self.bounds[-1]))
+        for end, part in zip(self.bounds, factor, strict=True):
+            self.factor[:, end - len(part) : end] = part.T
+
+    def arrays(self) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        """Entries per document, their places in the factor and their values, piece by piece."""
+        kinds = {"lengths": np.int32, "at": np.int32, "entries": np.float64}
+        for i in np.argsort(self.cells.column("piece").to_numpy()):
+            yield tuple(np.frombuffer(self.cells.column(c)[int(i)].as_buffer(), kind) for c, kind in kinds.items())
+
+    def by_slice(self, sums: np.ndarray) -> list[np.ndarray]:
+        """Sums (k, terms) as one (terms, k) array per slice."""
+        return np.split(sums.T, self.bounds[:-1])
 
     def updated(self, new_rows) -> tuple[np.ndarray, list[np.ndarray]]:
         """New rows by ``new_rows(old, product)`` and the sums of the transposed cells times them, by slice."""
         sums, new, first = np.zeros(self.factor.shape), [], 0
-        for piece in self.pieces:
-            lengths, at, x = (np.frombuffer(p, kind) for p, kind in zip(piece, (np.int32, np.int32, np.float64), strict=True))
+        for lengths, at, x in self.arrays():
             n = len(lengths)
             row = np.repeat(np.arange(n, dtype=np.int32), lengths)
             product = np.stack([np.bincount(row, x * f[at], n) for f in self.factor], axis=1)
@@ -227,4 +238,4 @@ class BlockCells:
             for total, g in zip(sums, new[-1].T.copy(), strict=True):
                 total += np.bincount(at, x * g[row], len(total))
             first += n
-        return np.concatenate(new), np.split(sums.T, self.bounds)
+        return np.concatenate(new), self.by_slice(sums)

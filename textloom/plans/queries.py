@@ -20,7 +20,7 @@ from textloom.operators import (
     topics,
     vectors,
 )
-from textloom.operators.factors import ROW, blocks_of, columns, gram, numbered, with_keys
+from textloom.operators.factors import ROW, columns, gram, numbered, with_keys
 from textloom.operators.routes import numbered_rows, routes_of, row_blocks, term_rows, term_slices
 from textloom.plans import corpus, experiment
 from textloom.plans.corpus import CATEGORIES
@@ -492,7 +492,7 @@ def _lda_from_fixed_start(spark, sf_dir):
 def lda_one_step(spark, sf_dir):
     """Topic-term parameters after one step with one update of the documents."""
     rows, model = _lda_from_fixed_start(spark, sf_dir)
-    after, _ = lda.step(blocks_of(rows), model, 1, 0.0)
+    after, _ = lda.step(routes_of(rows), model, 1, 0.0)
     return _rounded(nmf.long_factor(after.terms, "term_id", 8), "weight")
 
 
