@@ -1,11 +1,13 @@
 """The packed steps of the factorization against dense ones."""
 
+import os
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from textloom.operators import factors, nmf, routes
-from textloom.session import materialize
+from textloom.session import SHUFFLE_CLEANUP, materialize, shared_dir
 
 
 @pytest.fixture(scope="module")
@@ -79,3 +81,39 @@ def test_no_entries_at_all(spark):
     model = nmf.fit_nmf(rows, 5, k=2, max_iter=2)
     assert model.documents.orderBy("id").collect() == [(1, 0.0, 0.0), (2, 0.0, 0.0)] and model.errors[-1] == 0
     assert model.terms.count() == 0
+
+
+def folders(spark, name):
+    path = f"{shared_dir(spark)}/textloom"
+    return {f for f in os.listdir(path) if f.startswith(name)}
+
+
+def test_a_fit_leaves_only_its_last_step_on_disk(spark, rows):
+    before, shuffles = folders(spark, "nmf-s"), spark.conf.get(SHUFFLE_CLEANUP)
+    model = nmf.fit_nmf(rows, 45, k=3, max_iter=4, tol=0.0)
+    assert len(model.errors) == 4
+    assert len(folders(spark, "nmf-s") - before) == 1
+    assert model.terms.count() and model.documents.count() == rows.count()
+    assert spark.conf.get(SHUFFLE_CLEANUP) == shuffles
+
+
+def test_blocks_are_packed_piece_by_piece(packed, dense):
+    """No piece holds more than one document beyond its limit, and places lead back to the terms."""
+    _, x = packed
+    kept = dense[dense.any(axis=1)]
+    found, rows = np.zeros(dense.shape), 0
+    routed = [r.asDict() for r in x.routes.collect()]
+    own = {r["slice"]: np.frombuffer(r["at"], np.int64) for r in routed if r["of"] == -1}
+    for block in x.numbers:
+        asked = {r["slice"]: own[r["slice"]][np.frombuffer(r["at"], np.int32)] for r in routed if r["of"] == block}
+        terms = np.concatenate([asked[s] for s in x.numbers if s in asked] or [np.zeros(0, np.int64)])
+        cells = {r["piece"]: r for r in x.cells.filter(F.col("_block") == block).collect()}
+        stands = np.frombuffer(cells.pop(-1)["at"], np.int32) if cells else None
+        for r in cells.values():
+            lengths, at, values = (np.frombuffer(r[c], t) for c, t in (("lengths", np.int32), ("at", np.int32), ("entries", float)))
+            assert len(at) == lengths.sum() == len(values) and len(at) - lengths[-1] < 9 + dense.shape[1]
+            for n, t, v in zip(np.repeat(np.arange(len(lengths)), lengths) + rows, terms[stands[at]], values):
+                found[n, t] += v
+            rows += len(lengths)
+    assert rows == len(kept)
+    assert sorted(map(tuple, np.round(found[:rows], 6))) == sorted(map(tuple, np.round(kept, 6)))

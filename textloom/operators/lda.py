@@ -29,7 +29,7 @@ from textloom.operators.lookup import BROADCAST_BYTES
 from textloom.operators.nmf import long_factor
 from textloom.operators.routes import MESSAGE, BlockCells, Routes, messages, numbers_in, routes_of, rows_of
 from textloom.operators.vectors import BLOCK
-from textloom.session import materialize
+from textloom.session import discard, materialize
 
 # The row of a step's sums that holds the bound and not a term.
 BOUND_ID = -1
@@ -220,11 +220,11 @@ def expected_counts(x: Routes, model: LdaModel, inner: int, tol: float) -> DataF
             sums = np.zeros((given.num_rows, k))
             sums[:, 0] = numbers_in(given.column("part"), np.float64)
             return keyed("term_id", np.full(len(sums), BOUND_ID), sums)
-        at = dict(zip(routes.column("of").to_pylist(), routes.column("at").to_pylist(), strict=True))
-        ids = np.frombuffer(at[-1], np.int64)
+        at = dict(zip(routes.column("of").to_pylist(), routes.column("at"), strict=True))
+        ids = np.frombuffer(at[-1].as_buffer(), np.int64)
         sums = np.zeros((len(ids), k))
-        for of, part in zip(*(given.column(c) for c in ("of", "part")), strict=True):
-            sums[np.frombuffer(at[of.as_py()], np.int32)] += np.frombuffer(part.as_buffer(), np.float64).reshape(-1, k)
+        for of, part in zip(given.column("of").to_pylist(), given.column("part"), strict=True):
+            sums[np.frombuffer(at[of].as_buffer(), np.int32)] += np.frombuffer(part.as_buffer(), np.float64).reshape(-1, k)
         return keyed("term_id", ids, sums)
 
     logs = topic_logs(model.terms, model.totals).select(x.slice().alias("slice"), F.col("term_id").cast("long").alias("term_id"), *columns(k))
@@ -263,6 +263,7 @@ def step(x: Routes, model: LdaModel, inner: int, tol: float) -> tuple[LdaModel,
     every = model.terms.select(F.col("term_id").cast("int").alias("term_id")).join(counts, "term_id", "left")
     new = [(F.coalesce(f"s{i}", F.lit(0.0)) + model.eta).alias(f"c{i}") for i in range(k)]
     terms = materialize(every.select("term_id", *new), "lda-terms")
+    discard(sums)
     after = model_of(terms, k, model.n_terms, model.alpha, model.eta)
     return LdaModel(k, model.n_terms, model.alpha, model.eta, terms, after.totals, [*model.bounds, before]), before
 
@@ -289,7 +290,9 @@ def fit_lda(
     terms = materialize(vocabulary_terms.selectExpr("cast(term_id AS int) AS term_id", *starts), "lda-terms")
     model, converged = model_of(terms, k, n_terms), False
     for _ in range(max_iter):
+        before = model.terms
         model, _ = step(x, model, inner, inner_tol)
+        discard(before)
         if len(model.bounds) > 1 and abs(model.bounds[-1] - model.bounds[-2]) <= tol * abs(model.bounds[-2]):
             converged = True
             break

@@ -35,7 +35,7 @@ from textloom.operators.routes import (
     term_slices,
 )
 from textloom.operators.vectors import BLOCK, weights
-from textloom.session import materialize
+from textloom.session import discard, materialize
 
 TINY = 1e-12
 
@@ -77,14 +77,13 @@ def update(x: Routes, w: DataFrame, h: DataFrame, k: int, h_gram: np.ndarray) ->
     def total(routes: pa.Table, given: pa.Table) -> pa.Table:
         if not routes.num_rows:
             return given  # a block of W
-        at = dict(zip(routes.column("of").to_pylist(), routes.column("at").to_pylist(), strict=True))
-        parts = zip(given.column("of").to_pylist(), given.column("part").to_pylist(), strict=True)
-        sums, old = np.zeros((len(at[-1]) // 8, k)), None
-        for of, part in parts:
+        at = dict(zip(routes.column("of").to_pylist(), routes.column("at"), strict=True))
+        sums, old = np.zeros((len(at[-1].as_buffer()) // 8, k)), None
+        for of, part in zip(given.column("of").to_pylist(), given.column("part"), strict=True):
             if of < 0:
-                old = part
+                old = part.as_py()
             else:
-                sums[np.frombuffer(at[of], np.int32)] += np.frombuffer(part, np.float64).reshape(-1, k)
+                sums[np.frombuffer(at[of].as_buffer(), np.int32)] += np.frombuffer(part.as_buffer(), np.float64).reshape(-1, k)
         return messages([routes.column("slice")[0].as_py()], [-1], [sums], other=pa.array([old], pa.binary()))
 
     given = sent(x, h, k).unionByName(w.select("slice", "of", "part"))
@@ -144,7 +143,8 @@ def fit_nmf(
     whether that or ``max_iter`` ended the fit. ``start_terms`` continues from an earlier H, in
     which new terms get a start value. The new W and what the new H follows from are written to the
     shared folder in every iteration: each is used twice in the next one, so that plans would otherwise
-    double with every step, and a lost executor costs no more than the current step.
+    double with every step, and a lost executor costs no more than the current step. The next one
+    replaces it there.
     """
     if max_iter < 1:
         raise ValueError("max_iter must be at least 1")
@@ -167,9 +167,11 @@ def fit_nmf(
     h_gram = gram(h, k)
     h = materialize(term_slices(x, h, k), "nmf-start")
     errors: list[float] = []
-    converged = False
+    converged, before = False, h
     for _ in range(max_iter):
         found = update(x, w, h, k, h_gram)
+        discard(before)
+        before = found
         w = updated_documents(found)
         w_gram = documents_gram(found, k)
         h = update_terms(found, k, w_gram)

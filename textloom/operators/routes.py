@@ -22,7 +22,7 @@ from textloom.session import materialize
 # Larger blocks share more terms, so fewer factor rows travel; a block is read into one task.
 ENTRIES_PER_BLOCK = 1 << 23
 # Entries of a block that are multiplied at once, and stored together.
-PIECE = 1 << 21
+PIECE = 1 << 19
 MESSAGE = "slice long, of long, part binary"
 
 
@@ -62,37 +62,74 @@ def routes_of(rows: DataFrame) -> Routes:
     n = cores * max(1, -(-entries // (ENTRIES_PER_BLOCK * cores)))
     numbers = block_numbers(spark, n)
 
-    def pack(table: pa.Table) -> pa.Table:
-        indices, values = (table.column(c).combine_chunks() for c in ("indices", "values"))
-        lengths = indices.value_lengths().to_numpy(zero_copy_only=False)
-        flat, x = (a.flatten().to_numpy(zero_copy_only=False) for a in (indices, values))
-        seen = np.zeros(flat.max() + 1, bool)
-        seen[flat] = True
-        ids = np.flatnonzero(seen)
-        ids = ids[np.lexsort((ids, ids % n))]
-        place = np.empty(len(seen), np.int32)
-        place[ids] = np.arange(len(ids), dtype=np.int32)
-        at, block = place[flat], table.column(BLOCK)[0].as_py()
-        ends = np.cumsum(lengths, dtype=np.int64)
-        cuts = np.r_[0, np.flatnonzero(np.diff((ends - lengths) // PIECE)) + 1, len(lengths)]
-        own = table.column(ROW).to_numpy()
-        out = []
-        for i, (a, b) in enumerate(zip(cuts, cuts[1:])):
-            part = slice(ends[a] - lengths[a], ends[b - 1])
-            data = own[a:b].astype(np.int64), lengths[a:b].astype(np.int32), at[part], x[part].astype(np.float64)
-            out.append((block, None, i, *(d.tobytes() for d in data)))
-        bounds = np.searchsorted(ids % n, np.arange(n + 1))
-        for i, (a, b) in enumerate(zip(bounds, bounds[1:])):
-            if a < b:
-                out.append((block, numbers[i], None, None, None, ids[a:b].astype(np.int64).tobytes(), None))
-        return pa.table([pa.array(c, t) for c, t in zip(zip(*out), types, strict=True)], names=names)
+    limit = PIECE
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Pieces as rows arrive, with places of terms in the order in which the block shows them.
+
+        A block ends with the terms that it asks of each slice, and where these then stand.
+        """
+
+        def made(block: int, number: int | None, piece: int | None, *data: np.ndarray | None) -> pa.RecordBatch:
+            values = [block, number, piece, *(d if d is None else d.tobytes() for d in data)]
+            return pa.RecordBatch.from_arrays([pa.array([v], t) for v, t in zip(values, types, strict=True)], names=names)
+
+        def cut(rows: list[pa.RecordBatch], piece: int) -> pa.RecordBatch:
+            nonlocal place, shown
+            own = np.concatenate([r.column(ROW).to_numpy() for r in rows])
+            flat, x = (np.concatenate([r.column(c).flatten().to_numpy(zero_copy_only=False) for r in rows]) for c in ("indices", "values"))
+            lengths = np.concatenate([r.column("indices").value_lengths().to_numpy(zero_copy_only=False) for r in rows])
+            if flat.max() >= len(place):
+                place = np.r_[place, np.full(flat.max() + 1 - len(place), -1, np.int32)]
+            new = np.unique(flat[place[flat] < 0])
+            place[new] = np.arange(shown, shown + len(new), dtype=np.int32)
+            shown += len(new)
+            ids.append(new)
+            parts = own.astype(np.int64), lengths.astype(np.int32), place[flat], x.astype(np.float64)
+            return made(rows[0].column(BLOCK)[0].as_py(), None, piece, *parts)
+
+        def end(block: int) -> Iterator[pa.RecordBatch]:
+            terms = np.concatenate(ids)
+            order = np.lexsort((terms, terms % n))
+            stands = np.empty(len(terms), np.int32)
+            stands[order] = np.arange(len(terms), dtype=np.int32)
+            yield made(block, None, -1, None, None, stands, None)
+            terms = terms[order]
+            bounds = np.searchsorted(terms % n, np.arange(n + 1))
+            for i, (a, b) in enumerate(zip(bounds, bounds[1:])):
+                if a < b:
+                    yield made(block, numbers[i], None, None, None, terms[a:b].astype(np.int64), None)
+
+        place, shown, ids = np.zeros(0, np.int32), 0, []
+        block, rows, entries, piece = None, [], 0, 0
+        for batch in batches:
+            of, sizes = batch.column(BLOCK).to_numpy(), batch.column("indices").value_lengths().to_numpy(zero_copy_only=False)
+            ends = np.cumsum(sizes, dtype=np.int64)
+            # A batch is cut where a block ends, and into runs of at most about as many entries as a piece has.
+            cuts = np.flatnonzero(np.diff(of) | np.diff((ends - sizes) // limit)) + 1
+            for a, b in zip(np.r_[0, cuts], np.r_[cuts, len(of)]):
+                if a == b:
+                    continue
+                if rows and (of[a] != block or entries >= limit):
+                    yield cut(rows, piece)
+                    rows, entries, piece = [], 0, piece + 1
+                if block is not None and of[a] != block:
+                    yield from end(block)
+                    place, shown, ids, piece = np.full(len(place), -1, np.int32), 0, [], 0
+                block = int(of[a])
+                rows.append(batch.slice(a, b - a))
+                entries += int(sizes[a:b].sum())
+        if rows:
+            yield cut(rows, piece)
+        if block is not None:
+            yield from end(block)
 
     names = [BLOCK, "slice", "piece", "rows", "lengths", "at", "entries"]
     types = [pa.int64(), pa.int64(), pa.int32(), *[pa.binary()] * 4]
     schema = f"{BLOCK} long, slice long, piece int, rows binary, lengths binary, at binary, entries binary"
-    made = Routes(rows, rows, numbers)
-    dealt = filled.select(made.block().alias(BLOCK), ROW, "indices", "values").repartition(n, BLOCK)
-    packed = materialize(dealt.sortWithinPartitions(BLOCK, ROW).groupBy(BLOCK).applyInArrow(pack, schema), "packed-rows")
+    whole = Routes(rows, rows, numbers)
+    dealt = filled.select(whole.block().alias(BLOCK), ROW, "indices", "values").repartition(n, BLOCK)
+    packed = materialize(dealt.sortWithinPartitions(BLOCK, ROW).mapInArrow(pack, schema), "packed-rows")
 
     def route(table: pa.Table) -> pa.Table:
         given = [np.frombuffer(b, np.int64) for b in table.column("at").to_pylist()]
@@ -111,12 +148,19 @@ def routes_of(rows: DataFrame) -> Routes:
 
 def numbers_in(column: pa.ChunkedArray, kind: type) -> np.ndarray:
     """The numbers of all binary values of a column, one after the other."""
-    return np.concatenate([np.frombuffer(b, kind) for b in column.to_pylist()] or [np.zeros(0, kind)])
+    views = [np.frombuffer(b.as_buffer(), kind) for b in column if b.is_valid]
+    return views[0] if len(views) == 1 else np.concatenate(views or [np.zeros(0, kind)])
 
 
 def messages(slices: list[int], of: list[int], parts: list[np.ndarray], **others) -> pa.Table:
+    """The parts are copied once, into the buffer that is sent."""
     data = {"slice": pa.array(slices, pa.int64()), "of": pa.array(of, pa.int64())}
-    return pa.table(data | {"part": pa.array([np.ascontiguousarray(p).tobytes() for p in parts], pa.binary())} | others)
+    ends = np.cumsum([0, *(p.nbytes for p in parts)])
+    flat = np.empty(ends[-1], np.uint8)
+    for part, a, b in zip(parts, ends, ends[1:]):
+        flat[a:b].view(part.dtype).reshape(part.shape)[...] = part
+    lists = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(parts), [None, pa.py_buffer(ends.astype(np.int64)), pa.py_buffer(flat)])
+    return pa.table(data | {"part": lists.cast(pa.binary())} | others)
 
 
 def term_ids(x: Routes) -> DataFrame:
@@ -204,7 +248,9 @@ class BlockCells:
     """The pieces of a block beside the factor rows that the slices sent, and the old rows of its documents."""
 
     def __init__(self, cells: pa.Table, given: pa.Table, numbers: list[int], k: int):
-        self.number, self.k, self.cells = cells.column(BLOCK)[0].as_py(), k, cells
+        self.number, self.k = cells.column(BLOCK)[0].as_py(), k
+        self.cells = {i: n for n, i in enumerate(cells.column("piece").to_pylist())}
+        self.data = {c: cells.column(c) for c in ("lengths", "at", "entries")}
         rank = {number: i for i, number in enumerate(numbers)}
         # Views of what came, which is not copied.
         parts = {s: np.frombuffer(p.as_buffer(), np.float64).reshape(-1, k) for s, p in zip(given.column("slice").to_pylist(), given.column("part"), strict=True)}
@@ -212,20 +258,25 @@ class BlockCells:
         self.slices = sorted(parts, key=rank.__getitem__)
         factor = [parts[s] for s in self.slices]
         self.bounds = np.cumsum([len(f) for f in factor])
+        # Where each term of the pieces stands among those of the slices.
+        self.stands = np.frombuffer(self.data["at"][self.cells.pop(-1)].as_buffer(), np.int32)
         # One contiguous row per column of the factor.
-        self.factor = np.empty((k, self.bounds[-1]))
-        for end, part in zip(self.bounds, factor, strict=True):
-            self.factor[:, end - len(part) : end] = part.T
+        self.factor = np.empty((k, len(self.stands)))
+        for c, column in enumerate(self.factor):
+            column[:] = np.concatenate([f[:, c] for f in factor])[self.stands]
 
     def arrays(self) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
         """Entries per document, their places in the factor and their values, piece by piece."""
         kinds = {"lengths": np.int32, "at": np.int32, "entries": np.float64}
-        for i in np.argsort(self.cells.column("piece").to_numpy()):
-            yield tuple(np.frombuffer(self.cells.column(c)[int(i)].as_buffer(), kind) for c, kind in kinds.items())
+        for _, i in sorted(self.cells.items()):
+            yield tuple(np.frombuffer(self.data[c][i].as_buffer(), kind) for c, kind in kinds.items())
 
     def by_slice(self, sums: np.ndarray) -> list[np.ndarray]:
         """Sums (k, terms) as one (terms, k) array per slice."""
-        return np.split(sums.T, self.bounds[:-1])
+        out = np.empty((len(self.stands), self.k))
+        for c, column in enumerate(sums):
+            out[self.stands, c] = column
+        return np.split(out, self.bounds[:-1])
 
     def updated(self, new_rows) -> tuple[np.ndarray, list[np.ndarray]]:
         """New rows by ``new_rows(old, product)`` and the sums of the transposed cells times them, by slice."""
