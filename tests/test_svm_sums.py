@@ -42,3 +42,27 @@ def test_products_read_only_the_rows_inside_a_margin(spark, monkeypatch):
     fit = svm.fit_squared_hinge(rows.repartition(3), 1, 2)
     assert fit.converged and fit.gradient <= 1e-4
     assert read[0] == len(x) and 0 < min(read) < 60
+
+
+def test_rows_are_kept_in_pieces_and_added_in_place(counted, monkeypatch):
+    """A task holds a few entries at a time, and its sums once."""
+    shares = np.array([[0.3, -2.0]])
+    whole = svm.summed(counted, 40, lambda b, y: b.back(y[:, None] * shares + 1), (2, 41))
+    before = svm.fit_squared_hinge(counted, 40, 2)
+    monkeypatch.setattr(svm, "PIECE", 100)
+    rows = svm.Rows.of(counted, 40)
+    pieces = [len(r["entries"]) // 8 for r in rows.table.select("entries").collect()]
+    assert max(pieces) < 100 + 40 and len(pieces) > 50
+    monkeypatch.setattr(svm.Block, "back", None)
+    added = rows.summed(svm.Adds(lambda b, y, total: b.add_back(total, y * shares + 1)), (2, 41))
+    assert added == pytest.approx(whole, rel=1e-12)
+    # The gradient's tolerance follows the large counts, so rounding shows in what is minimised.
+    fit = svm.fit_squared_hinge(counted, 40, 2)
+    x, y = map(np.array, zip(*((r["features"].toArray(), r["label"]) for r in counted.collect())))
+
+    def objective(weights):
+        slack = np.maximum(0, 1 - np.where(y == 1, 1, -1) * (x @ weights[:-1] + weights[-1]))
+        return weights @ weights / 2 + (slack**2).sum()
+
+    assert fit.converged and objective(fit.weights[1]) == pytest.approx(objective(before.weights[1]), rel=1e-2)
+    assert fit.gradient <= 1e-4
